@@ -122,8 +122,8 @@ def independent_steps(scored: DataFrame) -> dict[str, DataFrame]:
     return {
         "step_1": scored,
         "step_2": scored,
-        "step_3": band_columns(scored.withColumn(ORIG_PRED, scale_by_book(LS_RATIO))),
-        "step_4": band_columns(scored.withColumn(ORIG_PRED, F.col(HS_PRED).cast("double"))),
+        "step_3": band_columns(scored.withColumn(ORIG_PRED, scale_by_book(nan_to_null(LS_RATIO)))),
+        "step_4": band_columns(scored.withColumn(ORIG_PRED, nan_to_null(HS_PRED))),
     }
 
 

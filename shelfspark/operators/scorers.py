@@ -81,7 +81,7 @@ class TreeTableScorer(Scorer):
         self._left, self._right = child("left"), child("right")
         self._feature = np.array([0 if f else position[n] for f, n in zip(leaf, nodes["feature"])], dtype=np.int64)
         self._threshold = nodes["threshold"].fillna(np.inf).to_numpy(dtype=float)
-        self._default_left = nodes["default_left"].fillna(True).to_numpy(dtype=bool)
+        self._default_left = nodes["default_left"].ne(False).to_numpy(dtype=bool)
         self._leaf = nodes["leaf"].fillna(0.0).to_numpy(dtype=float)
         self._roots = np.array([at[t, 0] for t in nodes["tree"].unique()], dtype=np.int64)
         self._depth = self._longest_path()

@@ -95,36 +95,21 @@ def time_split(
     series, ties = list(series), list(ties)
     rows = df.dropna(subset=list(targets)) if targets else df
 
-    per_date = rows.groupBy(*series, date).agg(F.count(F.lit(1)).alias("_c"))
-    whole = Window.partitionBy(*series)
-    upto = whole.orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
-    sized = (
-        per_date.withColumns({"_n": F.sum("_c").over(whole), "_end": F.sum("_c").over(upto)})
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .withColumn("_n_tv", F.floor(F.col("_n") * F.lit(train_test_frac)))
-        .withColumn("_n_tr", F.floor(F.col("_n_tv") * F.lit(train_validation_frac)))
-    )
-
-    def at(position: str, value: str) -> Column:
-        return F.max(F.when((F.col("_start") < F.col(position)) & (F.col(position) <= F.col("_end")), F.col(value)))
-
-    marks = {"tr": "_n_tr", "tv": "_n_tv"}
-    cuts = sized.groupBy(*series).agg(
-        F.max("_n").alias("_n"),
-        *[at(pos, date).alias(f"_{m}_0") for m, pos in marks.items()],
-        *[(F.max(pos) - at(pos, "_start")).alias(f"_{m}_left") for m, pos in marks.items()],
-        *[at(pos, "_c").alias(f"_{m}_size") for m, pos in marks.items()],
-    )
+    order = [date, *ties]
+    cuts = _first_cuts(rows, series, date, train_test_frac, train_validation_frac)
     cuts = cuts.where(F.col("_n") >= min_rows) if short == "drop" else cuts
     for depth, tie in enumerate(ties, start=1):
-        for mark in marks:
-            cuts = _refine(rows, cuts, series, [date, *ties][:depth], tie, mark, depth)
+        cuts = _refine(rows, cuts, series, order[:depth], tie)
+    levels = range(len(order))
+    wide = cuts.groupBy(*series).agg(
+        F.max("_n").alias("_n"),
+        *[F.max(F.when(F.col("_mark") == m, F.col(f"_cut_{i}"))).alias(f"_{m}_{i}") for m in _MARKS for i in levels],
+    )
 
     def upto_cut(mark: str) -> Column:
-        """(date, *ties) <= cut, where levels after an unsplit cell are NULL and take the whole cell."""
-        order = [date, *ties]
+        """(date, *ties) <= cut; a level at which the cut is NULL was not split and is taken whole."""
         cond = F.lit(True)
-        for level in reversed(range(len(order))):
+        for level in reversed(levels):
             value, cut = F.col(order[level]), F.col(f"_{mark}_{level}")
             here = (value < cut) | ((value == cut) & cond)
             cond = here if level == 0 else F.when(cut.isNull(), F.lit(True)).otherwise(here)
@@ -133,41 +118,72 @@ def time_split(
     label = F.when(upto_cut("tr"), "train").when(upto_cut("tv"), "validation").otherwise("test")
     if short == "train":
         label = F.when(F.col("_n") < min_rows, "train").otherwise(label)
-    helper = [c for c in cuts.columns if c.startswith("_")]
-    return rows.join(cuts, series, "inner").withColumn(DATA_SPLIT, label).drop(*helper)
+    helper = [c for c in wide.columns if c.startswith("_")]
+    return rows.join(wide, series, "inner").withColumn(DATA_SPLIT, label).drop(*helper)
 
 
-def _refine(
-    rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str], tie: str, mark: str, depth: int
-) -> DataFrame:
-    """Locate one cut inside the cell it fell into: the tie value at the remaining position.
+_MARKS = ("tr", "tv")
+
+
+def _counted_off(counted: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Add how many rows of the group lie up to and before each order value (``_c`` rows share a value)."""
+    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumn("_end", F.sum("_c").over(upto)).withColumn("_start", F.col("_end") - F.col("_c"))
+
 
-    Only cells with more than one row are read again, and they are counted per tie value before ordering.
+def _holds(position: str) -> Column:
+    return (F.col("_start") < F.col(position)) & (F.col(position) <= F.col("_end"))
+
+
+def _first_cuts(rows: DataFrame, series: list[str], date: str, tv_frac: float, tr_frac: float) -> DataFrame:
+    """Per series and mark: the date its last row falls on, how far into that date, and the rows on that date."""
+    per_date = rows.groupBy(*series, date).agg(F.count(F.lit(1)).alias("_c"))
+    placed = (
+        _counted_off(per_date, series, date)
+        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*series)))
+        .withColumn("_tv", F.floor(F.col("_n") * F.lit(tv_frac)))
+        .withColumn("_tr", F.floor(F.col("_tv") * F.lit(tr_frac)))
+    )
+    cell = F.struct(F.col(date).alias("cut"), F.col("_start").alias("before"), F.col("_c").alias("size"))
+    per_series = placed.groupBy(*series).agg(
+        F.max("_n").alias("_n"),
+        *[F.struct(F.max(f"_{m}").alias("position"), F.max(F.when(_holds(f"_{m}"), cell)).alias("cell")).alias(m)
+          for m in _MARKS],
+    )
+    marks = F.explode(F.array(*[F.struct(F.lit(m).alias("mark"), F.col(m).alias("at")) for m in _MARKS]))
+    return per_series.select(*series, "_n", marks.alias("_m")).select(
+        *series,
+        "_n",
+        F.col("_m.mark").alias("_mark"),
+        F.col("_m.at.cell.cut").alias("_cut_0"),
+        (F.col("_m.at.position") - F.col("_m.at.cell.before")).alias("_left"),
+        F.col("_m.at.cell.size").alias("_size"),
+    )
+
+
+def _refine(rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str], tie: str) -> DataFrame:
+    """Locate the cuts inside the cells they fell into: the tie value at the remaining position.
+
+    Only cells a cut really divides are read again, counted per tie value before they are put in order.
     """
-    left, size = f"_{mark}_left", f"_{mark}_size"
-    at_cell = [f"_{mark}_{level}" for level in range(depth)]
-    split = cuts.where((F.col(size) > 1) & (F.col(left) < F.col(size))).select(*series, *at_cell, left)
+    depth = len(fixed)
+    cell = [f"_cut_{level}" for level in range(depth)]
+    group = [*series, "_mark"]
+    divided = cuts.where(F.col("_left") < F.col("_size")).select(*group, *cell, "_left")
     inside = (
         rows.select(*series, *fixed, tie)
-        .withColumnsRenamed(dict(zip(fixed, at_cell)))
-        .join(split, [*series, *at_cell], "inner")
-    )
-    upto = Window.partitionBy(*series).orderBy(tie).rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        inside.groupBy(*series, left, tie)
+        .withColumnsRenamed(dict(zip(fixed, cell)))
+        .join(divided, [*series, *cell], "inner")
+        .groupBy(*group, "_left", tie)
         .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_end", F.sum("_c").over(upto))
-        .withColumn("_start", F.col("_end") - F.col("_c"))
-        .where((F.col("_start") < F.col(left)) & (F.col(left) <= F.col("_end")))
-        .select(
-            *series,
-            F.col(tie).alias(f"_{mark}_{depth}"),
-            (F.col(left) - F.col("_start")).alias("_new_left"),
-            F.col("_c").alias("_new_size"),
-        )
     )
-    return (
-        cuts.join(found, series, "left")
-        .withColumns({left: F.coalesce("_new_left", F.lit(1)), size: F.coalesce("_new_size", F.lit(1))})
-        .drop("_new_left", "_new_size")
+    found = _counted_off(inside, group, tie).where(_holds("_left")).select(
+        *group,
+        F.col(tie).alias(f"_cut_{depth}"),
+        (F.col("_left") - F.col("_start")).alias("_next_left"),
+        F.col("_c").alias("_next_size"),
+    )
+    # A cell that was not divided ends at its last row: nothing is left to locate inside it.
+    return cuts.drop("_left", "_size").join(found, group, "left").withColumnsRenamed(
+        {"_next_left": "_left", "_next_size": "_size"}
     )

@@ -72,7 +72,7 @@ def _stored_features(spark: SparkSession, sf: str, load_date: str | None = None)
     path = scratch_path(spark, "features")
     rows = feature_store(panel(spark, sf))
     rows = rows if load_date is None else rows.withColumn(N.LOAD_DATE, F.lit(load_date))
-    writers._balanced(rows, [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP, N.LOAD_DATE).parquet(path)
+    writers.balanced(rows, [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP, N.LOAD_DATE).parquet(path)
     return path
 
 
@@ -84,7 +84,7 @@ def scan_feature_store(spark, sf):
 @query
 def scan_target_store(spark, sf):
     path = scratch_path(spark, "targets")
-    writers._balanced(target_store(panel(spark, sf)), [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP).parquet(path)
+    writers.balanced(target_store(panel(spark, sf)), [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP).parquet(path)
     return readers.scan_target_store(spark, path, GROUPS)
 
 
@@ -237,7 +237,7 @@ def scan_model_scores(spark, sf):
 def sink_split_parquet(spark, sf):
     path = scratch_path(spark, "split")
     writers.write_split_parquet(_labelled(spark, sf).drop(N.LOAD_DATE), path, DAY)
-    return readers._parquet(spark, path).select(*N.KEYS, N.TOTAL_RETAIL, N.LOCATION_GROUP, N.LOAD_DATE, N.DATA_SPLIT)
+    return readers.read_parquet(spark, path).select(*N.KEYS, N.TOTAL_RETAIL, N.LOCATION_GROUP, N.LOAD_DATE, N.DATA_SPLIT)
 
 
 @query
@@ -507,7 +507,8 @@ def technical_metrics_regression(spark, sf):
 @query
 def technical_metrics_new(spark, sf):
     """All four new models, each on the rows the cascade routes to it."""
-    return jobs.technical_metrics(jobs.new_model_frames(_steps(spark, sf), T1, T2), T1, T2)
+    frames = jobs.new_model_frames(spark, _steps(spark, sf), T1, T2, scratch_path(spark, "model-rows"))
+    return jobs.technical_metrics(frames, T1, T2)
 
 
 @query
@@ -750,7 +751,7 @@ def _stored_day(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "day")
     quantities = (N.IP_QTY, N.CURDAY_QTY, N.REV_QTY, N.TOTAL_RETAIL)
     rows = panel(spark, sf).select(*N.KEYS, *quantities, N.LOCATION_GROUP, F.lit(DAY).alias(N.LOAD_DATE))
-    writers._balanced(rows, [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP, N.LOAD_DATE).parquet(path)
+    writers.balanced(rows, [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP, N.LOAD_DATE).parquet(path)
     return path
 
 

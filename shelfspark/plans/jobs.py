@@ -11,6 +11,7 @@ from shelfspark import names as N
 from shelfspark.operators import cascade, confidence, metrics, ranking, selection, split, tuning
 from shelfspark.operators.scorers import Scorer, score_cascade, score_independent
 from shelfspark.sources import readers, writers
+from shelfspark.sources.scratch import scratch_path
 
 
 def split_job(
@@ -29,7 +30,7 @@ def split_job(
     eligible_flags: Sequence[str] | None = None,
 ) -> None:
     """Join features with targets, label every series in time order, write by group, load date and split."""
-    with_group = readers._in_groups(readers._parquet(spark, features), groups)
+    with_group = readers.in_groups(readers.read_parquet(spark, features), groups)
     feature = split.filter_train_start(split.drop_partition_columns(with_group, [N.LOAD_DATE]), train_start)
     if eligible_flags and train_start:
         feature = split.join_eligible_series(
@@ -69,7 +70,9 @@ def evaluate_production_job(
     The rows are scored once, into one table the five outputs are cut from.
     """
     rows = readers.scan_test_split(spark, test_base, groups)
-    predicted = _scored_table(spark, cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2), out)
+    predicted = cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2)
+    stored = list(dict.fromkeys(c for cols in (N.FINAL_COLUMNS, *N.STEP_COLUMNS.values()) for c in cols))
+    predicted = _scored_table(spark, predicted, stored, out)
     for step, frame in cascade.step_frames(predicted).items():
         writers.write_step_csv(frame, out, step, N.STEP_COLUMNS[step])
     writers.write_step_csv(predicted, out, "final_prediction", N.FINAL_COLUMNS)
@@ -118,14 +121,26 @@ def technical_metrics(frames: Mapping[str, DataFrame], t1: float, t2: float) ->
     return stacked.agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in columns])
 
 
-def new_model_frames(steps: Mapping[str, DataFrame], t1: float, t2: float) -> dict[str, DataFrame]:
-    """What each new model is scored on: the rows the cascade would have routed to it."""
-    rest = cascade.join_step1_step2(steps["step_1"], steps["step_2"], t1)
+def new_model_frames(
+    spark: SparkSession, steps: Mapping[str, DataFrame], t1: float, t2: float, scratch: str
+) -> dict[str, DataFrame]:
+    """What each new model is scored on: the rows the cascade would have routed to it.
+
+    Several passes run over each of these joins, so their target and prediction columns are stored first.
+    """
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.parquet(f"{scratch}/{name}")
+
+    narrow = steps["step_1"].select(*N.KEYS, N.BINARY_PRED)
+    rest = stored("step_2", cascade.join_step1_step2(narrow, steps["step_2"], t1).drop(N.BINARY_PRED))
+    lower = cascade.join_lower_stock(rest, steps["step_3"].select(*N.KEYS, N.ORIG_PRED, N.TARGET_LS), t2)
+    higher = cascade.join_higher_stock(rest, steps["step_4"].select(*N.KEYS, N.ORIG_PRED, N.TARGET_HS), t2)
     return {
         "step_1": steps["step_1"].where(cascade.is_oos(t1)),
         "step_2": rest,
-        "step_3": cascade.join_lower_stock(rest, steps["step_3"], t2),
-        "step_4": cascade.join_higher_stock(rest, steps["step_4"], t2),
+        "step_3": stored("step_3", lower.select(N.ORIG_PRED, N.TARGET_LS)),
+        "step_4": stored("step_4", higher.select(N.ORIG_PRED, N.TARGET_HS)),
     }
 
 
@@ -143,7 +158,7 @@ def score_job(
         s: readers.scan_step_predictions(spark, predictions, s, by_group).drop(N.LOCATION_GROUP) for s in N.STEPS
     }
     if new_models:
-        steps = new_model_frames(steps, t1, t2)
+        steps = new_model_frames(spark, steps, t1, t2, scratch_path(spark, "model-rows"))
         final = readers.scan_final_prediction_csv(spark, predictions, "flat", best=True)
     else:
         final = readers.scan_final_prediction_csv(spark, predictions, "group" if by_group else "step")
@@ -175,7 +190,7 @@ def infer_job(
     rows = readers.scan_inference_features(spark, features, load_date, groups)
     stats = readers.scan_confidence_document(spark, confidence_path)
     predicted = cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2)
-    table = _scored_table(spark, confidence.with_confidence(predicted, stats, t1, t2), out)
+    table = _scored_table(spark, confidence.with_confidence(predicted, stats, t1, t2), N.CONCATENATED_COLUMNS, out)
     writers.write_step_csv(table, f"{out}/temp", "OOS", N.DAILY_COLUMNS)
     writers.write_step_csv(table, f"{out}/temp", "concatenated", N.CONCATENATED_COLUMNS)
     frames = cascade.step_frames(table)
@@ -184,14 +199,16 @@ def infer_job(
     writers.write_group_csv(table, f"{out}/prediction", N.DAILY_COLUMNS)
 
 
-def _scored_table(spark: SparkSession, predicted: DataFrame, out: str) -> DataFrame:
+def _scored_table(spark: SparkSession, predicted: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
     """Store scored rows next to the outputs and read them back: several sinks then share one scoring run.
 
-    A stored table also survives lost executors, which a cache would not.
+    Only the columns some output needs are kept. A stored table also survives lost executors, which a cache
+    would not. Groups arrive as input partitions, so writing by group needs no shuffle.
     """
     path = f"{out}/scored"
-    predicted.write.mode("overwrite").partitionBy(N.LOCATION_GROUP, N.BRANCH).parquet(path)
-    return readers._parquet(spark, path)
+    rows = predicted.select(*columns, N.LOCATION_GROUP, N.BRANCH)
+    rows.write.mode("overwrite").partitionBy(N.LOCATION_GROUP, N.BRANCH).parquet(path)
+    return readers.read_parquet(spark, path)
 
 
 def audit_job(

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from shelfspark.functions import parse_iso_date
 from shelfspark.functions.scalar import without_nan
-from shelfspark.names import DATA_SPLIT, DATE, LOAD_DATE, LOCATION_GROUP
+from shelfspark.names import DATA_SPLIT, LOAD_DATE, LOCATION_GROUP
 from shelfspark.operators.confidence import document_schema, flatten_document
 from shelfspark.operators.split import (
     FEATURE_BOOKKEEPING,
@@ -29,7 +29,7 @@ _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 @contextmanager
-def _text_partitions(spark: SparkSession) -> Iterator[None]:
+def text_partitions(spark: SparkSession) -> Iterator[None]:
     """Partition values stay text while the relation is resolved: group ``01`` must not become 1."""
     before = spark.conf.get(_INFERENCE)
     spark.conf.set(_INFERENCE, "false")
@@ -39,23 +39,23 @@ def _text_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_INFERENCE, before)
 
 
-def _parquet(spark: SparkSession, path: str) -> DataFrame:
-    with _text_partitions(spark):
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    with text_partitions(spark):
         return without_nan(spark.read.parquet(path))
 
 
-def _in_groups(df: DataFrame, groups: Sequence[str] | None) -> DataFrame:
+def in_groups(df: DataFrame, groups: Sequence[str] | None) -> DataFrame:
     return df if groups is None else df.where(F.col(LOCATION_GROUP).isin(list(groups)))
 
 
 def scan_feature_store(spark: SparkSession, base: str, groups: Sequence[str] | None = None) -> DataFrame:
-    return drop_partition_columns(_in_groups(_parquet(spark, base), groups), FEATURE_BOOKKEEPING)
+    return drop_partition_columns(in_groups(read_parquet(spark, base), groups), FEATURE_BOOKKEEPING)
 
 
 def scan_target_store(
     spark: SparkSession, base: str, groups: Sequence[str] | None = None, last_train_date: str | None = None
 ) -> DataFrame:
-    loads = filter_incremental_load(_in_groups(_parquet(spark, base), groups), last_train_date)
+    loads = filter_incremental_load(in_groups(read_parquet(spark, base), groups), last_train_date)
     return drop_partition_columns(loads, TARGET_BOOKKEEPING)
 
 
@@ -63,16 +63,16 @@ def scan_inference_features(
     spark: SparkSession, base: str, load_date: str, groups: Sequence[str] | None = None
 ) -> DataFrame:
     """Features of one day; keeps the group, by which the outputs are laid out."""
-    return _in_groups(_parquet(spark, base), groups).where(F.col(LOAD_DATE) == load_date)
+    return in_groups(read_parquet(spark, base), groups).where(F.col(LOAD_DATE) == load_date)
 
 
 def scan_test_split(spark: SparkSession, base: str, groups: Sequence[str] | None = None) -> DataFrame:
     """Held-out rows over all load dates."""
-    return _in_groups(_parquet(spark, base), groups).where(F.col(DATA_SPLIT) == "test").drop(DATA_SPLIT)
+    return in_groups(read_parquet(spark, base), groups).where(F.col(DATA_SPLIT) == "test").drop(DATA_SPLIT)
 
 
 def scan_audit_features(spark: SparkSession, base: str, load_date: str) -> DataFrame:
-    return _parquet(spark, base).where(F.col(LOAD_DATE) == load_date).drop(LOAD_DATE)
+    return read_parquet(spark, base).where(F.col(LOAD_DATE) == load_date).drop(LOAD_DATE)
 
 
 def _typed(name: str, kind: T.DataType) -> Column:
@@ -91,7 +91,7 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, b
     With ``base`` the partition directories below it become columns.
     """
     reader = spark.read.option("header", True)
-    with _text_partitions(spark):
+    with text_partitions(spark):
         raw = (reader.option("basePath", base) if base else reader).csv(path)
     group = [F.col(c) for c in raw.columns if c.lower() == LOCATION_GROUP] if base else []
     return without_nan(raw.select(*[_typed(f.name, f.dataType) for f in schema.fields], *group))
@@ -123,7 +123,7 @@ def scan_final_prediction_csv(
 
 
 def scan_final_prediction_parquet(spark: SparkSession, base: str, load_date: str) -> DataFrame:
-    return _parquet(spark, f"{base}/LOAD_DATE={load_date}/final_prediction")
+    return read_parquet(spark, f"{base}/LOAD_DATE={load_date}/final_prediction")
 
 
 def scan_audit_actuals(spark: SparkSession, path: str) -> DataFrame:
@@ -160,5 +160,3 @@ def scan_model_scores(spark: SparkSession, paths: dict[str, str], runs: dict[str
         first = first.unionByName(other)
     return first
 
-
-__all__ = [name for name in dir() if name.startswith("scan_")] + ["read_csv", "DATE"]

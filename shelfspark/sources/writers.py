@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from shelfspark.names import DATA_SPLIT, LOAD_DATE, LOCATION_GROUP
 
 
-def _balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by]) if by else df.hint("rebalance")
 
 
 def _csv(df: DataFrame, path: str, by: Sequence[str], balance: bool) -> None:
-    writer = (_balanced(df, by) if balance else df).write.mode("overwrite").option("header", True)
+    writer = (balanced(df, by) if balance else df).write.mode("overwrite").option("header", True)
     (writer.partitionBy(*by) if by else writer).csv(path)
 
 
@@ -28,7 +28,7 @@ def write_split_parquet(df: DataFrame, base: str, load_date: str | None = None)
     out = df if load_date is None else df.withColumn(LOAD_DATE, F.lit(load_date))
     by = [c for c in (LOCATION_GROUP, LOAD_DATE, DATA_SPLIT) if c in out.columns]
     (
-        _balanced(out, by)
+        balanced(out, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
