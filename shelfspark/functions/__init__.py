@@ -3,6 +3,7 @@ from shelfspark.functions.scalar import (
     band_columns,
     binarize,
     bucket_index,
+    double,
     nan_to_null,
     oos_exact,
     oos_nonpositive,

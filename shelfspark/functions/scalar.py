@@ -86,17 +86,20 @@ def band_columns(df: DataFrame, pred: str = ORIG_PRED) -> DataFrame:
     )
 
 
-def bucket_index(score: Column | str, cuts: Sequence[float]) -> Column:
-    """How many of the ascending cut-offs lie strictly below the score (NULL for a missing score).
+def bucket_index(score: str, cuts: Sequence[float]) -> Column:
+    """How many of the ascending cut-offs lie strictly below a score column (NULL for a missing score).
 
     Written as a balanced tree of comparisons: log2(len(cuts)) of them per row, all JVM-side.
     """
-    score = _col(score)
-
-    def search(lo: int, hi: int) -> Column:
+    def search(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(score > F.lit(float(cuts[mid])), search(mid + 1, hi)).otherwise(search(lo, mid))
+        return f"IF({score} > {double(cuts[mid])}, {search(mid + 1, hi)}, {search(lo, mid)})"
+
+    return F.expr(f"IF({score} IS NULL OR isnan({score}), NULL, {search(0, len(cuts))})")
+
 
-    return F.when(score.isNotNull(), search(0, len(cuts)))
+def double(value: float) -> str:
+    """A double literal in SQL text, exact to the last bit."""
+    return f"{float(value)!r}D" if "e" not in repr(float(value)) else f"CAST('{float(value)!r}' AS DOUBLE)"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.functions import lower_bins, percent, round_n, upper_bins
+from shelfspark.functions import double, lower_bins, upper_bins
 from shelfspark.names import (
     BINARY_PRED,
     CONFIDENCE_DOCUMENT,
@@ -25,24 +25,23 @@ from shelfspark.operators.cascade import mask_outputs
 Bins = list[tuple[float, float, bool]]
 
 
-def _in_bin(score: str | Column, start: float, end: float, closed: bool) -> Column:
-    score = F.col(score) if isinstance(score, str) else score
-    upper = score <= F.lit(end) if closed else score < F.lit(end)
-    return (score >= F.lit(start)) & upper
+def _in_bin(score: str, start: float, end: float, closed: bool) -> str:
+    return f"{score} >= {double(start)} AND {score} {'<=' if closed else '<'} {double(end)}"
 
 
-def _sides(t1: float, t2: float, close_last: bool) -> dict[str, tuple[Column, str, Bins]]:
+def _sides(t1: float, t2: float, close_last: bool) -> dict[str, tuple[str, str, Bins]]:
     """Condition, probability column and bins of the four (classifier, side) pairs.
 
     Unlike the cascade, these cut-offs are inclusive from above: ``>= t`` and ``< t``.
     """
-    bp, low, target = F.col(BINARY_PRED), F.col(ORIG_PRED_LOW), F.col(TARGET_OOS)
-    rest = bp < F.lit(float(t1))
+    called, rest = f"{BINARY_PRED} >= {double(t1)}", f"{BINARY_PRED} < {double(t1)}"
+    true, false = f"{TARGET_OOS} = 1", f"{TARGET_OOS} = 0"
+    out, stocked = f"{ORIG_PRED_LOW} = 0", f"{ORIG_PRED_LOW} > 0"
     return {
-        "oos_tp": ((bp >= F.lit(float(t1))) & (target == 1), BINARY_PRED, upper_bins(t1, close_last)),
-        "oos_tn": (rest & (target == 0), BINARY_PRED, lower_bins(t1)),
-        "hl_tp": (rest & (low == 0) & (target == 1), HL_ORIG_PRED, upper_bins(t2, close_last)),
-        "hl_tn": (rest & (low > 0) & (target == 0), HL_ORIG_PRED, lower_bins(t2)),
+        "oos_tp": (f"{called} AND {true}", BINARY_PRED, upper_bins(t1, close_last)),
+        "oos_tn": (f"{rest} AND {false}", BINARY_PRED, lower_bins(t1)),
+        "hl_tp": (f"{rest} AND {out} AND {true}", HL_ORIG_PRED, upper_bins(t2, close_last)),
+        "hl_tn": (f"{rest} AND {stocked} AND {false}", HL_ORIG_PRED, lower_bins(t2)),
     }
 
 
@@ -52,35 +51,34 @@ def confidence_metrics(df: DataFrame, t1: float = 0.4, t2: float = 0.4, close_la
     There are at most ten bins a side, so each is one more conditional count and no join is needed.
     """
     sides = _sides(t1, t2, close_last)
-    bp, hl, low, target = (F.col(c) for c in (BINARY_PRED, HL_ORIG_PRED, ORIG_PRED_LOW, TARGET_OOS))
-    rest = bp < F.lit(float(t1))
-    counts = [F.count(F.lit(1)).alias("n_oos"), F.count_if(rest).alias("n_hl")]
+    rest = f"{BINARY_PRED} < {double(t1)}"
+    counts = {"n_oos": "count(*)", "n_hl": f"count_if({rest})"}
     for side, (cond, score, bins) in sides.items():
-        counts.append(F.count_if(cond).alias(f"n_{side}"))
-        counts.append(F.sum(F.when(cond, F.col(score))).alias(f"sum_{side}"))
-        for i, bin_ in enumerate(bins):
-            counts.append(F.count_if(cond & _in_bin(score, *bin_)).alias(f"n_{side}_{i}"))
-    for model, part in (("lt", rest & (hl >= F.lit(float(t2)))), ("hs", rest & (hl < F.lit(float(t2))))):
-        counts.append(F.count_if(part).alias(f"n_{model}"))
-        counts.append(F.count_if(part & (low == 0) & (target == 1)).alias(f"n_{model}_tp"))
-        counts.append(F.count_if(part & (low > 0) & (target == 0)).alias(f"n_{model}_tn"))
-    row = df.agg(*counts)
-
-    out: list[Column] = []
+        counts[f"n_{side}"] = f"count_if({cond})"
+        counts[f"sum_{side}"] = f"sum({score}) FILTER (WHERE {cond})"
+        counts |= {f"n_{side}_{i}": f"count_if({cond} AND {_in_bin(score, *bin_)})" for i, bin_ in enumerate(bins)}
+    for model, part in (("lt", f"{HL_ORIG_PRED} >= {double(t2)}"), ("hs", f"{HL_ORIG_PRED} < {double(t2)}")):
+        counts[f"n_{model}"] = f"count_if({rest} AND {part})"
+        for side in ("tp", "tn"):
+            counts[f"n_{model}_{side}"] = f"count_if({part} AND {sides[f'hl_{side}'][0]})"
+    row = df.agg(*[F.expr(sql).alias(name) for name, sql in counts.items()])
+
+    def share(n: str, of: str) -> str:
+        """Percent with two decimals, 0 when there is nothing to divide by."""
+        return f"IF({of} > 0, rint({n} / {of} * 100D * 100D) / 100D, 0D)"
+
+    out = []
     for side, (_, _, bins) in sides.items():
         model = side.split("_")[0]
-        n = F.col(f"n_{side}")
-        mean = F.when(n > 0, round_n(F.coalesce(F.col(f"sum_{side}"), F.lit(0.0)) / n, 2)).otherwise(F.lit(0.0))
-        shares = [c for i, (start, _, _) in enumerate(bins)
-                  for c in (F.lit(str(start)), percent(F.col(f"n_{side}_{i}"), n))]
+        bars = ", ".join(f"'{start}', {share(f'n_{side}_{i}', f'n_{side}')}" for i, (start, _, _) in enumerate(bins))
         out += [
-            percent(n, F.col(f"n_{model}")).alias(f"{side}_percent"),
-            mean.alias(f"{side}_mean"),
-            F.create_map(*shares).cast("map<string,double>").alias(f"{side}_bins"),
+            f"{share(f'n_{side}', f'n_{model}')} AS {side}_percent",
+            f"IF(n_{side} > 0, rint(coalesce(sum_{side}, 0D) / n_{side} * 100D) / 100D, 0D) AS {side}_mean",
+            f"CAST(map({bars}) AS map<string, double>) AS {side}_bins",
         ]
     for side in ("lt_tp", "lt_tn", "hs_tp", "hs_tn"):
-        out.append(percent(F.col(f"n_{side}"), F.col(f"n_{side.split('_')[0]}")).alias(f"{side}_percent"))
-    return row.select(*out)
+        out.append(f"{share(f'n_{side}', f'n_{side[:2]}')} AS {side}_percent")
+    return row.selectExpr(*out)
 
 
 def confidence_oos(df: DataFrame, t1: float = 0.4) -> DataFrame:
@@ -185,9 +183,10 @@ def confidence_rule(
 
     def share(score: Column, bins: Bins, shares: Mapping[str, float]) -> Column:
         expr = F.lit(None).cast("double")
-        for start, end, closed in bins:
+        for start, end, _ in bins:
             if str(start) in shares:
-                expr = F.when(_in_bin(score, start, end, closed), F.lit(float(shares[str(start)]))).otherwise(expr)
+                held = (score >= F.lit(start)) & (score < F.lit(end))
+                expr = F.when(held, F.lit(float(shares[str(start)]))).otherwise(expr)
         return expr
 
     def level(score: Column, t: float, means: tuple, bins: tuple, lean: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.functions import binarize, percent, ratio, round_n
+from shelfspark.functions import double, percent, ratio, round_n
 from shelfspark.names import (
     ACTUAL_OOS,
     AUDIT_DOCUMENT,
@@ -29,28 +29,30 @@ CONFUSION = ["tp", "fn", "tn", "fp"]
 RATES = ["tp_percent", "fn_percent", "tn_percent", "fp_percent", "precision", "recall", "f1_score", "accuracy"]
 
 
-def _confusion(actual: Column, not_actual: Column, predicted: Column, not_predicted: Column) -> list[Column]:
+def _count_if(cond: str, name: str) -> Column:
+    return F.expr(f"count_if({cond})").alias(name)
+
+
+def _confusion(actual: str, not_actual: str, predicted: str, not_predicted: str) -> list[Column]:
     return [
-        F.count_if(actual & predicted).alias("tp"),
-        F.count_if(actual & not_predicted).alias("fn"),
-        F.count_if(not_actual & not_predicted).alias("tn"),
-        F.count_if(not_actual & predicted).alias("fp"),
+        _count_if(f"{actual} AND {predicted}", "tp"),
+        _count_if(f"{actual} AND {not_predicted}", "fn"),
+        _count_if(f"{not_actual} AND {not_predicted}", "tn"),
+        _count_if(f"{not_actual} AND {predicted}", "fp"),
     ]
 
 
 def flag_confusion(actual: str = ACTUAL_OOS, predicted: str = OOS) -> list[Column]:
-    a, p = F.col(actual), F.col(predicted)
-    return _confusion(a == 1, a == 0, p == 1, p == 0)
+    return _confusion(f"{actual} = 1", f"{actual} = 0", f"{predicted} = 1", f"{predicted} = 0")
 
 
 def stock_confusion(actual: str = REV_QTY, low: str = ORIG_PRED_LOW) -> list[Column]:
-    a, p = F.col(actual), F.col(low)
-    return _confusion(a <= 0, a > 0, p <= 0, p > 0)
+    return _confusion(f"{actual} <= 0", f"{actual} > 0", f"{low} <= 0", f"{low} > 0")
 
 
 def score_confusion(target: str, score: str, threshold: float) -> list[Column]:
-    t, p = F.col(target), binarize(score, threshold)
-    return _confusion(t == 1, t == 0, p == 1, p == 0)
+    above = f"coalesce({score} > {double(threshold)}, false)"
+    return _confusion(f"{target} = 1", f"{target} = 0", above, f"NOT {above}")
 
 
 def join_audit_prediction(actual: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -105,33 +107,31 @@ def class_ratio(counts: DataFrame) -> DataFrame:
 
 
 def _business_counts(actual_oos: str) -> list[Column]:
-    rev, book = F.col(REV_QTY), F.col(CURDAY_QTY)
-    low, high = F.col(ORIG_PRED_LOW), F.col(ORIG_PRED_HIGH)
-    under, over = rev <= book, rev > book
-    inside = (low <= rev) & (high >= rev)
-    missing = F.col(actual_oos) == 1
-    pred_out, pred_in = low <= 0, low > 0
-    book_out, book_in = F.col(IP_QTY) <= 0, F.col(IP_QTY) > 0
-
-    def retail(cond: Column) -> Column:
-        total = F.sum(F.when(cond, F.col(TOTAL_RETAIL)))
-        return F.coalesce(total, F.lit(0)).cast("long")
+    under, over = f"{REV_QTY} <= {CURDAY_QTY}", f"{REV_QTY} > {CURDAY_QTY}"
+    inside = f"{ORIG_PRED_LOW} <= {REV_QTY} AND {ORIG_PRED_HIGH} >= {REV_QTY}"
+    missing = f"{actual_oos} = 1"
+    pred_out, pred_in = f"{ORIG_PRED_LOW} <= 0", f"{ORIG_PRED_LOW} > 0"
+    book_out, book_in = f"{IP_QTY} <= 0", f"{IP_QTY} > 0"
+
+    def retail(name: str, *conds: str) -> Column:
+        total = f"sum({TOTAL_RETAIL}) FILTER (WHERE {' AND '.join(conds)})"
+        return F.expr(f"CAST(coalesce({total}, 0) AS BIGINT)").alias(name)
 
     return [
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(under).alias("_under"),
-        F.count_if(under & inside).alias("_under_in"),
-        F.count_if(under & (low <= book)).alias("_under_ok"),
-        F.count_if(over).alias("_over"),
-        F.count_if(over & inside).alias("_over_in"),
-        F.count_if(over & (high > book)).alias("_over_ok"),
-        F.count_if(missing & pred_out & book_out).alias("_br_pr"),
-        F.count_if(missing & pred_in & book_out).alias("_br_pw"),
-        F.count_if(missing & pred_out & book_in).alias("_bw_pr"),
-        retail(missing & pred_out & book_out).alias("br_pr_value"),
-        retail(missing & pred_out & book_in).alias("revenue_recovery"),
-        retail(missing & pred_in).alias("model_loss"),
-        retail(missing & pred_in & book_out).alias("book_recoverable_loss"),
+        F.expr("count(*)").alias("_rows"),
+        _count_if(under, "_under"),
+        _count_if(f"{under} AND {inside}", "_under_in"),
+        _count_if(f"{under} AND {ORIG_PRED_LOW} <= {CURDAY_QTY}", "_under_ok"),
+        _count_if(over, "_over"),
+        _count_if(f"{over} AND {inside}", "_over_in"),
+        _count_if(f"{over} AND {ORIG_PRED_HIGH} > {CURDAY_QTY}", "_over_ok"),
+        _count_if(f"{missing} AND {pred_out} AND {book_out}", "_br_pr"),
+        _count_if(f"{missing} AND {pred_in} AND {book_out}", "_br_pw"),
+        _count_if(f"{missing} AND {pred_out} AND {book_in}", "_bw_pr"),
+        retail("br_pr_value", missing, pred_out, book_out),
+        retail("revenue_recovery", missing, pred_out, book_in),
+        retail("model_loss", missing, pred_in),
+        retail("book_recoverable_loss", missing, pred_in, book_out),
     ]
 
 

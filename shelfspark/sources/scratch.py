@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shelf-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``; local sessions without one get a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="shelf-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
