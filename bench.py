@@ -61,8 +61,8 @@ def cases(spark: SparkSession, t: dict[str, DataFrame]) -> dict:
     steps = [t[s] for s in N.STEPS]
     values = [round(0.05 + 0.09 * i, 2) for i in range(10)]
 
-    def search(n: int):
-        return lambda: tuning.threshold_search(*steps, values[:n], values[:n], catalog.WEIGHTS)
+    def search(n: int, unique: bool = False):
+        return lambda: tuning.threshold_search(*steps, values[:n], values[:n], catalog.WEIGHTS, unique_keys=unique)
 
     predicted = final.select(*N.KEYS, N.ORIG_PRED_LOW, N.ORIG_PRED_HIGH, N.OOS)
     return {
@@ -79,6 +79,7 @@ def cases(spark: SparkSession, t: dict[str, DataFrame]) -> dict:
         "threshold_search_1": search(1),
         "threshold_search_25": search(5),
         "threshold_search_100": search(10),
+        "threshold_search_100_unique_keys": search(10, True),
         "cascade_from_predictions": lambda: cascade.cascade_from_predictions(*steps),
         "join_target_feature": lambda: split.join_target_feature(
             t["targets"].drop("location_group", "load_date"), t["features"]

@@ -22,8 +22,7 @@ def round_n(c: Column | str, n: int) -> Column:
 
 def nan_to_null(c: Column | str) -> Column:
     """Spark orders NaN above every number, so a NaN score would pass ``score > t``. NULL does not."""
-    c = _col(c)
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(_col(c), F.lit(None).cast("double"))
 
 
 def without_nan(df: DataFrame) -> DataFrame:

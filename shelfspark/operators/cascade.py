@@ -78,10 +78,13 @@ def cascade_predict(scored: DataFrame, t1: float = 0.4, t2: float = 0.4) -> Data
     Adds the branch, quantity, band and flag; the columns a branch never computes are NULL on it.
     """
     scores = (BINARY_PRED, HL_ORIG_PRED, LS_RATIO, HS_PRED)
+    # Says the same as "the branch is not NULL" in terms of the scores: a filter is pushed down as text, and
+    # this one stays small there.
+    routable = F.col(BINARY_PRED).isNotNull() & (is_oos(t1) | F.col(HL_ORIG_PRED).isNotNull())
     routed = (
         scored.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in scores})
+        .where(routable)
         .withColumn(BRANCH, route(t1, t2))
-        .where(F.col(BRANCH).isNotNull())
     )
     out = F.col(BRANCH) == "oos"
     quantity = F.when(F.col(BRANCH) == "ls", scale_by_book(LS_RATIO)).when(F.col(BRANCH) == "hs", F.col(HS_PRED))

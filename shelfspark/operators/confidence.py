@@ -182,26 +182,33 @@ def confidence_rule(
     out_side = ensemble_out == 1
 
     def share(score: Column, bins: Bins, shares: Mapping[str, float]) -> Column:
-        expr = F.lit(None).cast("double")
-        for start, end, _ in bins:
-            if str(start) in shares:
-                held = (score >= F.lit(start)) & (score < F.lit(end))
-                expr = F.when(held, F.lit(float(shares[str(start)]))).otherwise(expr)
-        return expr
+        """Share of the bin holding the score: one comparison per edge, from the top down."""
+        ladder, above = [], None
+        for start, end, _ in sorted(bins, reverse=True):
+            if end != above:
+                ladder.append((end, None))
+            ladder.append((start, shares.get(str(start))))
+            above = start
+        value = F.lit(None).cast("double")
+        for edge, held in reversed(ladder):
+            value = F.when(score >= F.lit(edge), F.lit(held).cast("double")).otherwise(value)
+        return value
 
     def level(score: Column, t: float, means: tuple, bins: tuple, lean: Column) -> Column:
-        oos_share = share(score, upper_bins(t), bins[0])
-        ins_share = share(score, lower_bins(t), bins[1])
-        held = F.when(out_side, oos_share).otherwise(ins_share)
-        even = F.when(out_side, F.lit(100.0 / max(len(bins[0]), 1))).otherwise(F.lit(100.0 / max(len(bins[1]), 1)))
+        """Every part appears once in the expression, which keeps the generated code small enough to compile.
+
+        Points: 1 for extreme, 2 for usual, 4 for leaning the same way; negative when no bin holds the score.
+        """
+        even = [100.0 / max(len(b), 1) for b in bins]
+        usual = F.when(out_side, share(score, upper_bins(t), bins[0]) >= F.lit(even[0])).otherwise(
+            share(score, lower_bins(t), bins[1]) >= F.lit(even[1])
+        )
         extreme = F.when(out_side, score >= F.lit(float(means[0]))).otherwise(score <= F.lit(float(means[1])))
-        usual = held >= even
-        return (
-            F.when(held.isNull(), "LOW")
-            .when(extreme & usual & lean, "HIGH")
-            .when(extreme | usual, "MEDIUM")
-            .otherwise("LOW")
+        points = (
+            F.coalesce(usual.cast("int") * 2, F.lit(-8)) + extreme.cast("int") + lean.cast("int") * 4
         )
+        verdicts = ["LOW", "MEDIUM", "MEDIUM", "MEDIUM", "LOW", "MEDIUM", "MEDIUM", "HIGH"]
+        return F.coalesce(F.get(F.array(*map(F.lit, verdicts)), points), F.lit("LOW"))
 
     def leaning(tp: float, tn: float) -> Column:
         return F.when(out_side, F.lit(tp >= tn)).otherwise(F.lit(tp <= tn))

@@ -132,9 +132,8 @@ def _masked(scorer: TreeTableScorer, columns: list[pd.Series], on: np.ndarray) -
 
 
 def score_model(df: DataFrame, scorer: Scorer, out: str, active: Column | None = None) -> DataFrame:
-    """Add one score column; string-typed features are cast to integers first, on a copy of the column."""
-    typed = cast_object_features(df.select(*[F.col(c) for c in df.columns]), scorer.features)
-    return typed.withColumn(out, scorer.column(active))
+    """Add one score column; string-typed features are cast to integers first."""
+    return cast_object_features(df, scorer.features).withColumn(out, scorer.column(active))
 
 
 def score_independent(df: DataFrame, models: Mapping[str, Scorer]) -> DataFrame:
