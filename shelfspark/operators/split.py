@@ -161,6 +161,23 @@ def _first_cuts(rows: DataFrame, series: list[str], date: str, tv_frac: float, t
     )
 
 
+def _near_cut(counted: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Of each group's counted values, those in the range partition that holds ``_left``, and the rows before.
+
+    A group with very many values spans several range partitions; only one row per partition is put in order
+    to find the right one. It is named by its value range, so a recomputed sample cannot mislead.
+    """
+    parts = (
+        counted.repartitionByRange(*group, order)
+        .groupBy(F.spark_partition_id().alias("_part"), *group, "_left")
+        .agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.sum("_c").alias("_c"))
+    )
+    holding = _counted_off(parts, group, "_lo").where(_holds("_left")).select(
+        *group, "_lo", "_hi", F.col("_start").alias("_before")
+    )
+    return counted.join(holding, group, "inner").where(F.col(order).between(F.col("_lo"), F.col("_hi")))
+
+
 def _refine(rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str], tie: str) -> DataFrame:
     """Locate the cuts inside the cells they fell into: the tie value at the remaining position.
 
@@ -177,11 +194,16 @@ def _refine(rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str
         .groupBy(*group, "_left", tie)
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    found = _counted_off(inside, group, tie).where(_holds("_left")).select(
-        *group,
-        F.col(tie).alias(f"_cut_{depth}"),
-        (F.col("_left") - F.col("_start")).alias("_next_left"),
-        F.col("_c").alias("_next_size"),
+    found = (
+        _counted_off(_near_cut(inside, group, tie), group, tie)
+        .withColumns({"_end": F.col("_end") + F.col("_before"), "_start": F.col("_start") + F.col("_before")})
+        .where(_holds("_left"))
+        .select(
+            *group,
+            F.col(tie).alias(f"_cut_{depth}"),
+            (F.col("_left") - F.col("_start")).alias("_next_left"),
+            F.col("_c").alias("_next_size"),
+        )
     )
     # A cell that was not divided ends at its last row: nothing is left to locate inside it.
     return cuts.drop("_left", "_size").join(found, group, "left").withColumnsRenamed(

@@ -22,3 +22,12 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def many_range_partitions(spark):
+    """Keep AQE from merging the range partitions of small inputs into one."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)

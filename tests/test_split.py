@@ -32,7 +32,8 @@ def frame(spark, rows):
     return spark.createDataFrame([(s, day(d), a, b) for s, d, a, b in rows], "s string, date date, a int, b int")
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.usefixtures("many_range_partitions")
+@pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("ties", [["a", "b"], ["a"], []])
 def test_against_loop(spark, seed, ties):
     rng = np.random.default_rng(seed)
@@ -58,6 +59,16 @@ def test_hot_series(spark):
     assert counts == {(True, "train"): 810, (True, "validation"): 90, (True, "test"): 100}
 
 
+@pytest.mark.usefixtures("many_range_partitions")
+def test_hot_date(spark):
+    """One series has nearly all its rows on one date, so both cuts fall between the tie values of that date."""
+    rows = [("hot", 5, (i * 7) % 1000, 0) for i in range(1000)] + [("cold", i, 0, 0) for i in range(30)]
+    got = split.time_split(frame(spark, rows), ["s"], "date", ["a"], min_rows=10).where("s = 'hot'")
+    span = {r.data_split: (r.lo, r.hi, r.n) for r in got.groupBy("data_split").agg(
+        F.min("a").alias("lo"), F.max("a").alias("hi"), F.count("*").alias("n")).collect()}
+    assert span == {"train": (0, 809, 810), "validation": (810, 899, 90), "test": (900, 999, 100)}
+
+
 def test_missing_targets_are_left_out_first(spark):
     rows = [("x", i, i % 2, 0) for i in range(20)]
     df = frame(spark, rows).withColumn("t", F.when(F.col("a") == 0, 1))
