@@ -18,7 +18,7 @@ from shelfspark import names as N
 from shelfspark.operators import cascade, confidence, metrics, ranking, scorers, split, tuning
 from shelfspark.plans import catalog
 from shelfspark.plans.panel import audit_actuals, feature_store, panel, target_store
-from shelfspark.sources.scratch import scratch_path
+from shelfspark.sources.scratch import scratch_path, set_local_scratch
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -95,6 +95,7 @@ def cases(spark: SparkSession, t: dict[str, DataFrame]) -> dict:
 
 def main() -> None:
     spark = session()
+    set_local_scratch(spark)
     base = scratch_path(spark, "bench")
     tables = stored(spark, base)
     seconds = {}

@@ -1,24 +1,35 @@
-"""Where intermediate tables go: the shared folder the cluster names, never a machine-local one."""
+"""Where intermediate tables go: a folder that the driver and all executors share, named by a setting."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="shelf-")
+CLUSTER_KEY = "spark.checkpoint.dir"
+SESSION_KEY = "spark.shelfspark.scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; local sessions without one get a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path below ``spark.checkpoint.dir``, or else below ``spark.shelfspark.scratch``; one must be set."""
+    base = spark.conf.get(CLUSTER_KEY, None) or spark.conf.get(SESSION_KEY, None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder()
+        raise ValueError(f"set {CLUSTER_KEY} (or, for this session, {SESSION_KEY}) to a folder all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def set_local_scratch(spark: SparkSession) -> None:
+    """For trial runs in one JVM: name a temporary folder where the session names none. A cluster must name its own."""
+    if spark.conf.get(CLUSTER_KEY, None) or spark.conf.get(SESSION_KEY, None):
+        return
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CLUSTER_KEY} to a folder all executors share")
+    spark.conf.set(SESSION_KEY, tempfile.mkdtemp(prefix="shelf-"))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove what a job has stored below its scratch path, on whatever file system that is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
