@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfspark.sources.scratch import scratch_path
@@ -29,7 +30,7 @@ def slices(batches: Iterator[pa.RecordBatch], size_of: str) -> Iterator[pa.Recor
     """Cut Arrow batches so that no piece holds more than ``SLICE_ROWS`` rows or, but for a single long row,
     ``SLICE_CHARS`` bytes in the text column ``size_of``."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(size_of)), 0).to_numpy(
+        lengths = pc.fill_null(pc.binary_length(batch.column(size_of)), 0).to_numpy(
             zero_copy_only=False
         )
         start, total = 0, 0

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate
+from shelfspark.llm import decontaminate, huffman, packing
 from shelfspark.llm.common import table
+from shelfspark.llm.tokens import vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,19 @@ def op1_decontaminate(spark, sf):
     return report.drop("spans")
 
 
+@query
+def op5_packing(spark, sf):
+    """``documents`` in sequences of at most 4096 ids."""
+    pieces = packing.pack_documents(table(spark, sf, "documents"), vocabulary_path("word_bpe_49k.json"))
+    return packing.with_crc32(pieces, 2).drop("ids")
+
+
+@query
+def op8_token_binary(spark, sf):
+    """``documents`` through Huffman-coded files and back."""
+    return huffman.round_trip(table(spark, sf, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _OP1_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
