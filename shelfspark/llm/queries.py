@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, huffman, packing
+from shelfspark.llm import decontaminate, huffman, ngram_join, packing
 from shelfspark.llm.common import table
 from shelfspark.llm.tokens import vocabulary_path
 
@@ -35,6 +35,12 @@ def op5_packing(spark, sf):
     return packing.with_crc32(pieces, 2).drop("ids")
 
 
+@query
+def op6_ngram_join(spark, sf):
+    """Groups of ``documents`` joined by word 5-grams."""
+    return ngram_join.similar_groups(table(spark, sf, "documents"))
+
+
 @query
 def op8_token_binary(spark, sf):
     """``documents`` through Huffman-coded files and back."""
