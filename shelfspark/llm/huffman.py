@@ -183,8 +183,8 @@ def id_counts(tokens: DataFrame, dtype: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch["ids"].to_pylist():
-                got = np.bincount(np.frombuffer(ids, dtype))
+            for part in slices(iter([batch]), "ids"):
+                got = np.bincount(np.frombuffer(b"".join(part["ids"].to_pylist()), dtype))
                 if len(got) > len(total):
                     total = np.concatenate((total, np.zeros(len(got) - len(total), np.int64)))
                 total[: len(got)] += got

@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Sequence
 
 import numpy as np
 
-MEMORY, LONGEST = 600_000, 48
+MEMORY, LONGEST = 400_000, 48
 #: New units that are encoded as one text; each begins with white space, so they do not touch one another.
 JOINED = 128
 
@@ -45,6 +46,12 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.normalizes = self.library.normalizer is not None
+        vocabulary = self.library.get_vocab()
+        suffix = getattr(self.library.model, "end_of_word_suffix", None) or ""
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # in these vocabularies a character of a token stands for a byte
+            self.id_bytes[i] = len(token.removesuffix(suffix))
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -60,17 +67,28 @@ class Encoder:
         rest = [u for u in units if u[0].isspace() and not u[-1].isspace()]
         groups = [rest[i : i + JOINED] for i in range(0, len(rest), JOINED)]
         for group, e in zip(
-            groups, self.library.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True
+            groups, self.library.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False), strict=True
         ):
-            ends = np.cumsum([len(u) for u in group])
-            ids = np.array(e.ids, self.dtype).tobytes()
-            starts = np.array([s for s, _ in e.offsets], int)
-            width = self.dtype.itemsize
-            cuts = (np.searchsorted(starts, ends) * width).tolist()
-            for u, a, b in zip(group, [0, *cuts], cuts, strict=False):
-                out[u] = ids[a:b]
+            ids = np.array(e.ids, self.dtype)
+            ends = np.cumsum(self.id_bytes[ids])
+            want = np.cumsum([self._n_bytes(u) for u in group])
+            cuts = np.searchsorted(ends, want)
+            if ends[-1] == want[-1] and (ends[cuts] == want).all():
+                packed, width = ids.tobytes(), self.dtype.itemsize
+                cuts = ((cuts + 1) * width).tolist()
+                for u, a, b in zip(group, [0, *cuts], cuts, strict=False):
+                    out[u] = packed[a:b]
+            else:
+                out.update(zip(group, self._encode(group), strict=True))
         return out
 
+    def _n_bytes(self, unit: str) -> int:
+        """Bytes that the ids of a unit stand for: those of the unit, or of its normalised form without white space."""
+        if not self.normalizes:
+            return len(unit.encode())
+        unit = unit.lstrip().lower()
+        return len(unit) if unit.isascii() else len(unicodedata.normalize("NFC", unit).encode())
+
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text, packed; a null text has none."""
         units = [None if not t or _WHOLE.search(t) else _UNIT.findall(t) for t in texts]
