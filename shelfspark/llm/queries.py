@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, huffman, ngram_join, packing
+from shelfspark.llm import decontaminate, embed_dedup, huffman, ngram_join, packing
 from shelfspark.llm.common import table
 from shelfspark.llm.tokens import vocabulary_path
 
@@ -47,6 +47,12 @@ def op8_token_binary(spark, sf):
     return huffman.round_trip(table(spark, sf, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+@query
+def op9_embedding_dedup(spark, sf):
+    """Links and components of ``embeddings`` at a cosine of 0.95."""
+    return embed_dedup.near_duplicates(table(spark, sf, "embeddings"))
+
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _OP1_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
