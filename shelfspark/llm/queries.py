@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, embed_dedup, huffman, ngram_join, packing
+from shelfspark.llm import decontaminate, embed_dedup, huffman, ngram_join, packing, quality
 from shelfspark.llm.common import table
 from shelfspark.llm.tokens import vocabulary_path
 
@@ -28,6 +28,14 @@ def op1_decontaminate(spark, sf):
     return report.drop("spans")
 
 
+@query
+def op3_quality(spark, sf):
+    """A quality score for each of ``documents``, learned from ``labels``."""
+    docs = table(spark, sf, "documents")
+    scored = quality.quality_scores(docs, quality.fit_quality(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_packing(spark, sf):
     """``documents`` in sequences of at most 4096 ids."""
