@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, embed_dedup, huffman, ngram_join, packing, quality
+from shelfspark.llm import decontaminate, embed_dedup, huffman, ngram_join, packing, pii, quality
 from shelfspark.llm.common import table
 from shelfspark.llm.tokens import vocabulary_path
 
@@ -61,6 +61,13 @@ def op9_embedding_dedup(spark, sf):
     return embed_dedup.near_duplicates(table(spark, sf, "embeddings"))
 
 
+@query
+def op10_pii(spark, sf):
+    """``documents`` with surrogates for personal data and secrets."""
+    done = pii.replace_entities(table(spark, sf, "documents"))
+    return done.select("doc_id", "text", "n_entities", "kinds")
+
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _OP1_WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
