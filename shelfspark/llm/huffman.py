@@ -25,11 +25,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfspark.llm.common import slices, stored
 from shelfspark.llm.token_files import open_file, write_file
@@ -251,9 +249,10 @@ def write_token_files(
     )
 
 
-def read_token_files(files: DataFrame, dtype: str = "<u4") -> DataFrame:
-    """``file int, place long, doc_id long, start long, ids binary`` of every document in the files; ``place`` and
-    ``start`` count the documents and ids before it in its file."""
+def read_token_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
+    """``file int, place long, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary`` of every document
+    in the files. ``place`` and ``start`` count the documents and ids before it in its file; ``ids`` are little-endian
+    unsigned 32-bit integers, over which the checksum goes, or null without ``with_ids``."""
     n = files.count()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +261,7 @@ def read_token_files(files: DataFrame, dtype: str = "<u4") -> DataFrame:
                 place, start, held = 0, 0, []
                 with open_file(path) as stream:
                     for ids, rows in read_blocks(stream):
-                        docs, places, starts, out, at = [], [], [], [], 0
+                        docs, places, starts, sizes, sums, out, at = [], [], [], [], [], [], 0
                         for i, k, flags in rows.tolist():
                             held.append(ids[at : at + k])
                             at += k
@@ -271,7 +270,10 @@ def read_token_files(files: DataFrame, dtype: str = "<u4") -> DataFrame:
                                 docs.append(None if flags & _NULL else i)
                                 places.append(place)
                                 starts.append(start)
-                                out.append(whole.astype(dtype).tobytes())
+                                packed = whole.astype("<u4").tobytes()
+                                sizes.append(len(whole))
+                                sums.append(zlib.crc32(packed))
+                                out.append(packed if with_ids else None)
                                 place, start, held = place + 1, start + len(whole), []
                         yield pa.RecordBatch.from_arrays(
                             [
@@ -279,15 +281,19 @@ def read_token_files(files: DataFrame, dtype: str = "<u4") -> DataFrame:
                                 pa.array(places, pa.int64()),
                                 pa.array(docs, pa.int64()),
                                 pa.array(starts, pa.int64()),
+                                pa.array(sizes, pa.int64()),
+                                pa.array(sums, pa.int64()),
                                 pa.array(out, pa.binary()),
                             ],
-                            ["file", "place", "doc_id", "start", "ids"],
+                            ["file", "place", "doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                         )
 
     return (
         files.select("file", "path")
         .repartition(max(1, n))
-        .mapInArrow(read, "file int, place long, doc_id long, start long, ids binary")
+        .mapInArrow(
+            read, "file int, place long, doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+        )
     )
 
 
@@ -301,13 +307,7 @@ def round_trip(docs: DataFrame, vocabulary: str, **named) -> DataFrame:
     """Write the files, read them back: ``doc_id, start long, n_tokens long, ids_crc32 long`` of each document."""
     files = write_token_files(docs, vocabulary, scratch_path(docs.sparkSession, "token-files"), **named)
 
-    @F.pandas_udf(T.LongType())
-    def crc(ids: pd.Series) -> pd.Series:
-        return ids.map(zlib.crc32).astype("int64")
-
-    found = read_token_files(files).select(
-        "file", "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32")
-    )
+    found = read_token_files(files, with_ids=False).drop("ids", "place")
     return found.join(F.broadcast(file_starts(files)), "file").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )

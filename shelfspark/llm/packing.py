@@ -7,7 +7,7 @@ tree over the room left in each sequence finds that first one in logarithmic tim
 little padding: what first-fit decreasing wastes lies in a group's last sequences.
 
 Nulls and ties: a null or empty text is a document with just the end id. A null or repeated ``doc_id`` is packed row by
-row like any other. Pieces of one length are taken by id, start and ids. An empty table gives no pieces.
+row like any other. Pieces of one length are taken by id, start and checksum. An empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -62,10 +62,11 @@ def first_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[t
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, doc_id: str, text: str, end_id: int, capacity: int
+    docs: DataFrame, vocabulary: str, doc_id: str, text: str, end_id: int, capacity: int, with_ids: bool = True
 ) -> DataFrame:
-    """``doc_id, start long, length long, doc_tokens long, row long, ids binary``, ids little-endian unsigned 16 or
-    32 bit as the vocabulary needs; ``row`` numbers the documents of a task."""
+    """``doc_id, start long, length long, doc_tokens long, row long, ids_crc32 long, ids binary``. ``row`` numbers the
+    documents of a task; the checksum is that of unsigned 32-bit ids; ``ids`` are little-endian unsigned 16 or 32 bit
+    as the vocabulary needs, or null."""
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = named.schema["doc_id"].dataType.simpleString()
 
@@ -73,7 +74,7 @@ def token_pieces(
         enc, row = encoder(vocabulary), 0
         width, end = enc.dtype.itemsize, np.array([end_id], enc.dtype).tobytes()
         for batch in slices(batches, "text"):
-            which, starts, lengths, totals, rows, out = [], [], [], [], [], []
+            which, starts, lengths, totals, rows, sums, out = [], [], [], [], [], [], []
             for k, ids in enumerate(enc.encode(batch["text"].to_pylist())):
                 ids += end
                 n = len(ids) // width
@@ -84,16 +85,17 @@ def token_pieces(
                     lengths.append(len(piece) // width)
                     totals.append(n)
                     rows.append(row)
-                    out.append(piece)
+                    sums.append(ids_crc32(np.frombuffer(piece, enc.dtype)))
+                    out.append(piece if with_ids else None)
                 row += 1
-            longs = [pa.array(x, pa.int64()) for x in (starts, lengths, totals, rows)]
+            longs = [pa.array(x, pa.int64()) for x in (starts, lengths, totals, rows, sums)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"].take(pa.array(which, pa.int64())), *longs, pa.array(out, pa.binary())],
-                ["doc_id", "start", "length", "doc_tokens", "row", "ids"],
+                ["doc_id", "start", "length", "doc_tokens", "row", "ids_crc32", "ids"],
             )
 
     return named.mapInArrow(
-        cut, f"doc_id {id_type}, start long, length long, doc_tokens long, row long, ids binary"
+        cut, f"doc_id {id_type}, start long, length long, doc_tokens long, row long, ids_crc32 long, ids binary"
     )
 
 
@@ -106,21 +108,23 @@ def pack_documents(
     capacity: int = CAPACITY,
     group_pieces: int = GROUP_PIECES,
     seed: int = 7,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: ``sequence_id long, offset long, doc_id, start long, length long, doc_tokens long, ids
-    binary``. A sequence is its pieces in the order of ``offset``, which is gapless from 0."""
+    """One row per piece: ``sequence_id long, offset long, doc_id, start long, length long, doc_tokens long, ids_crc32
+    long, ids binary``. A sequence is its pieces in the order of ``offset``, which is gapless from 0. Without
+    ``with_ids`` the ids, which make up nearly all bytes, are not moved, and ``ids`` is null."""
     # A text has at most as many ids as bytes, and mostly a third; this sizes the groups and nothing else.
     guess = docs.agg(F.sum(F.lit(1) + F.coalesce(F.length(text), F.lit(0)) / F.lit(3 * capacity))).first()[0] or 0
     n_groups = max(1, round(guess / group_pieces))
-    pieces = token_pieces(docs, vocabulary, doc_id, text, end_id, capacity).withColumn(
+    pieces = token_pieces(docs, vocabulary, doc_id, text, end_id, capacity, with_ids).withColumn(
         "pack_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "row"), F.lit(n_groups))
     )
     id_type = pieces.schema["doc_id"].dataType.simpleString()
 
     def pack(key, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "start", "ids"], ascending=[False, True, True, True])
+        group = group.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
         placed = np.array(first_fit_decreasing(group["length"].tolist(), capacity), np.int64).reshape(-1, 2)
-        out = group[["doc_id", "start", "length", "doc_tokens", "ids"]].copy()
+        out = group[["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]].copy()
         out.insert(0, "offset", placed[:, 1])
         out.insert(0, "sequence_id", (np.int64(key[0]) << 32) + placed[:, 0])
         return out
@@ -130,17 +134,8 @@ def pack_documents(
         .groupBy("pack_group")
         .applyInPandas(
             pack,
-            f"sequence_id long, offset long, doc_id {id_type}, start long, length long, doc_tokens long, ids binary",
+            f"sequence_id long, offset long, doc_id {id_type}, start long, length long, doc_tokens long, ids_crc32 long, "
+            "ids binary",
         )
     )
 
-
-def with_crc32(pieces: DataFrame, id_bytes: int) -> DataFrame:
-    """Adds ``ids_crc32``, of the piece's ids as little-endian unsigned 32-bit integers."""
-    dtype = f"<u{id_bytes}"
-
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda b: ids_crc32(np.frombuffer(b, dtype))).astype("int64")
-
-    return pieces.withColumn("ids_crc32", crc("ids"))

@@ -39,8 +39,8 @@ def op3_quality(spark, sf):
 @query
 def op5_packing(spark, sf):
     """``documents`` in sequences of at most 4096 ids."""
-    pieces = packing.pack_documents(table(spark, sf, "documents"), vocabulary_path("word_bpe_49k.json"))
-    return packing.with_crc32(pieces, 2).drop("ids")
+    docs = table(spark, sf, "documents")
+    return packing.pack_documents(docs, vocabulary_path("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 
 @query

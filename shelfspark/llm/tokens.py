@@ -14,6 +14,8 @@ young one is full it becomes the old one; a unit found in the old one moves back
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
 import unicodedata
@@ -21,13 +23,16 @@ import zlib
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 
-MEMORY, LONGEST = 400_000, 48
+MEMORY, LONGEST = 300_000, 48
 #: New units that are encoded as one text; each begins with white space, so they do not touch one another.
 JOINED = 128
 
 _UNIT = re.compile(r"\s*\S+|\s+")
-_WHOLE = re.compile("<\\||[\x1c-\x1f]")
+#: A word and the ASCII marks behind it (no apostrophe), which the rules always take apart.
+_MARKED = re.compile(r"(\s*[^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)\Z")
+_WHOLE = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -37,6 +42,13 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on beside others, and its allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Encoder:
     """Texts to little-endian ids, ``uint16`` where the vocabulary allows it and else ``uint32``."""
 
@@ -52,6 +64,7 @@ class Encoder:
         self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # in these vocabularies a character of a token stands for a byte
             self.id_bytes[i] = len(token.removesuffix(suffix))
+        self.calls = 0
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -91,14 +104,27 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """The ids of each text, packed; a null text has none."""
-        units = [None if not t or _WHOLE.search(t) else _UNIT.findall(t) for t in texts]
+        units = [None if not t or any(w in t for w in _WHOLE) else _UNIT.findall(t) for t in texts]
         found = [list(map(self.young.get, us)) if us else None for us in units]
         missing: set[str] = set()
         for us, ids in zip(units, found, strict=True):
             if ids and None in ids:
                 missing.update(u for u, x in zip(us, ids, strict=True) if x is None)
         late = {u: self.old[u] for u in missing if u in self.old}
-        late |= self._encode_units([u for u in missing if u not in late])
+        parts: dict[str, tuple[str, str]] = {}
+        rest: set[str] = set()
+        for u in missing:
+            if u not in late:
+                if m := _MARKED.match(u):
+                    parts[u] = m.groups()
+                    rest.update(p for p in m.groups() if p not in self.young)
+                else:
+                    rest.add(u)
+        new = {u: self.old[u] for u in rest if u in self.old}
+        new |= self._encode_units([u for u in rest if u not in new])
+        for u, (word, marks) in parts.items():
+            late[u] = (new.get(word) or self.young[word]) + (new.get(marks) or self.young[marks])
+        late |= new
         out = []
         for text, us, ids in zip(texts, units, found, strict=True):
             if ids is None:
@@ -108,6 +134,9 @@ class Encoder:
         if len(self.young) + len(late) > MEMORY:
             self.old, self.young = self.young, {}
         self.young.update((u, x) for u, x in late.items() if len(u) <= LONGEST)
+        self.calls += 1
+        if self.calls % 16 == 0:
+            give_back()
         return out
 
 
