@@ -115,7 +115,7 @@ class Encoder:
         rest: set[str] = set()
         for u in missing:
             if u not in late:
-                if m := _MARKED.match(u):
+                if "İ" not in u and (m := _MARKED.match(u)):  # lower-cased, that letter ends in a mark
                     parts[u] = m.groups()
                     rest.update(p for p in m.groups() if p not in self.young)
                 else:
