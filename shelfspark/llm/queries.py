@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, embed_dedup, huffman, ngram_join, packing, pii, quality
+from shelfspark.llm import decontaminate, embed_dedup, html_extract, huffman, ngram_join, packing, pii, quality
 from shelfspark.llm.common import table
 from shelfspark.llm.tokens import vocabulary_path
 
@@ -28,6 +28,13 @@ def op1_decontaminate(spark, sf):
     return report.drop("spans")
 
 
+@query
+def op2_html_extract(spark, sf):
+    """Main text of ``pages``."""
+    found = html_extract.main_texts(table(spark, sf, "pages"), html_extract.fit_tree_model())
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op3_quality(spark, sf):
     """A quality score for each of ``documents``, learned from ``labels``."""
