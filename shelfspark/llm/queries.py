@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, embed_dedup, html_extract, huffman, ngram_join, packing, pii, quality
+from shelfspark.llm import decontaminate, embed_dedup, html_extract, huffman, licenses, ngram_join, packing, pii, quality, token_counts
 from shelfspark.llm.common import table
 from shelfspark.llm.tokens import vocabulary_path
 
@@ -43,6 +43,14 @@ def op3_quality(spark, sf):
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op4_token_counts(spark, sf):
+    """Ids of each of ``documents``, counted in flat files."""
+    return token_counts.document_counts(
+        table(spark, sf, "documents"), vocabulary_path("byte_bpe_50k.json"), end_id=50256
+    )
+
+
 @query
 def op5_packing(spark, sf):
     """``documents`` in sequences of at most 4096 ids."""
@@ -56,6 +64,19 @@ def op6_ngram_join(spark, sf):
     return ngram_join.similar_groups(table(spark, sf, "documents"))
 
 
+def document_files(docs: DataFrame) -> DataFrame:
+    """``documents`` as files: a directory for source, language and a number; each fortieth speaks for a language."""
+    spoken = F.concat_ws("/", "source", "lang", F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string")))
+    place = F.concat_ws("/", "source", "lang", (F.col("doc_id") % 40).cast("string"), F.col("doc_id").cast("string"))
+    return docs.select("doc_id", "text", F.when(F.col("doc_id") % 40 == 0, spoken).otherwise(place).alias("path"))
+
+
+@query
+def op7_license_scan(spark, sf):
+    """Licences of ``documents``, their own or inherited."""
+    return licenses.scan_licenses(document_files(table(spark, sf, "documents"))).drop("path")
+
+
 @query
 def op8_token_binary(spark, sf):
     """``documents`` through Huffman-coded files and back."""

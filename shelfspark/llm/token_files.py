@@ -24,12 +24,17 @@ def write_file(folder: str, name: str, chunks) -> int:
     return size
 
 
+def _uri(path: str) -> str:
+    """Hadoop writes local files as ``file:/...``."""
+    return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+
+
 def read_range(path: str, start: int, length: int) -> bytes:
-    fs, at = pafs.FileSystem.from_uri(path)
+    fs, at = pafs.FileSystem.from_uri(_uri(path))
     with fs.open_input_file(at) as f:
         return f.read_at(length, start)
 
 
 def open_file(path: str):
-    fs, at = pafs.FileSystem.from_uri(path)
+    fs, at = pafs.FileSystem.from_uri(_uri(path))
     return fs.open_input_stream(at)
