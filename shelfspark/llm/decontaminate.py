@@ -132,16 +132,10 @@ def contaminated_spans(
     while the benchmark fits one block; beyond that, rows are told apart by their id and text.
     """
     spark = docs.sparkSession
-    windows = window_table(items, item_id, item_text, window).withColumn("bytes", F.length("pattern").cast("long"))
-    total = windows.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    n_blocks = max(1, -(-total // block_bytes))
-    if n_blocks > 1:
-        # Hashing deals patterns evenly; one and a half times the mean bounds a block.
-        n_blocks = -(-n_blocks * 3 // 2)
-    windows = windows.withColumn("block", F.pmod(F.xxhash64("pattern"), F.lit(n_blocks)))
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
-    scans = [_scan(named, windows.where(F.col("block") == b), spark) for b in range(n_blocks)]
-    if n_blocks == 1:
+    blocks = window_blocks(window_table(items, item_id, item_text, window), block_bytes)
+    scans = [_scan(named, block, spark) for block in blocks]
+    if len(scans) == 1:
         return scans[0].drop("text_sha")
     merged = scans[0]
     for more in scans[1:]:
@@ -153,6 +147,46 @@ def contaminated_spans(
     )
 
 
+def window_blocks(windows: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
+    """The windows in blocks of bounded size; one of them if all fit."""
+    total = windows.agg(F.coalesce(F.sum(F.length("pattern").cast("long")), F.lit(0))).first()[0]
+    if total <= block_bytes:
+        return [windows]
+    # Hashing deals patterns evenly; a block is sized for two thirds of the bound.
+    n = -(-total * 3 // (2 * block_bytes))
+    return [windows.where(F.pmod(F.xxhash64("pattern"), F.lit(n)) == b) for b in range(n)]
+
+
+def clean_documents(
+    docs: DataFrame,
+    items: DataFrame,
+    doc_text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which no window of an item occurs."""
+    for block in window_blocks(window_table(items, item_id, item_text, window), block_bytes):
+        docs = _without(docs, block, doc_text)
+    return docs
+
+
+def _without(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
+    rows = windows.select("pattern", "n_words").collect()  # at most block_bytes of patterns
+    patterns, n_words = [bytes(r[0]) for r in rows], np.array([r[1] for r in rows], int)
+    key = hash(tuple(sorted(patterns)))
+    shared = docs.sparkSession.sparkContext.broadcast((patterns, n_words))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns, n_words = shared.value
+        automaton = _automaton(key, patterns)
+        for batch in slices(batches, text):
+            yield batch.filter(pa.array([not find_spans(t, automaton, n_words)[1] for t in batch[text].to_pylist()]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 SPANS = "array<struct<items:array<string>,first_word:int,n_words:int,start:int,end:int>>"
 
 
