@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -146,32 +147,34 @@ def flatten_document(document: DataFrame) -> DataFrame:
     )
 
 
-def confidence_rule(
-    *,
-    binary_conf_score: Column,
-    hl_conf_score: Column,
-    gt_out: Column,
-    lt_out: Column,
-    ensemble_out: Column,
-    binary_tp_perc: float,
-    binary_tn_perc: float,
-    binary_min_threshold: float,
-    binary_oos_mean_prob: float,
-    binary_ins_mean_prob: float,
-    binary_oos_perc_bins: Mapping[str, float],
-    binary_ins_perc_bins: Mapping[str, float],
-    hl_tp_perc: float,
-    hl_tn_perc: float,
-    hl_min_threshold: float,
-    hl_oos_mean_prob: float,
-    hl_ins_mean_prob: float,
-    hl_oos_perc_bins: Mapping[str, float],
-    hl_ins_perc_bins: Mapping[str, float],
-    gt_tp_perc: float,
-    gt_tn_perc: float,
-    lt_tp_perc: float,
-    lt_tn_perc: float,
-) -> Column:
+@dataclass(frozen=True)
+class SideStats:
+    """What is known of one side of a model's scores: share of right calls, their mean score, shares by bin."""
+
+    share: float
+    mean: float | None = None
+    bins: Mapping[str, float] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class ModelStats:
+    """Statistics of a model above and below its cut-off."""
+
+    above: SideStats
+    below: SideStats
+    cut: float | None = None
+
+
+def stats_of(row: Mapping, model: str, cut: float | None = None) -> ModelStats:
+    """The statistics of one model in the flat confidence row."""
+    def side(kind: str) -> SideStats:
+        held = {"mean": row[f"{model}_{kind}_mean"], "bins": row[f"{model}_{kind}_bins"]} if cut is not None else {}
+        return SideStats(row[f"{model}_{kind}_percent"], **held)
+
+    return ModelStats(side("tp"), side("tn"), cut)
+
+
+def confidence_rule(first: ModelStats, second: ModelStats, lower: ModelStats, higher: ModelStats) -> Column:
     """HIGH / MEDIUM / LOW from how extreme and how usual the deciding model's score is.
 
     The out-of-stock classifier decides above its cut-off, the higher/lower classifier below it. A score is
@@ -179,7 +182,7 @@ def confidence_rule(
     even share of that side. Both: HIGH, one: MEDIUM, none or no bin at all: LOW. Below the cut-off HIGH also
     needs the quantity model that answered to lean to the same side; otherwise it is MEDIUM.
     """
-    out_side = ensemble_out == 1
+    out_side = F.col(OOS) == 1
 
     def share(score: Column, bins: Bins, shares: Mapping[str, float]) -> Column:
         """Share of the bin holding the score: one comparison per edge, from the top down."""
@@ -194,39 +197,35 @@ def confidence_rule(
             value = F.when(score >= F.lit(edge), F.lit(held).cast("double")).otherwise(value)
         return value
 
-    def level(score: Column, t: float, means: tuple, bins: tuple, lean: Column) -> Column:
+    def level(score: Column, model: ModelStats, lean: Column) -> Column:
         """Every part appears once in the expression, which keeps the generated code small enough to compile.
 
         Points: 1 for extreme, 2 for usual, 4 for leaning the same way; negative when no bin holds the score.
         """
-        even = [100.0 / max(len(b), 1) for b in bins]
-        usual = F.when(out_side, share(score, upper_bins(t), bins[0]) >= F.lit(even[0])).otherwise(
-            share(score, lower_bins(t), bins[1]) >= F.lit(even[1])
+        above, below = model.above, model.below
+        even = [100.0 / max(len(side.bins), 1) for side in (above, below)]
+        usual = F.when(out_side, share(score, upper_bins(model.cut), above.bins) >= F.lit(even[0])).otherwise(
+            share(score, lower_bins(model.cut), below.bins) >= F.lit(even[1])
         )
-        extreme = F.when(out_side, score >= F.lit(float(means[0]))).otherwise(score <= F.lit(float(means[1])))
+        extreme = F.when(out_side, score >= F.lit(float(above.mean))).otherwise(score <= F.lit(float(below.mean)))
         points = (
             F.coalesce(usual.cast("int") * 2, F.lit(-8)) + extreme.cast("int") + lean.cast("int") * 4
         )
         verdicts = ["LOW", "MEDIUM", "MEDIUM", "MEDIUM", "LOW", "MEDIUM", "MEDIUM", "HIGH"]
         return F.coalesce(F.get(F.array(*map(F.lit, verdicts)), points), F.lit("LOW"))
 
-    def leaning(tp: float, tn: float) -> Column:
-        return F.when(out_side, F.lit(tp >= tn)).otherwise(F.lit(tp <= tn))
+    def leaning(model: ModelStats) -> Column:
+        return F.when(out_side, F.lit(model.above.share >= model.below.share)).otherwise(
+            F.lit(model.above.share <= model.below.share)
+        )
 
     lean = (
-        F.when(lt_out.isNotNull(), leaning(lt_tp_perc, lt_tn_perc))
-        .when(gt_out.isNotNull(), leaning(gt_tp_perc, gt_tn_perc))
+        F.when(F.col(LT_OUT).isNotNull(), leaning(lower))
+        .when(F.col(GT_OUT).isNotNull(), leaning(higher))
         .otherwise(F.lit(False))
     )
-    by_oos = level(
-        binary_conf_score, binary_min_threshold, (binary_oos_mean_prob, binary_ins_mean_prob),
-        (binary_oos_perc_bins, binary_ins_perc_bins), F.lit(True),
-    )
-    by_hl = level(
-        hl_conf_score, hl_min_threshold, (hl_oos_mean_prob, hl_ins_mean_prob),
-        (hl_oos_perc_bins, hl_ins_perc_bins), lean,
-    )
-    return F.when(binary_conf_score > F.lit(float(binary_min_threshold)), by_oos).otherwise(by_hl)
+    by_first, by_second = level(F.col(BINARY_PRED), first, F.lit(True)), level(F.col(HL_ORIG_PRED), second, lean)
+    return F.when(F.col(BINARY_PRED) > F.lit(float(first.cut)), by_first).otherwise(by_second)
 
 
 def with_confidence(
@@ -238,29 +237,5 @@ def with_confidence(
 ) -> DataFrame:
     """Append ``confidence_level``. ``metrics`` is the flat confidence row (one row, read into literals)."""
     m = metrics.first().asDict() if isinstance(metrics, DataFrame) else dict(metrics)
-    level = rule(
-        binary_conf_score=F.col(BINARY_PRED),
-        hl_conf_score=F.col(HL_ORIG_PRED),
-        gt_out=F.col(GT_OUT),
-        lt_out=F.col(LT_OUT),
-        ensemble_out=F.col(OOS),
-        binary_tp_perc=m["oos_tp_percent"],
-        binary_tn_perc=m["oos_tn_percent"],
-        binary_min_threshold=t1,
-        binary_oos_mean_prob=m["oos_tp_mean"],
-        binary_ins_mean_prob=m["oos_tn_mean"],
-        binary_oos_perc_bins=m["oos_tp_bins"],
-        binary_ins_perc_bins=m["oos_tn_bins"],
-        hl_tp_perc=m["hl_tp_percent"],
-        hl_tn_perc=m["hl_tn_percent"],
-        hl_min_threshold=t2,
-        hl_oos_mean_prob=m["hl_tp_mean"],
-        hl_ins_mean_prob=m["hl_tn_mean"],
-        hl_oos_perc_bins=m["hl_tp_bins"],
-        hl_ins_perc_bins=m["hl_tn_bins"],
-        gt_tp_perc=m["hs_tp_percent"],
-        gt_tn_perc=m["hs_tn_percent"],
-        lt_tp_perc=m["lt_tp_percent"],
-        lt_tn_perc=m["lt_tn_percent"],
-    )
+    level = rule(stats_of(m, "oos", t1), stats_of(m, "hl", t2), stats_of(m, "lt"), stats_of(m, "hs"))
     return mask_outputs(predicted, t1, t2).withColumn(CONFIDENCE_LEVEL, level)

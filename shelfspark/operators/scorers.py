@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from shelfspark.names import BINARY_PRED, HL_ORIG_PRED, HS_PRED, LS_RATIO
 from shelfspark.operators.cascade import cast_object_features, is_higher_stock, is_lower_stock, is_rest
 
-# A node takes about 40 bytes, so a model at this bound ships under 100 MB to each Python worker.
-MAX_NODES = 2_000_000
+# Trees that walk down together: the working arrays are rows x this many, however large the model is.
+TREE_BLOCK = 64
 
 
 class Scorer:
@@ -54,15 +54,11 @@ class TreeTableScorer(Scorer):
 
     Node columns: ``tree, node, feature, threshold, left, right, leaf, default_left``; node 0 is the root of
     its tree and ``leaf`` is set on leaves only. ``value < threshold`` goes left, a missing value goes where
-    ``default_left`` says. The score is base + sum of leaves, through a sigmoid for a classifier.
+    ``default_left`` says. The score is base + sum of leaves, through a sigmoid for a classifier. Trees are walked in
+    blocks of ``TREE_BLOCK``, each as deep as its own deepest tree, and their leaves added before the sigmoid.
     """
 
     def __init__(self, nodes: pd.DataFrame, base: float = 0.0, sigmoid: bool = False):
-        if len(nodes) > MAX_NODES:
-            raise ValueError(
-                f"the model has {len(nodes)} nodes, more than the {MAX_NODES} that are shipped to workers; "
-                "split it by tree into several scorers and add their scores"
-            )
         nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
         at = {pair: i for i, pair in enumerate(zip(nodes["tree"], nodes["node"]))}
         own = np.arange(len(nodes))
@@ -83,16 +79,17 @@ class TreeTableScorer(Scorer):
         self._threshold = nodes["threshold"].fillna(np.inf).to_numpy(dtype=float)
         self._default_left = nodes["default_left"].ne(False).to_numpy(dtype=bool)
         self._leaf = nodes["leaf"].fillna(0.0).to_numpy(dtype=float)
-        self._roots = np.array([at[t, 0] for t in nodes["tree"].unique()], dtype=np.int64)
-        self._depth = self._longest_path()
+        roots = np.array([at[t, 0] for t in nodes["tree"].unique()], dtype=np.int64)
+        blocks = [roots[i : i + TREE_BLOCK] for i in range(0, len(roots), TREE_BLOCK)]
+        self._blocks = [(block, self._longest_path(block)) for block in blocks]
 
     @classmethod
     def from_table(cls, nodes: DataFrame, base: float = 0.0, sigmoid: bool = False) -> TreeTableScorer:
-        """Load the node table; the limit keeps an oversized table from reaching the driver."""
-        return cls(nodes.limit(MAX_NODES + 1).toPandas(), base, sigmoid)
+        """Load the node table: a model, which every worker needs as a whole."""
+        return cls(nodes.toPandas(), base, sigmoid)
 
-    def _longest_path(self) -> int:
-        depth, level = 0, self._roots
+    def _longest_path(self, roots: np.ndarray) -> int:
+        depth, level = 0, roots
         while (below := np.unique(np.concatenate([self._left[level], self._right[level]]))).size and (
             below != self._left[below]
         ).any():
@@ -100,14 +97,16 @@ class TreeTableScorer(Scorer):
         return depth + 1
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        """Scores of a batch: all trees walk down one level at a time."""
+        """Scores of a batch: the trees of a block walk down one level at a time."""
         rows = np.arange(len(x))[:, None]
-        at = np.tile(self._roots, (len(x), 1))
-        for _ in range(self._depth):
-            value = x[rows, self._feature[at]] if self.features else np.zeros(at.shape)
-            left = np.where(np.isnan(value), self._default_left[at], value < self._threshold[at])
-            at = np.where(left, self._left[at], self._right[at])
-        total = self.base + self._leaf[at].sum(axis=1)
+        total = np.full(len(x), self.base)
+        for roots, depth in self._blocks:
+            at = np.tile(roots, (len(x), 1))
+            for _ in range(depth):
+                value = x[rows, self._feature[at]] if self.features else np.zeros(at.shape)
+                left = np.where(np.isnan(value), self._default_left[at], value < self._threshold[at])
+                at = np.where(left, self._left[at], self._right[at])
+            total += self._leaf[at].sum(axis=1)
         return 1.0 / (1.0 + np.exp(-total)) if self.sigmoid else total
 
     def column(self, active: Column | None = None) -> Column:

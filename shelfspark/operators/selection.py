@@ -11,7 +11,8 @@ CHAMPION, CHALLENGER = "champion", "challenger"
 def champion_challenger(scores: DataFrame, compare: bool = True) -> DataFrame:
     """One decision row from ``(role, run_id, overall_score)``.
 
-    The challenger is promoted when it scores strictly higher, or always when no comparison is asked for.
+    The challenger is promoted when it scores strictly higher, or always when no comparison is asked for. A score that
+    the decision needs and that is missing is an error: of both runs, or of the challenger alone without comparison.
     """
     def of(role: str, column: str):
         return F.max(F.when(F.col("role") == role, F.col(column)))
@@ -22,8 +23,11 @@ def champion_challenger(scores: DataFrame, compare: bool = True) -> DataFrame:
         of(CHAMPION, "run_id").alias("champion_run"),
         of(CHALLENGER, "run_id").alias("challenger_run"),
     )
-    better = F.coalesce(F.col("challenger_score") > F.col("champion_score"), F.lit(False))
-    promote = better if compare else F.lit(True)
+    needed = [CHALLENGER, CHAMPION] if compare else [CHALLENGER]
+    promote = F.col("challenger_score") > F.col("champion_score") if compare else F.lit(True)
+    for role in needed:
+        missing = F.col(f"{role}_score").isNull() | F.col(f"{role}_run").isNull()
+        promote = F.when(missing, F.raise_error(F.lit(f"no score of a {role}")).cast("boolean")).otherwise(promote)
     return row.select(
         "champion_score",
         "challenger_score",

@@ -82,8 +82,9 @@ def time_split(
 
     Of n rows the first ``floor(floor(n * train_test_frac) * train_validation_frac)`` are train, the rest of
     the first ``floor(n * train_test_frac)`` validation, the others test. Rows equal in the whole order take
-    the label of their first position. Rows without a target are left out; series shorter than ``min_rows``
-    are dropped, or all train with ``short="train"``.
+    the label of their first position. NULLs come first in every part of the order, and rows whose series key holds a
+    NULL are a series like others. Rows without a target are left out; series shorter than ``min_rows`` are dropped,
+    or all train with ``short="train"``.
 
     No series is ever sorted as a whole. A series needs only the two order values at which its label
     changes. Those come from row counts per (series, date), then, where a cut falls inside one date, from row
@@ -95,13 +96,17 @@ def time_split(
     series, ties = list(series), list(ties)
     rows = df.dropna(subset=list(targets)) if targets else df
 
-    order = [date, *ties]
-    cuts = _first_cuts(rows, series, date, train_test_frac, train_validation_frac)
+    # Structs compare field by field with nulls first and equal, which plain columns would not; and all ties are one
+    # level, so the plan does not grow with their number.
+    packed = {"_s": F.struct(*series), "_o0": F.struct(date)} | ({"_o1": F.struct(*ties)} if ties else {})
+    rows = rows.withColumns(packed)
+    key, order = ["_s"], [c for c in packed if c != "_s"]
+    cuts = _first_cuts(rows, key, order[0], train_test_frac, train_validation_frac)
     cuts = cuts.where(F.col("_n") >= min_rows) if short == "drop" else cuts
-    for depth, tie in enumerate(ties, start=1):
-        cuts = _refine(rows, cuts, series, order[:depth], tie)
+    if ties:
+        cuts = _refine(rows, cuts, key, order[:1], order[1])
     levels = range(len(order))
-    wide = cuts.groupBy(*series).agg(
+    wide = cuts.groupBy(*key).agg(
         F.max("_n").alias("_n"),
         *[F.max(F.when(F.col("_mark") == m, F.col(f"_cut_{i}"))).alias(f"_{m}_{i}") for m in _MARKS for i in levels],
     )
@@ -119,7 +124,7 @@ def time_split(
     if short == "train":
         label = F.when(F.col("_n") < min_rows, "train").otherwise(label)
     helper = [c for c in wide.columns if c.startswith("_")]
-    return rows.join(wide, series, "inner").withColumn(DATA_SPLIT, label).drop(*helper)
+    return rows.join(wide, key, "inner").withColumn(DATA_SPLIT, label).drop(*helper, *packed)
 
 
 _MARKS = ("tr", "tv")

@@ -247,6 +247,15 @@ def sink_step_csv(spark, sf):
     return readers.scan_step_predictions(spark, base, "step_1")
 
 
+@query
+def sink_step_csv_by_group(spark, sf):
+    """Groups written in two runs, one of them written again: all come back."""
+    base, rows = scratch_path(spark, "step-groups"), panel(spark, sf)
+    for groups in (GROUPS[:2], GROUPS[2:], GROUPS[1:2]):
+        writers.write_step_csv(readers.in_groups(rows, groups), base, "step_1", N.STEP_COLUMNS["step_1"])
+    return readers.scan_step_predictions(spark, base, "step_1")
+
+
 @query
 def sink_single_csv(spark, sf):
     """Rows and files per location group after writing one CSV per group."""
@@ -577,6 +586,13 @@ def threshold_search(spark, sf):
     return best.withColumn("score", round_n("score", 6))
 
 
+@query
+def threshold_search_unique_keys(spark, sf):
+    steps = _ordered_steps(spark, sf)
+    best = tuning.threshold_search(*steps, OOS_GRID, HL_GRID, WEIGHTS, unique_keys=True)
+    return best.withColumn("score", round_n("score", 6))
+
+
 @query
 def champion_challenger(spark, sf):
     decision = selection.champion_challenger(_stored_scores(spark, sf))
@@ -606,6 +622,14 @@ def time_split_by_sku(spark, sf):
     return rows.select(*N.KEYS, N.DATA_SPLIT)
 
 
+@query
+def time_split_two_ties(spark, sf):
+    """Series of whole location groups; every seventh location is unknown and comes first."""
+    rows = panel(spark, sf).withColumn("place", F.when(F.col("dn") % 7 > 0, F.col(N.LOCATION)))
+    labelled = split.time_split(rows, series=[N.LOCATION_GROUP], ties=["place", N.SKU])
+    return labelled.select(*N.KEYS, "place", N.DATA_SPLIT)
+
+
 def tree_model() -> scorers.TreeTableScorer:
     """Three small trees over the stock quantities."""
     split_at = dict(leaf=None)

@@ -11,7 +11,7 @@ from shelfspark import names as N
 from shelfspark.operators import cascade, confidence, metrics, ranking, selection, split, tuning
 from shelfspark.operators.scorers import Scorer, score_cascade, score_independent
 from shelfspark.sources import readers, writers
-from shelfspark.sources.scratch import scratch_path
+from shelfspark.sources.scratch import delete_path, scratch_path
 
 
 def split_job(
@@ -72,10 +72,11 @@ def evaluate_production_job(
     rows = readers.scan_test_split(spark, test_base, groups)
     predicted = cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2)
     stored = list(dict.fromkeys(c for cols in (N.FINAL_COLUMNS, *N.STEP_COLUMNS.values()) for c in cols))
-    predicted = _scored_table(spark, predicted, stored, out)
+    predicted, path = _scored_table(spark, predicted, stored)
     for step, frame in cascade.step_frames(predicted).items():
         writers.write_step_csv(frame, out, step, N.STEP_COLUMNS[step])
     writers.write_step_csv(predicted, out, "final_prediction", N.FINAL_COLUMNS)
+    delete_path(spark, path)
 
 
 def predict_audit_job(
@@ -91,20 +92,39 @@ def tune_job(
     spark: SparkSession, predictions: str, out: str, oos: str, hl: str, weights_path: str, by_group: bool = False
 ) -> DataFrame:
     """Search the cut-offs over stored step predictions; write the winning rows and the winning pair."""
-    steps = [readers.scan_step_predictions(spark, predictions, s, by_group).drop(N.LOCATION_GROUP) for s in N.STEPS]
+    scratch = scratch_path(spark, "steps")
+    steps = list(_parsed_steps(spark, predictions, by_group, scratch).values())
     best = tuning.threshold_search(*steps, oos, hl, load_weights(spark, weights_path))
     # The pair is read once; everything after it works with the two numbers.
     best = spark.createDataFrame([best.first()], best.schema)
     writers.write_best_prediction(tuning.best_prediction(*steps, best), predictions)
     writers.write_metric_json(best.select("oos_threshold", "hl_threshold"), f"{out}/best_thresholds")
+    delete_path(spark, scratch)
     return best
 
 
+def _parsed_steps(spark: SparkSession, predictions: str, by_group: bool, scratch: str) -> dict[str, DataFrame]:
+    """The stored step predictions, parsed once into typed columns."""
+    steps = {}
+    for s in N.STEPS:
+        readers.scan_step_predictions(spark, predictions, s, by_group).drop(N.LOCATION_GROUP).write.parquet(f"{scratch}/{s}")
+        steps[s] = spark.read.parquet(f"{scratch}/{s}")
+    return steps
+
+
 def load_weights(spark: SparkSession, path: str) -> list[dict]:
-    """The weight configuration; a short list by nature, so anything longer is refused."""
-    rows = readers.scan_metric_weights(spark, path).orderBy("pos").limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError("more than 1000 weighted metrics configured")
+    """The weight of each configured metric. The score is linear, so weights of one metric are added; names outside
+    the closed set of metrics are an error, which leaves at most one row for each of them."""
+    weights = readers.scan_metric_weights(spark, path)
+    unknown = weights.where(~F.col("metric_name").isin(list(N.WEIGHTED_METRICS)) | F.col("metric_name").isNull())
+    if (bad := unknown.first()) is not None:
+        raise ValueError(f"unknown metric name: {bad['metric_name']}")
+    rows = (
+        weights.groupBy("metric_name")
+        .agg(F.sum("metric_weight").alias("metric_weight"), F.min("pos").alias("pos"))
+        .orderBy("pos")
+        .collect()
+    )
     return [{"metric_name": r["metric_name"], "metric_weight": r["metric_weight"]} for r in rows]
 
 
@@ -154,11 +174,10 @@ def score_job(
     by_group: bool = False,
 ) -> None:
     """Technical metrics per model and overall business metrics, for new or production models."""
-    steps = {
-        s: readers.scan_step_predictions(spark, predictions, s, by_group).drop(N.LOCATION_GROUP) for s in N.STEPS
-    }
+    scratch = scratch_path(spark, "model-rows")
+    steps = _parsed_steps(spark, predictions, by_group, f"{scratch}/parsed")
     if new_models:
-        steps = new_model_frames(spark, steps, t1, t2, scratch_path(spark, "model-rows"))
+        steps = new_model_frames(spark, steps, t1, t2, scratch)
         final = readers.scan_final_prediction_csv(spark, predictions, "flat", best=True)
     else:
         final = readers.scan_final_prediction_csv(spark, predictions, "group" if by_group else "step")
@@ -166,6 +185,7 @@ def score_job(
     writers.write_metric_json(technical_metrics(steps, t1, t2), f"{out}/individual_tech_metrics_{tag}")
     overall = metrics.to_document(metrics.overall_metrics(final), N.OVERALL_DOCUMENT)
     writers.write_metric_json(overall, f"{out}/overall_metrics_{tag}")
+    delete_path(spark, scratch)
 
 
 def confidence_job(spark: SparkSession, predictions: str, out: str, load_date: str, t1: float, t2: float) -> None:
@@ -190,25 +210,26 @@ def infer_job(
     rows = readers.scan_inference_features(spark, features, load_date, groups)
     stats = readers.scan_confidence_document(spark, confidence_path)
     predicted = cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2)
-    table = _scored_table(spark, confidence.with_confidence(predicted, stats, t1, t2), N.CONCATENATED_COLUMNS, out)
+    table, path = _scored_table(spark, confidence.with_confidence(predicted, stats, t1, t2), N.CONCATENATED_COLUMNS)
     writers.write_step_csv(table, f"{out}/temp", "OOS", N.DAILY_COLUMNS)
     writers.write_step_csv(table, f"{out}/temp", "concatenated", N.CONCATENATED_COLUMNS)
     frames = cascade.step_frames(table)
     for step, columns in N.DAILY_STEP_COLUMNS.items():
         writers.write_step_csv(frames[step], f"{out}/temp", step, columns)
     writers.write_group_csv(table, f"{out}/prediction", N.DAILY_COLUMNS)
+    delete_path(spark, path)
 
 
-def _scored_table(spark: SparkSession, predicted: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
-    """Store scored rows next to the outputs and read them back: several sinks then share one scoring run.
+def _scored_table(spark: SparkSession, predicted: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, str]:
+    """Store scored rows in the scratch folder and read them back: several sinks then share one scoring run.
 
     Only the columns some output needs are kept. A stored table also survives lost executors, which a cache
-    would not. Groups arrive as input partitions, so writing by group needs no shuffle.
+    would not. The rows are rebalanced by group and branch, so each is written to few files.
     """
-    path = f"{out}/scored"
-    rows = predicted.select(*columns, N.LOCATION_GROUP, N.BRANCH)
-    rows.write.mode("overwrite").partitionBy(N.LOCATION_GROUP, N.BRANCH).parquet(path)
-    return readers.read_parquet(spark, path)
+    path = scratch_path(spark, "scored")
+    by = [N.LOCATION_GROUP, N.BRANCH]
+    writers.balanced(predicted.select(*columns, *by), by).write.partitionBy(*by).parquet(path)
+    return readers.read_parquet(spark, path), path
 
 
 def audit_job(
@@ -221,12 +242,15 @@ def audit_job(
 ) -> None:
     """Audit metrics and performance report; on request also all predictions in one place."""
     predictions = readers.scan_concatenated_predictions(spark, inference_out, by_group)
-    joined = metrics.join_audit_prediction(readers.scan_audit_actuals(spark, actuals), predictions)
+    scratch = scratch_path(spark, "audited")
+    metrics.join_audit_prediction(readers.scan_audit_actuals(spark, actuals), predictions).write.parquet(scratch)
+    joined = spark.read.parquet(scratch)
     document = metrics.to_document(metrics.audit_metrics(joined), N.AUDIT_DOCUMENT)
     writers.write_metric_json(document, f"{out}/output_metrics")
     writers.write_performance_report(joined, f"{out}/model-performance-report")
     if single_prediction_out:
         writers.write_all_predictions(predictions, single_prediction_out)
+    delete_path(spark, scratch)
 
 
 def switch_job(

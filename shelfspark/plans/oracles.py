@@ -98,8 +98,8 @@ step_3 AS (SELECT {', '.join(N.STEP_COLUMNS['step_3'])} FROM s3_b),
 step_4 AS (SELECT {', '.join(N.STEP_COLUMNS['step_4'])} FROM s4_b)"""
 
 AUDIT = """,
-audit AS (SELECT sku, location, date, binary_target_classification AS actual_oos_flag, rev_ip_qty_eop_soh,
-                 curday_ip_qty_eop_soh, ip_qty_eop_soh, total_retail FROM panel WHERE dn % 3 = 0),
+audit AS (SELECT sku, location, CASE WHEN dn % 3 = 0 THEN date ELSE date + 40000 END AS date, binary_target_classification AS actual_oos_flag, rev_ip_qty_eop_soh,
+                 curday_ip_qty_eop_soh, ip_qty_eop_soh, total_retail FROM panel),
 audited AS (SELECT a.*, p.orig_pred_low, p.orig_pred_high, p.oos FROM audit a JOIN pred p
             ON a.sku = p.sku AND a.location = p.location AND a.date = p.date)"""
 
@@ -272,13 +272,13 @@ confident AS (
                  WHEN extreme OR share >= even THEN 'MEDIUM' ELSE 'LOW' END AS confidence_level FROM judged)"""
 
 
-def split_rows(series: str, ties: str, min_rows: int, short: str = "drop") -> str:
+def split_rows(series: str, ties: str, min_rows: int, short: str = "drop", source: str = "panel") -> str:
     """CTE ``labelled``: rank of every row in its series."""
     keep = f"WHERE n >= {min_rows}" if short == "drop" else ""
     early = "" if short == "drop" else f"WHEN n < {min_rows} THEN 'train' "
     return f"""
 ranked AS (SELECT *, count(*) OVER (PARTITION BY {series}) AS n,
-                     rank() OVER (PARTITION BY {series} ORDER BY date, {ties}) AS rn FROM panel),
+                     rank() OVER (PARTITION BY {series} ORDER BY date, {ties}) AS rn FROM {source}),
 sized AS (SELECT *, floor(n*0.9E0) AS n_tv FROM ranked {keep}),
 labelled AS (SELECT *, CASE {early}WHEN rn <= floor(n_tv*0.9E0) THEN 'train' WHEN rn <= n_tv THEN 'validation'
                        ELSE 'test' END AS data_split FROM sized)"""
@@ -478,6 +478,9 @@ ORACLES: dict[str, str] = {
     # models and cascade
     "time_split": from_panel(f"{LABELLED} SELECT {KEYS}, data_split FROM labelled"),
     "time_split_by_sku": from_panel(f", {split_rows('sku', 'location', 10, 'train')} SELECT {KEYS}, data_split FROM labelled"),
+    "time_split_two_ties": from_panel(f""", known AS (SELECT *, CASE WHEN dn % 7 > 0 THEN location END AS place FROM panel),
+        {split_rows('location_group', 'place NULLS FIRST, sku', 270, source='known')}
+        SELECT {KEYS}, place, data_split FROM labelled"""),
     "score_model": from_panel(f"""SELECT {KEYS}, 0.5E0
         + CASE WHEN {N.CURDAY_QTY} < 20 THEN CASE WHEN {N.IP_QTY} < 5 THEN 0.75E0 ELSE 0.125E0 END ELSE -0.5E0 END
         + CASE WHEN total_retail < 25 THEN 0.25E0 ELSE -0.25E0 END + 0.0625E0 AS score FROM panel"""),
@@ -502,4 +505,6 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["overall_metrics"] = ORACLES["sink_metric_json"]
 ORACLES["audit_report"] = ORACLES["audit_metrics"]
+ORACLES["threshold_search_unique_keys"] = ORACLES["threshold_search"]
+ORACLES["sink_step_csv_by_group"] = ORACLES["sink_step_csv"]
 ORACLES["tuning_run"] = ORACLES["threshold_search"]

@@ -88,9 +88,10 @@ def _typed(name: str, kind: T.DataType) -> Column:
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, base: str | None = None) -> DataFrame:
     """CSV with a header, columns bound by name (extra columns are ignored and never parsed).
 
+    All files must have the columns in one order: a file whose header differs is an error, never bound by position.
     With ``base`` the partition directories below it become columns.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     with text_partitions(spark):
         raw = (reader.option("basePath", base) if base else reader).csv(path)
     group = [F.col(c) for c in raw.columns if c.lower() == LOCATION_GROUP] if base else []

@@ -19,8 +19,9 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _csv(df: DataFrame, path: str, by: Sequence[str], balance: bool) -> None:
+    """Of a partitioned set only the partitions written are replaced, so a run on some groups keeps the others."""
     writer = (balanced(df, by) if balance else df).write.mode("overwrite").option("header", True)
-    (writer.partitionBy(*by) if by else writer).csv(path)
+    (writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by) if by else writer).csv(path)
 
 
 def write_split_parquet(df: DataFrame, base: str, load_date: str | None = None) -> None:

@@ -2,6 +2,7 @@
 
 import warnings
 
+import numpy as np
 import pandas as pd
 import pytest
 from frames import scored
@@ -120,10 +121,23 @@ def test_tree_model(spark):
     assert [r.s is None for r in off] == [False, True, False, True]
 
 
-def test_tree_model_is_bounded(monkeypatch):
-    monkeypatch.setattr(scorers, "MAX_NODES", 2)
-    with pytest.raises(ValueError, match="nodes"):
-        tree_model()
+def test_tree_blocks_do_not_change_scores(monkeypatch):
+    rng = np.random.default_rng(0)
+    rows = []
+    for t in range(130):
+        deep = t % 3 == 0
+        rows.append((t, 0, "f", rng.random(), 1, 2, None, bool(t % 2)))
+        rows.append((t, 1, "g", rng.random(), 3, 4, None, True) if deep else (t, 1, None, None, None, None, rng.random(), None))
+        rows.append((t, 2, None, None, None, None, rng.random(), None))
+        rows += [(t, n, None, None, None, None, rng.random(), None) for n in (3, 4)] if deep else []
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "leaf", "default_left"])
+    x = rng.random((50, 2))
+    x[::7, 0] = np.nan
+    scores = []
+    for block in (1, 64, 1000):
+        monkeypatch.setattr(scorers, "TREE_BLOCK", block)
+        scores.append(scorers.TreeTableScorer(nodes, 0.1, sigmoid=True).score(x))
+    assert np.allclose(scores[0], scores[1]) and np.allclose(scores[0], scores[2])
 
 
 def test_tree_model_from_table(spark):
@@ -182,8 +196,8 @@ def test_confidence_levels(spark):
     row = confidence.confidence_metrics(df, 0.4, 0.4)
     got = confidence.with_confidence(df, row, 0.4, 0.4)
     assert {r[0] for r in got.select(N.CONFIDENCE_LEVEL).distinct().collect()} <= {"HIGH", "MEDIUM", "LOW"}
-    plugged = confidence.with_confidence(df, row, 0.4, 0.4, rule=lambda **k: F.lit(len(k)).cast("string"))
-    assert plugged.first()[N.CONFIDENCE_LEVEL] == "23"
+    plugged = confidence.with_confidence(df, row, 0.4, 0.4, rule=lambda *models: F.lit(len(models)).cast("string"))
+    assert plugged.first()[N.CONFIDENCE_LEVEL] == "4"
 
 
 def test_confidence_edges(spark):

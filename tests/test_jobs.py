@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from frames import scored
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_cascade import some_scores
 
 from shelfspark import names as N
@@ -104,6 +105,9 @@ def test_switch(spark, tmp_path):
     assert decide("a.csv", "b.csv").production_run == "old"
     assert decide("c.csv", "a.csv").promote == 0
     assert decide("c.csv", "a.csv", compare=False).promote == 1
+    (tmp_path / "none.csv").write_text("RUN,OVERALL_SCORE\n")
+    with pytest.raises(Exception, match="no score of a champion"):
+        decide("none.csv", "a.csv")
 
 
 def test_group_first_layout(spark, tmp_path):
@@ -147,3 +151,31 @@ def test_weights_round_trip(spark, tmp_path):
     counts = spark.createDataFrame([(2, 2, 3, 1)], "tp long, fn long, tn long, fp long")
     weights = jobs.load_weights(spark, str(tmp_path / "w.json"))
     assert tuning.weighted_metric_score(counts, weights).first().score == 2 * 57.14
+
+
+def test_weights_of_one_metric_are_added(spark, tmp_path):
+    entries = [{"metric_name": ("Accuracy", "F1 Score")[i % 2], "metric_weight": 0.5} for i in range(5000)]
+    (tmp_path / "many.json").write_text(json.dumps({"metrics_list": entries}))
+    want = [{"metric_name": "Accuracy", "metric_weight": 1250.0}, {"metric_name": "F1 Score", "metric_weight": 1250.0}]
+    assert jobs.load_weights(spark, str(tmp_path / "many.json")) == want
+    (tmp_path / "odd.json").write_text(json.dumps({"metrics_list": [{"metric_name": "Luck", "metric_weight": 1}]}))
+    with pytest.raises(ValueError, match="Luck"):
+        jobs.load_weights(spark, str(tmp_path / "odd.json"))
+
+
+def test_a_run_on_one_group_keeps_the_others(spark, tmp_path):
+    rows = spark.createDataFrame([("0", "a", 1), ("1", "b", 2), ("1", "c", 3)], "location_group string, sku string, x int")
+    base = str(tmp_path / "out")
+    for part in (rows.where("location_group = '0'"), rows.where("location_group = '1'"), rows.where("sku = 'b'")):
+        writers.write_step_csv(part, base, "step_1", ["sku", "x"])
+    back = spark.read.option("header", True).csv(f"{base}/step_1")
+    assert {r.sku for r in back.collect()} == {"a", "b"}
+
+
+def test_swapped_header_is_an_error(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p" / "a.csv").write_text("sku,x\na,1\n")
+    (tmp_path / "p" / "b.csv").write_text("x,sku\n2,b\n")
+    schema = T.StructType([T.StructField("sku", T.StringType()), T.StructField("x", T.DoubleType())])
+    with pytest.raises(Exception, match="header|FAILED_READ_FILE"):
+        readers.read_csv(spark, str(tmp_path / "p"), schema).collect()

@@ -100,3 +100,24 @@ def test_eligibility(spark):
     ok = split.series_eligibility(df, str(day(5)), series=["s"])
     assert [r.s for r in ok.collect()] == ["a"]
     assert [r.s for r in split.join_eligible_series(df, ok, ["s"]).collect()] == ["a"]
+
+
+def test_nulls_come_first(spark):
+    """Ten rows of one day, one without a tie value; a series without a key; a row without a date."""
+    rows = [("s", 1, c) for c in "bcdefghij"] + [("s", 1, None)] + [(None, 1, c) for c in "abcdefghij"]
+    rows += [("d", None, "a")] + [("d", d, "a") for d in range(9)]
+    df = spark.createDataFrame([(s, None if d is None else day(d), t) for s, d, t in rows], "s string, date date, t string")
+    got = split.time_split(df, ["s"], "date", ["t"], min_rows=10).collect()
+    assert len(got) == 30
+    label = {(r.s, r.date, r.t): r.data_split for r in got}
+    assert label["s", day(1), None] == "train"
+    assert [label["s", day(1), c] for c in "bcdefghij"] == ["train"] * 7 + ["validation", "test"]
+    assert [label[None, day(1), c] for c in "abcdefghij"] == ["train"] * 8 + ["validation", "test"]
+    assert label["d", None, "a"] == "train" and label["d", day(8), "a"] == "test"
+
+
+def test_plan_does_not_grow_with_ties(spark):
+    df = frame(spark, [("s", i, i, 0) for i in range(20)])
+    def scans(ties):
+        return split.time_split(df, ["s"], "date", ties, min_rows=10)._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+    assert scans(["a", "b"]) == scans(["a"])
