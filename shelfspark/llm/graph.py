@@ -2,7 +2,8 @@
 
 Each step is an aggregation for the least neighbour of a node and a join of that minimum back to the edges, so no node's
 neighbours ever meet in one task; large partitions of the joins are split by AQE. The edges of every step are stored in
-the shared scratch folder. The number of steps grows with the logarithm of the longest path.
+the shared scratch folder. Steps end when the edges form stars; their number grows with the logarithm of the longest
+path.
 """
 
 from __future__ import annotations
@@ -29,6 +30,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has either one edge to a smaller node and none from a larger one, or only the latter."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    degrees = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return degrees.where(F.col("up") + F.col("down") > 1).isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component``: for each node of an edge the least node it can reach. Edges with a null end, and from a
     node to itself, are ignored."""
@@ -40,15 +50,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct(),
         "edges",
     )
-    state = None
-    while True:
+    while not _is_stars(now):
         after = stored(spark, _star(_star(now, large=True), large=False), "edges")
-        # Stars alone stay as they are: then every node but a star's centre has one edge, to the least node.
-        sums = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        delete_path(spark, now.inputFiles()[0].rpartition("/")[0]) if now.inputFiles() else None
+        delete_path(spark, now.inputFiles()[0].rpartition("/")[0])
         now = after
-        if tuple(sums) == state or not sums[0]:
-            break
-        state = tuple(sums)
     members = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
