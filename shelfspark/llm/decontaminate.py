@@ -8,9 +8,10 @@ each match is mapped to the words it covers and to characters of the original te
 Normalising works on UTF-8 bytes (every byte of a non-ASCII character is a word byte), which a ``latin-1`` string
 carries one to one.
 
-Size: the windows are dealt into blocks of at most ``BLOCK_BYTES`` of pattern text by a running sum, so what is
-broadcast at a time has a bound. A benchmark within one block (some 16,000 windows of 60 bytes each MB) takes one scan;
-a larger one takes one scan for each block, and the spans of all scans are merged by document.
+Size: the windows are dealt into blocks of about ``BLOCK_BYTES`` of pattern text by a hash, so what is
+broadcast, and the automaton a worker holds, has a bound (some 60 bytes for each byte of pattern). A benchmark within
+one block, some 30,000 windows, takes one scan; a larger one takes one scan for each block, and the spans of all scans
+are merged by document.
 
 Nulls: a null or empty text has no words, no hits and no items. A null item text has no windows; an item with a null
 id is left out. Repeated items with one id count once. Columns other than the id and the text are not used.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import slices
 
 WINDOW = 10
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 2_000_000
 
 _SPACE = ord(" ")
 _NORMAL = bytes(
