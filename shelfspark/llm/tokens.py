@@ -25,7 +25,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 
-MEMORY, LONGEST = 300_000, 48
+MEMORY, LONGEST = 600_000, 48
 #: New units that are encoded as one text; each begins with white space, so they do not touch one another.
 JOINED = 128
 
@@ -107,9 +107,16 @@ class Encoder:
         units = [None if not t or any(w in t for w in _WHOLE) else _UNIT.findall(t) for t in texts]
         found = [list(map(self.young.get, us)) if us else None for us in units]
         missing: set[str] = set()
+        gaps: list[list[int]] = []
         for us, ids in zip(units, found, strict=True):
+            gaps.append([])
             if ids and None in ids:
-                missing.update(u for u, x in zip(us, ids, strict=True) if x is None)
+                at = -1
+                with contextlib.suppress(ValueError):
+                    while True:
+                        at = ids.index(None, at + 1)
+                        gaps[-1].append(at)
+                missing.update([us[k] for k in gaps[-1]])
         late = {u: self.old[u] for u in missing if u in self.old}
         parts: dict[str, tuple[str, str]] = {}
         rest: set[str] = set()
@@ -126,11 +133,13 @@ class Encoder:
             late[u] = (new.get(word) or self.young[word]) + (new.get(marks) or self.young[marks])
         late |= new
         out = []
-        for text, us, ids in zip(texts, units, found, strict=True):
+        for text, us, ids, gap in zip(texts, units, found, gaps, strict=True):
             if ids is None:
                 out.append(self._encode([text])[0] if text else b"")
-            else:
-                out.append(b"".join([late[u] if x is None else x for u, x in zip(us, ids, strict=True)] if None in ids else ids))
+                continue
+            for k in gap:
+                ids[k] = late[us[k]]
+            out.append(b"".join(ids))
         if len(self.young) + len(late) > MEMORY:
             self.old, self.young = self.young, {}
         self.young.update((u, x) for u, x in late.items() if len(u) <= LONGEST)
