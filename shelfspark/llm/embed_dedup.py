@@ -1,20 +1,23 @@
 """Near duplicates of embeddings by an inverted multi-index.
 
 Unit vectors are cut into halves, each with a codebook of its own; a pair of codewords is a cell of the product grid,
-and every vector is filed in the cell of its nearest codewords. A query visits cells in rising order of
+and every vector is filed in the cell of its nearest codewords. The value of a cell is the squared distance of the
+query from the planes halfway between its own nearest codewords and those of the cell,
 
-    ((d1(i) - d1min) / 2)^2 + ((d2(j) - d2min) / 2)^2
+    ((d1(i)^2 - d1min^2) / (2 |c1(i) - c1min|))^2 + ((d2(j)^2 - d2min^2) / (2 |c2(j) - c2min|))^2
 
-by multi-sequence traversal: the codewords of each half in order of distance, and a heap over the grid of the two
-orders. A vector within squared distance ``e`` of the query lies in a cell with a value of at most ``e`` (triangle
-inequality in each half), so a traversal up to ``2 - 2 * 0.95`` would find every link; it stops at the value that reached
-the target recall for a sample of queries compared with all rows. Every candidate is verified by its cosine in doubles.
+A vector within squared distance ``e`` of the query lies in a cell with a value of at most ``e``, so the cells up to
+``2 - 2 * 0.95`` hold every link; a target recall of 1 visits all of these. With a lower target the visit stops at the
+value that reached it, on average over the sampled queries with links to others, compared with all rows; if fewer than
+``LEAST_LINKED`` have any, the bound holds. Every candidate is verified by its cosine in doubles.
 
-Fitted on bounded samples, chosen by a hash of the id: codebooks on ``SAMPLE`` vectors, the stopping value on
+Fitted on bounded samples, chosen by a hash of the id: codebooks on ``SAMPLE`` vectors, a stopping value on
 ``TRIAL`` queries. Everything else covers all rows. Equal vectors are filed once and counted with their number.
 
-Cells are cut into blocks of about ``BLOCK`` filed vectors by ``BLOCK`` queries, so a crowded cell is spread over many
-tasks. A block reports a number of links for each query and a spanning forest of its links, never its pairs.
+Neighbouring cells are compared together, as blocks of about ``BLOCK`` filed vectors by ``BLOCK`` queries; a query goes
+once to each block with a visited cell, and a crowded cell is spread over many tasks. Where vectors have no structure
+the bound excludes few cells, and the copies of a vector grow with the number of blocks. A block reports a number of
+links for each query and a spanning forest of its links, never its pairs.
 
 Vectors that are null, zero, of another length than most, or that hold null or non-finite components link with nothing.
 Rows with a null id link with nothing and get a null component. Rows that repeat an id share its links.
@@ -37,9 +40,13 @@ from shelfspark.llm.graph import connected_components
 COSINE = 0.95
 SAMPLE, TRIAL = 20_000, 2048
 TARGET_RECALL = 1.0
-BLOCK = 1024
+LEAST_LINKED = 200
+#: Filed vectors and queries of a block, and the queries of it that are compared at a time.
+BLOCK, CHUNK = 4096, 1024
 MAX_CODEWORDS = 1024
 _STEPS = 64
+#: Added to the bound for rounding; codewords closer than ``_CLOSE`` take the bound of the triangle inequality.
+_SLACK, _CLOSE = 1e-6, 1e-4
 
 
 def unit_rows(vectors) -> np.ndarray:
@@ -78,11 +85,14 @@ class MultiIndex:
         out = []
         for part, book in zip((x[:, : self.half], x[:, self.half :]), self.books, strict=True):
             d = distances(part, book)
-            out.append(((d - d.min(1, keepdims=True)) / 2) ** 2)
+            least, gap = d.min(1, keepdims=True), distances(book, book)[d.argmin(1)]
+            # (d - least) (d + least) / 2 gap; d + least is at least the gap.
+            wide = np.where(gap > _CLOSE, (d + least) / np.maximum(gap, _CLOSE), 1)
+            out.append(((d - least) / 2 * np.maximum(wide, 1)) ** 2)
         return out[0], out[1]
 
     def cells(self, x: np.ndarray) -> np.ndarray:
-        first, second = self.costs(x)
+        first, second = distances(x[:, : self.half], self.books[0]), distances(x[:, self.half :], self.books[1])
         return first.argmin(1) * len(self.books[1]) + second.argmin(1)
 
     def traverse(self, first: np.ndarray, second: np.ndarray) -> Iterator[tuple[float, int]]:
@@ -101,14 +111,12 @@ class MultiIndex:
             if j + 1 < len(b) and (i == 0 or done[i - 1] > j + 1):
                 heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
 
-    def visited(self, first: np.ndarray, second: np.ndarray, limit: float, occupied: np.ndarray) -> list[int]:
-        out = []
-        for value, cell in self.traverse(first, second):
-            if value > limit:
-                break
-            if occupied[cell]:
-                out.append(cell)
-        return out
+    def visited(self, first: np.ndarray, second: np.ndarray, limit: float) -> np.ndarray:
+        """The cells that a traversal up to ``limit`` yields, row by row of the grid and not by value."""
+        one, two = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
+        ends = np.searchsorted(second[two], limit - first[one], side="right")
+        n = len(self.books[1])
+        return np.concatenate([i * n + two[:end] for i, end in zip(one, ends, strict=True)])
 
 
 def _sample(vectors: DataFrame, n: int) -> pd.DataFrame:
@@ -124,15 +132,19 @@ def fit_index(vectors: DataFrame, n_rows: int, dims: int, sample: int = SAMPLE)
 
 
 def fit_limit(vectors: DataFrame, index: MultiIndex, cosine: float, target: float, trial: int = TRIAL) -> float:
-    """The traversal value within which the mean recall of sampled queries, against all rows, reaches ``target``."""
+    """The value up to which cells are visited: the bound, or below a target of 1 the value within which the mean
+    recall of sampled queries that have links, against all other rows, reaches ``target``."""
+    full = 2 - 2 * cosine + _SLACK
+    if target >= 1:
+        return full
     spark = vectors.sparkSession
-    queries = unit_rows(_sample(vectors, trial)["embedding"])
+    sample = _sample(vectors, trial)
+    queries, ids = unit_rows(sample["embedding"]), sample["vec_id"].to_numpy(np.int64)
     first, second = index.costs(queries)
-    shared = spark.sparkContext.broadcast((index, queries, first, second))
-    full = 2 - 2 * cosine
+    shared = spark.sparkContext.broadcast((index, queries, ids, first, second))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, queries, first, second = shared.value
+        index, queries, ids, first, second = shared.value
         n = np.zeros((len(queries), _STEPS + 1), np.int64)
         for batch in batches:
             x = unit_rows(batch["embedding"].to_pylist())
@@ -140,14 +152,15 @@ def fit_limit(vectors: DataFrame, index: MultiIndex, cosine: float, target: floa
                 continue
             cells = index.cells(x)
             i, j = np.divmod(cells, len(index.books[1]))
-            q, y = np.nonzero(queries @ x.T >= cosine)
+            others = ids[:, None] != batch["vec_id"].to_numpy()[None, :]
+            q, y = np.nonzero((queries @ x.T >= cosine) & others)
             value = first[q, i[y]] + second[q, j[y]]
             np.add.at(n, (q, np.minimum(np.ceil(value / full * _STEPS), _STEPS).astype(int)), 1)
         q, step = np.nonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(step), pa.array(n[q, step])], ["q", "step", "n"])
 
     rows = (
-        vectors.select("embedding")
+        vectors.select("vec_id", "embedding")
         .mapInArrow(count, "q long, step long, n long")
         .groupBy("q", "step")
         .agg(F.sum("n").alias("n"))
@@ -155,8 +168,11 @@ def fit_limit(vectors: DataFrame, index: MultiIndex, cosine: float, target: floa
     )
     n = np.zeros((len(queries), _STEPS + 1))
     n[rows["q"].to_numpy(int), rows["step"].to_numpy(int)] = rows["n"]
-    recall = (n.cumsum(1) / np.maximum(n.sum(1, keepdims=True), 1)).mean(0)
-    return float(np.flatnonzero(recall >= min(target, recall[-1]))[0] / _STEPS * full)
+    n = n[n.any(1)]
+    if len(n) < LEAST_LINKED:
+        return full
+    recall = (n.cumsum(1) / n.sum(1, keepdims=True)).mean(0)
+    return float(np.flatnonzero(recall >= target)[0] / _STEPS * full)
 
 
 def filed(vectors: DataFrame, index: MultiIndex) -> DataFrame:
@@ -170,17 +186,35 @@ def filed(vectors: DataFrame, index: MultiIndex) -> DataFrame:
     return vectors.withColumn("cell", cell("embedding"))
 
 
-def visits(vectors: DataFrame, index: MultiIndex, limit: float, occupied: np.ndarray) -> DataFrame:
-    """``vec_id, embedding, cell``: a row for each cell that a query visits."""
-    shared = vectors.sparkSession.sparkContext.broadcast((index, occupied))
+def blocks_of(cells: np.ndarray, counts: np.ndarray, size: int, n_cells: int) -> np.ndarray:
+    """For each cell of the grid its block, -1 if it is empty: runs of occupied cells of together at most ``size``
+    vectors, or a single cell."""
+    out, block, held = np.full(n_cells, -1, np.int32), 0, 0
+    for k in np.argsort(cells):
+        if held and held + counts[k] > size:
+            block, held = block + 1, 0
+        out[cells[k]] = block
+        held += counts[k]
+    return out
+
+
+def visits(vectors: DataFrame, index: MultiIndex, limit: float, block_of: np.ndarray) -> DataFrame:
+    """``vec_id, embedding, block``: a row for each block with a cell that a query visits."""
+    shared = vectors.sparkSession.sparkContext.broadcast((index, block_of))
 
     @F.pandas_udf("array<int>")
-    def cells(embedding: pd.Series) -> pd.Series:
-        index, occupied = shared.value
-        first, second = index.costs(unit_rows(embedding))
-        return pd.Series([index.visited(a, b, limit, occupied) for a, b in zip(first, second, strict=True)])
+    def blocks(embedding: pd.Series) -> pd.Series:
+        index, block_of = shared.value
+        out, seen = [], np.zeros(block_of.max() + 2, bool)  # the last one stands for empty cells
+        for at in range(0, len(embedding), CHUNK):
+            first, second = index.costs(unit_rows(embedding[at : at + CHUNK]))
+            for a, b in zip(first, second, strict=True):
+                seen[:] = False
+                seen[block_of[index.visited(a, b, limit)]] = True
+                out.append(np.flatnonzero(seen[:-1]).astype(np.int32))
+        return pd.Series(out, dtype=object)
 
-    return vectors.select("vec_id", "embedding", F.explode(cells("embedding")).alias("cell"))
+    return vectors.select("vec_id", "embedding", F.explode(blocks("embedding")).alias("block"))
 
 
 def _forest(link: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,18 +235,18 @@ def _forest(link: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np
 
 def block_links(members: DataFrame, queries: DataFrame, cosine: float) -> DataFrame:
     """``vec_id, n_links, least``: for each block and vector in it, links to others and the least id reached."""
-    m_parts = members.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("ms"))
-    q_parts = queries.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("qs"))
-    parts = m_parts.join(q_parts, "cell")
+    m_parts = members.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("ms"))
+    q_parts = queries.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("qs"))
+    parts = m_parts.join(q_parts, "block")
     mine = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     seats = (
-        members.join(parts, "cell")
-        .select("cell", mine("ms").alias("m"), every("qs").alias("q"), "vec_id", "copies", "embedding")
+        members.join(parts, "block")
+        .select("block", mine("ms").alias("m"), every("qs").alias("q"), "vec_id", "copies", "embedding")
         .withColumn("query", F.lit(False))
         .unionByName(
-            queries.join(parts, "cell")
-            .select("cell", every("ms").alias("m"), mine("qs").alias("q"), "vec_id", "embedding")
+            queries.join(parts, "block")
+            .select("block", every("ms").alias("m"), mine("qs").alias("q"), "vec_id", "embedding")
             .withColumn("copies", F.lit(0).cast("long"))
             .withColumn("query", F.lit(True))
         )
@@ -225,20 +259,27 @@ def block_links(members: DataFrame, queries: DataFrame, cosine: float) -> DataFr
         if asks.all() or not asks.any():
             return empty
         x = unit_rows(block["embedding"])
-        link = (x[asks] @ x[~asks].T >= cosine) & (ids[asks][:, None] != ids[~asks][None, :])
-        if not link.any():
-            return empty
-        rows, columns = _forest(link, ids[asks], ids[~asks])
-        linked, moved = link.any(1), columns != ids[~asks]
-        return pd.DataFrame(
-            {
-                "vec_id": np.concatenate((ids[asks][linked], ids[~asks][moved])),
-                "n_links": np.concatenate(((link @ copies)[linked], np.zeros(int(moved.sum()), np.int64))),
-                "least": np.concatenate((rows[linked], columns[moved])),
-            }
-        )
-
-    return seats.groupBy("cell", "m", "q").applyInPandas(compare, "vec_id long, n_links long, least long")
+        out, queries = [empty], np.flatnonzero(asks)
+        for at in range(0, len(queries), CHUNK):
+            some = queries[at : at + CHUNK]
+            link = (x[some] @ x[~asks].T >= cosine) & (ids[some][:, None] != ids[~asks][None, :])
+            linked = link.any(1)
+            if not linked.any():
+                continue
+            rows, columns = _forest(link, ids[some], ids[~asks])
+            moved = columns != ids[~asks]
+            out.append(
+                pd.DataFrame(
+                    {
+                        "vec_id": np.concatenate((ids[some][linked], ids[~asks][moved])),
+                        "n_links": np.concatenate((link[linked] @ copies, np.zeros(int(moved.sum()), np.int64))),
+                        "least": np.concatenate((rows[linked], columns[moved])),
+                    }
+                )
+            )
+        return pd.concat(out)
+
+    return seats.groupBy("block", "m", "q").applyInPandas(compare, "vec_id long, n_links long, least long")
 
 
 def near_duplicates(
@@ -270,9 +311,17 @@ def near_duplicates(
     index = fit_index(distinct, most["count"], most["dims"])
     limit = fit_limit(distinct, index, cosine, target_recall)
     members = stored(spark, filed(distinct, index), "filed")
-    occupied = np.zeros(len(index.books[0]) * len(index.books[1]), bool)
-    occupied[members.select("cell").distinct().toPandas()["cell"].to_numpy(int)] = True  # at most MAX_CODEWORDS**2
-    queries = visits(distinct.drop("copies"), index, limit, occupied)
+    counts = members.groupBy("cell").count().toPandas()  # at most MAX_CODEWORDS**2 rows
+    n_cells = len(index.books[0]) * len(index.books[1])
+    block_of = blocks_of(counts["cell"].to_numpy(int), counts["count"].to_numpy(int), BLOCK, n_cells)
+    shared = spark.sparkContext.broadcast(block_of)
+
+    @F.pandas_udf("int")
+    def block(cell: pd.Series) -> pd.Series:
+        return pd.Series(shared.value[cell.to_numpy(int)])
+
+    members = members.withColumn("block", block("cell")).drop("cell")
+    queries = visits(distinct.drop("copies"), index, limit, block_of)
     found = stored(spark, block_links(members, stored(spark, queries, "visits"), cosine), "block-links")
     reach = connected_components(found.where("vec_id <> least"), "vec_id", "least")
     links = found.groupBy("vec_id").agg(F.sum("n_links").alias("n"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfspark.llm.embed_dedup import MultiIndex, near_duplicates
 from shelfspark.llm.graph import connected_components
@@ -149,6 +150,37 @@ def test_embeddings_against_brute_force(spark):
     assert near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_rare_links_outside_the_sample_are_found(spark):
+    # The pairs have the ids that the sample takes last, so no sampled query has a link to another row.
+    rng = np.random.default_rng(4)
+    ids = [r["id"] for r in spark.range(4000).orderBy(F.xxhash64("id"), "id").collect()]
+    x = rng.normal(size=(4000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for k in range(3940, 4000, 2):
+        other = rng.normal(size=16)
+        other -= (other @ x[k]) * x[k]
+        x[k + 1] = 0.955 * x[k] + (1 - 0.955**2) ** 0.5 * other / np.linalg.norm(other)
+    links = (x @ x.T >= 0.95).sum(1) - 1
+    assert not links[:2048].any() and links[3940:].all()
+    frame = spark.createDataFrame(list(zip(ids, x.tolist(), strict=True)), "vec_id long, embedding array<double>")
+    for target in (1.0, 0.9):
+        got = {r["vec_id"]: r["n_links"] for r in near_duplicates(frame, target_recall=target).collect()}
+        assert [got[i] for i in ids] == links.tolist()
+
+
+def test_visited_cells_hold_every_link():
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(300, 6))
+    x = np.concatenate((base, base + rng.normal(size=base.shape) * 0.2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = MultiIndex(np.concatenate((x[:12, :3], x[:2, :3])), x[20:31, 3:])  # two codewords twice
+    cells = index.cells(x)
+    for k, (a, b) in enumerate(zip(*index.costs(x), strict=True)):
+        assert set(cells[x @ x[k] >= 0.95]) <= set(index.visited(a, b, 0.1 + 1e-6))
+        upto = {c for v, c in index.traverse(a, b) if v <= 0.1}
+        assert set(index.visited(a, b, 0.1)) == upto
+
+
 def test_traversal_visits_all_cells_in_order():
     rng = np.random.default_rng(1)
     index = MultiIndex(rng.normal(size=(5, 3)), rng.normal(size=(4, 3)))
