@@ -5,12 +5,13 @@ so every mention of one entity gets the same surrogate. The surrogate is a keyed
 canonical form's format: each letter or digit varies within its own class (script, digits; the first digit of a number
 keeps its range), seen together as one number in mixed radix, and a Feistel network with HMAC rounds permutes these
 numbers. It is one to one, so different entities stay different. Check digits are made anew where they held before.
-Names are replaced from lists of the same script and gender, by a permutation of the list; a word in no list keeps its
-pattern of vowels and consonants and never becomes a listed word.
+Names are replaced from lists of the same script and gender; a word in no list keeps its pattern of vowels and
+consonants and never becomes a listed word. Both move one step along a keyed cycle of all words there are, so that
+different words stay different and none stays itself (but for a word of letters without case).
 
 A surrogate could still be the real entity of somebody else, or its own original. The corpus' entities are therefore
 collected first and compared with all surrogates; those that collide are drawn again with the next round of the key,
-until none does. Entities drawn again are rare; only documents that mention one are joined with their new surrogates.
+until none does; if some are left after the last round, the job fails. Entities drawn again are rare; only documents that mention one are joined with their new surrogates.
 
 Nulls: a null text stays null and counts no entities; an empty text stays as it is. Repeated rows get equal results.
 Columns of the input are kept; the added columns replace columns of the same name.
@@ -70,14 +71,28 @@ _CLASSES = (
     "αβγδεζηθικλμνξοπρστυφχψω",
 )
 _CLASS_OF = {c: k for k in _CLASSES for c in k}
-_PATTERN_CLASS = {**_CLASS_OF, **dict.fromkeys(_VOWELS, _VOWELS), **dict.fromkeys(_CONSONANTS, _CONSONANTS)}
+#: For names: other lower-case letters vary within their 128 code points.
+_OTHER: dict[int, str] = {}
+for _c in map(chr, range(0x100, 0x1F000)):
+    if _c.islower() and _c not in _CLASS_OF and len(_c.upper()) == 1 and _c != _c.upper() and _c.upper().lower() == _c:
+        _OTHER[ord(_c) >> 7] = _OTHER.get(ord(_c) >> 7, "") + _c
+_OTHER_OF = {c: k for k in _OTHER.values() for c in k}
+_PATTERN_CLASS = {**_OTHER_OF, **_CLASS_OF, **dict.fromkeys(_VOWELS, _VOWELS), **dict.fromkeys(_CONSONANTS, _CONSONANTS)}
 
 
 # --- permutations ----------------------------------------------------------------------------------------------
 
 
-def permute(x: int, n: int, key: bytes, label: str) -> int:
-    """A keyed permutation of ``range(n)``: Feistel rounds over a grid of at least ``n`` cells, walked back inside."""
+def _mac(key: bytes, label: str, n: int, i: int, half: int, size: int) -> int:
+    mac = hmac.digest(key, f"{label}|{n}|{i}|{half}".encode(), "sha256")
+    while len(mac) < size:
+        mac += hashlib.sha256(mac).digest()
+    return int.from_bytes(mac[:size], "big")
+
+
+def permute(x: int, n: int, key: bytes, label: str, back: bool = False) -> int:
+    """A keyed permutation of ``range(n)``: Feistel rounds over a grid of at least ``n`` cells, walked back inside.
+    ``back``: its inverse."""
     if n < 2:
         return x
     side = 1
@@ -89,17 +104,22 @@ def permute(x: int, n: int, key: bytes, label: str) -> int:
     size = (bits + 7) // 8 or 1
     while True:
         left, right = x >> bits, x & (side - 1)
-        for i in range(6):
-            mac = hmac.digest(key, f"{label}|{n}|{i}|{right}".encode(), "sha256")
-            while len(mac) < size:
-                mac += hashlib.sha256(mac).digest()
-            left, right = right, left ^ (int.from_bytes(mac[:size], "big") & (side - 1))
+        for i in reversed(range(6)) if back else range(6):
+            if back:
+                left, right = right ^ (_mac(key, label, n, i, left, size) & (side - 1)), left
+            else:
+                left, right = right, left ^ (_mac(key, label, n, i, right, size) & (side - 1))
         x = (left << bits) | right
         if x < n:
             return x
 
 
-def permute_text(text: str, key: bytes, label: str, class_of=_CLASS_OF, first: str = "") -> str:
+def step_on(x: int, n: int, key: bytes, label: str) -> int:
+    """The next number along a keyed cycle through all of ``range(n)``: one to one, and never ``x`` if ``n`` > 1."""
+    return permute((permute(x, n, key, label, back=True) + 1) % n, n, key, label)
+
+
+def permute_text(text: str, key: bytes, label: str, class_of=_CLASS_OF, first: str = "", move=permute) -> str:
     """Characters of ``text`` vary together within their classes. ``first``: a class for a leading digit in it."""
     classes = [class_of.get(c) for c in text]
     if first and text and text[0] in first:
@@ -111,7 +131,7 @@ def permute_text(text: str, key: bytes, label: str, class_of=_CLASS_OF, first: s
         if k:
             x, n = x * len(k) + k.index(c), n * len(k)
     shape += "|" + "".join(c for c, k in zip(text, classes, strict=True) if not k)
-    x = permute(x, n, key, shape)
+    x = move(x, n, key, shape)
     out = []
     for c, k in zip(reversed(text), reversed(classes), strict=True):
         if k:
@@ -169,22 +189,31 @@ _GENDER = {w: (script, g) for (script, g), words in _LISTS.items() if g != "last
 _LISTED = frozenset(w for words in _LISTS.values() for w in words)
 
 
+#: Words by list; a word that is in two of them counts in one, by its place: as a first name, or as a surname.
+_FIRST_ROLES = {k: v if k[1] != "last" else [w for w in v if w.lower() not in _GENDER] for k, v in NAMES.items()}
+_LAST_ROLES = {
+    k: v if k[1] == "last" else [w for w in v if w.lower() not in _LISTS["latin", "last"] | _LISTS["cyrillic", "last"]]
+    for k, v in NAMES.items()
+}
+_FIRST_PLACE, _LAST_PLACE = (
+    {w.lower(): (r, i) for r, words in roles.items() for i, w in enumerate(words)} for roles in (_FIRST_ROLES, _LAST_ROLES)
+)
+
+
 def _name(text: str, key: bytes, label: str) -> str:
-    """``text``: gender, then lower-case words; the last one is a surname unless it is a listed first name."""
+    """``text``: gender, then lower-case words; the last of several is a surname unless it is only a first name."""
     _, *words = text.split(" ")
     out = []
     for i, word in enumerate(words):
-        role = _GENDER.get(word) if i + 1 < len(words) or len(words) == 1 else None
-        if role is None:
-            role = next(((s, "last") for s in ("latin", "cyrillic") if word in _LISTS[s, "last"]), None)
-        role = role or _GENDER.get(word)
+        first = i + 1 < len(words) or len(words) == 1
+        role, at = (_FIRST_PLACE if first else _LAST_PLACE).get(word, (None, 0))
         if role:
-            words_of = NAMES[role]
-            out.append(words_of[permute(_LISTS[role][word], len(words_of), key, label + str(role))].lower())
+            words_of = (_FIRST_ROLES if first else _LAST_ROLES)[role]
+            out.append(words_of[step_on(at, len(words_of), key, label + str(role))].lower())
         else:
-            new = permute_text(word, key, label, _PATTERN_CLASS)
+            new = permute_text(word, key, label, _PATTERN_CLASS, move=step_on)
             while new in _LISTED:
-                new = permute_text(new, key, label, _PATTERN_CLASS)
+                new = permute_text(new, key, label, _PATTERN_CLASS, move=step_on)
             out.append(new)
     return " ".join([text.split(" ")[0], *out])
 
@@ -407,15 +436,16 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
 
 def drawn_again(entities: DataFrame, key: str, rounds: int = 20) -> DataFrame:
     """``kind, entity, attempt`` of the entities whose first surrogate collides: with another one's surrogate, or
-    (but for names, which are drawn from lists) with an entity of the corpus. Compared by shuffles over all entities.
+    (but for names, which are drawn from lists and never their own) with an entity of the corpus. Compared by shuffles
+    over all entities.
 
-    Of entities with one surrogate the least keeps it. Formats too small to avoid every collision keep what is left
-    after ``rounds``.
+    Of entities with one surrogate the least keeps it. Fails if collisions are left after ``rounds``, as in formats
+    too small to avoid them.
     """
     spark = entities.sparkSession
     now = stored(spark, draw(entities.withColumn("attempt", F.lit(0)), key), "entities")
     real = entities.select("kind", F.col("entity").alias("drawn")).where("kind <> 'name'")
-    for _ in range(rounds):
+    for n_drawn in range(rounds + 1):
         keepers = now.groupBy("kind", "drawn").agg(F.min("entity").alias("keeper"), F.count("*").alias("n"))
         hits = real.join(now.select("kind", "drawn").distinct(), ["kind", "drawn"], "left_semi")
         bad = (
@@ -426,6 +456,9 @@ def drawn_again(entities: DataFrame, key: str, rounds: int = 20) -> DataFrame:
         bad = stored(spark, bad, "collisions")
         if bad.isEmpty():
             break
+        if n_drawn == rounds:
+            left = {r["kind"]: r["count"] for r in bad.groupBy("kind").count().collect()}
+            raise ValueError(f"surrogates still collide after {rounds} rounds, by kind: {left}")
         moved = now.join(bad, ["kind", "drawn"], "left").select(
             "kind",
             "entity",

@@ -52,6 +52,35 @@ def test_names_keep_gender_and_script():
     assert replaced("Dr. Qwzzk")[4:] != "Qwzzk"
 
 
+@pytest.mark.parametrize("key", [pii.KEY, "k", "other"])
+def test_no_name_stays_itself(key):
+    for (_, gender), words in pii.NAMES.items():
+        g = "m" if gender == "last" else gender
+        for w in map(str.lower, words):
+            for name in (f"{g} {w}", f"{g} pablo {w}", f"{g} {w} zork"):
+                for attempt in (0, 1):
+                    new = pii.surrogate("name", name, key, attempt)
+                    assert all(a != b for a, b in zip(name.split()[1:], new.split()[1:], strict=True))
+    # Short words outside the lists, and letters outside the usual classes.
+    for w in ("q", "a", "li", "wu", "š", "ł", "ñ", "ё", "ա", *"bcdfg"):
+        assert pii.surrogate("name", f"m {w}", key) != f"m {w}"
+    for text in ("Mr Clark", "Mr Иван Смирнов", "Mr Иван Сидоров"):
+        assert not set(replaced(text, key).split()[1:]) & set(text.split())
+
+
+def test_all_listed_words_stay_distinct():
+    # Some words are both first names and surnames.
+    words = sorted({w.lower() for ws in pii.NAMES.values() for w in ws})
+    for before in ("m", "m zork", "m pablo"):
+        assert len({pii.surrogate("name", f"{before} {w}", KEY) for w in words}) == len(words)
+
+
+def test_left_collisions_fail(spark):
+    full = spark.createDataFrame([("code", str(k)) for k in range(10)], "kind string, entity string")
+    with pytest.raises(ValueError, match="code"):
+        pii.drawn_again(full, KEY, rounds=2)
+
+
 @pytest.mark.parametrize(("kind", "entities"), [
     ("phone", [f"{2000000000 + 7919 * k}" for k in range(3000)]),
     ("ip", [f"{1 + k % 220}.{k % 256}.{k * 7 % 256}.{k // 256}" for k in range(3000)]),
@@ -70,6 +99,15 @@ def test_permutation():
         assert sorted(pii.permute(x, n, b"k", "l") for x in range(n)) == list(range(n))
 
 
+def test_steps_are_one_cycle():
+    for n in (2, 3, 10, 257):
+        seen = [0]
+        while (x := pii.step_on(seen[-1], n, b"k", "l")) != 0:
+            seen.append(x)
+        assert sorted(seen) == list(range(n))
+        assert all(pii.permute(pii.permute(x, n, b"k", "l"), n, b"k", "l", back=True) == x for x in range(n))
+
+
 def test_collisions_are_drawn_again(spark):
     # In a format of two digits a surrogate is often the entity of somebody else; drawing again takes it elsewhere.
     entities = spark.createDataFrame([("code", f"{k:02d}") for k in range(0, 100, 7)], "kind string, entity string")
