@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -184,6 +185,26 @@ def _ip(text: str, key: bytes, label: str) -> str:
             return f"{a}.{b}.{x >> 8 & 255}.{x & 255}"
 
 
+def _ipv6(text: str, key: bytes, label: str) -> str:
+    """``text``: compressed; its groups keep their lengths, so it stays compressed."""
+    classes = [
+        "" if c == ":" or group == "0" else "123456789abcdef" if i == 0 else "0123456789abcdef"
+        for group in re.findall("[0-9a-f]+|:", text)
+        for i, c in enumerate(group)
+    ]
+    x, n = 0, 1
+    for c, k in zip(text, classes, strict=True):
+        if k:
+            x, n = x * len(k) + k.index(c), n * len(k)
+    x = permute(x, n, key, label + "".join("x" if k else c for c, k in zip(text, classes, strict=True)))
+    out = []
+    for c, k in zip(reversed(text), reversed(classes), strict=True):
+        if k:
+            x, at = divmod(x, len(k))
+        out.append(k[at] if k else c)
+    return "".join(reversed(out))
+
+
 _LISTS = {k: {w.lower(): i for i, w in enumerate(v)} for k, v in NAMES.items()}
 _GENDER = {w: (script, g) for (script, g), words in _LISTS.items() if g != "last" for w in words}
 _LISTED = frozenset(w for words in _LISTS.values() for w in words)
@@ -228,6 +249,8 @@ def surrogate(kind: str, canonical: str, key: str, attempt: int = 0) -> str:
         return _iban(canonical, secret, label)
     if kind == "ip":
         return _ip(canonical, secret, label)
+    if kind == "ipv6":
+        return _ipv6(canonical, secret, label)
     if kind == "name":
         return _name(canonical, secret, label)
     if kind == "email":
@@ -256,8 +279,13 @@ def written(original: str, kind: str, canonical: str) -> str:
         return re.sub(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", lambda m: _cased(m[0], next(parts)), original)
     if kind == "secret":
         return canonical
-    if kind in ("email", "ipv6"):
+    if kind == "email":
         return _cased_like(original, canonical)
+    if kind == "ipv6":
+        new = canonical if "::" in original else ":".join(g.lstrip("0") or "0" for g in ipaddress.IPv6Address(canonical).exploded.split(":"))
+        if all(len(g) == 4 for g in original.split(":")):
+            new = ipaddress.IPv6Address(canonical).exploded
+        return new.upper() if original.isupper() else new
     fresh = iter(canonical)
     return "".join(next(fresh) if c.isalnum() else c for c in original)
 
@@ -276,11 +304,34 @@ _BETWEEN = r"(?:[#$%&*!,]{0,4}(?:[ .-]| ?\| ?))"
 _PHONE = re.compile(
     rf"(?<![\w.+])(?:(?:\+\d{{1,3}}{_BETWEEN}?)?(?:\(\d{{2,4}}\)|\d{{2,4}}){_BETWEEN}\d{{3,4}}{_BETWEEN}\d{{3,4}}|\+\d{{8,15}})(?![\w])"
 )
+_GAP = r"[ .\-/\u00a0\u202f]"
+# Country codes 33 and 34 have nine digits behind them; numbers of code 1 are those of ``_PHONE``.
+_PHONES = (
+    _PHONE,
+    re.compile(
+        rf"(?<![\w.+])\+(?:3[34](?:{_GAP}?\(0\))?(?:{_GAP}?\d){{9}}"
+        rf"|(?!1\D|3[34])\d{{1,3}}(?:{_GAP}?(?:\(\d{{1,5}}\)|\d{{2,12}})){{1,5}})(?!\w)"
+    ),
+    # Pairs of digits (0x xx xx xx xx, 9xx xx xx xx), and an area code with one long block.
+    re.compile(rf"(?<![\w.+])(?:0[1-9](?:{_GAP}\d\d){{4}}|[2-9]\d\d(?:{_GAP}\d\d){{3}})(?![\w]|{_GAP}\d\d(?!\d))"),
+    re.compile(rf"(?<![\w.+])(?:0[1-9]\d{{1,3}}{_GAP}|\(0[1-9]\d{{1,3}}\){_GAP}?)\d{{5,8}}(?!\w)"),
+    # Plain digits behind a phone word.
+    re.compile(
+        r"(?i:\b(?:(?:tele)?phone|tel|telefon|call|mobile?|cell|fax|handy|whatsapp|sms|t[ée]l[ée]phone|portable|appel\w*"
+        r"|tel[ée]fono|m[óo]vil|ll[áa]m\w+|ruf\w*|anruf\w*|тел|телефон\w*|звони\w*)\b)[^\w+\n]{0,4}(?:[^\W\d]{1,8}[^\w+\n]{1,3}){0,3}"
+        r"(?P<plain>\d{7,11})(?!\w)"
+    ),
+)
+_SEVEN = re.compile(r"\d{7}")
+_PHONE_CODE = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 _CARD = re.compile(r"(?<![\d.+])\d(?:[ -]?\d){12,18}(?!\d)")
 _IP = re.compile(r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)")
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])")
-_IPV6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
+_IPV6 = re.compile(
+    r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){0,6}(?:[0-9A-Fa-f]{1,4})?::"
+    r"(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{0,4})(?![\w:])"
+)
 _SECRETS = (
     re.compile(r"(?<![A-Za-z0-9])((?:AKIA[0-9A-Z]{16}|(?:gh[opsu]|sk|pk|xox[abp])[-_][A-Za-z0-9_-]{16,})(?![A-Za-z0-9]))"),
     re.compile(
@@ -321,6 +372,39 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
+def _phone_numbers(text: str) -> Iterator[Found]:
+    """Of overlapping matches the longer one."""
+    found = []
+    long = _SEVEN.search(text)
+    for k, pattern in enumerate(_PHONES):
+        if (k == 1 and "+" not in text) or (pattern.groups and not long):
+            continue
+        for m in pattern.finditer(text):
+            start, end = m.span("plain" if "plain" in pattern.groupindex else 0)
+            digits = _digits(text[start:end])
+            while len(digits) > 15 and k == 1:  # a number of its own behind the last gap
+                end = start + re.match(rf"(.*?){_GAP}[^ .\-/]*\Z", text[start:end], re.S).end(1) if re.search(_GAP, text[start:end]) else start
+                digits = _digits(text[start:end])
+            if (9 if k == 0 else 7) <= len(digits) <= 15:
+                found.append((start, end, "phone", digits))
+    taken: list[Found] = []
+    for f in sorted(found, key=lambda f: (f[0] - f[1], f[0])):
+        if all(f[1] <= t[0] or f[0] >= t[1] for t in taken):
+            taken.append(f)
+    yield from sorted(taken)
+
+
+def _ipv6_addresses(text: str) -> Iterator[Found]:
+    for m in _IPV6.finditer(text):
+        try:
+            address = ipaddress.IPv6Address(m[0])
+        except ValueError:
+            continue
+        # Words of hexadecimal letters around '::' are names in programs; '::1' is every machine's own.
+        if any(c.isdigit() for c in m[0]) and not (address.is_unspecified or address.is_loopback):
+            yield m.start(), m.end(), "ipv6", address.compressed
+
+
 def _names(text: str) -> Iterator[Found]:
     for m in _TITLE.finditer(text):
         words = re.findall(_WORD, m[2])
@@ -351,7 +435,7 @@ def detect(text: str) -> list[Found]:
     out += _emails(text)
     if any(c in text for c in "0123456789"):
         if ":" in text:
-            out += [(m.start(), m.end(), "ipv6", m[0].lower()) for m in _IPV6.finditer(text)]
+            out += _ipv6_addresses(text)
         out += [
             (m.start(), m.end(), "ip", m[0])
             for m in _IP.finditer(text)
@@ -366,10 +450,7 @@ def detect(text: str) -> list[Found]:
             if luhn_sum(digits) == 0 or (len(digits) == 16 and digits[0] in "3456"):
                 out.append((m.start(), m.end(), "card", digits))
         out += [(m.start(), m.end(), "ssn", _digits(m[0])) for m in _SSN.finditer(text)]
-        for m in _PHONE.finditer(text):
-            digits = _digits(m[0])
-            if 9 <= len(digits) <= 15:
-                out.append((m.start(), m.end(), "phone", digits))
+        out += _phone_numbers(text)
     out += _names(text)
     if len(out) < 2:
         return out
@@ -380,24 +461,24 @@ def detect(text: str) -> list[Found]:
     return sorted(taken)
 
 
-def _phone_surrogate(original: str, canonical: str, key: str, attempt: int) -> str:
-    """The country code is kept: only the digits behind it vary, so spellings with and without it agree."""
-    m = re.match(r"\+(\d{1,3})(?=\D)", original)
-    code = m[1] if m else ""
-    return code + surrogate("phone", canonical[len(code) :], key, attempt)
+def _phone_prefix(original: str, canonical: str) -> str:
+    """The leading digits that are kept: a country code, and the 0 before an area code."""
+    code = _PHONE_CODE.match(canonical)[0] if original.startswith("+") else ""
+    zero = canonical[len(code) :].startswith("0") and len(canonical) - len(code) > 7
+    return code + "0" * zero
 
 
 def replacement(original: str, kind: str, canonical: str, key: str, attempt: int = 0) -> str:
     if kind == "phone":
-        return written(original, kind, _phone_surrogate(original, canonical, key, attempt))
+        prefix = _phone_prefix(original, canonical)
+        return written(original, kind, prefix + surrogate(kind, canonical[len(prefix) :], key, attempt))
     return written(original, kind, surrogate(kind, canonical, key, attempt))
 
 
 def entity_key(original: str, kind: str, canonical: str) -> str:
-    """What identifies the entity: the canonical form, for phone numbers without a written country code."""
-    if kind == "phone" and (m := re.match(r"\+(\d{1,3})(?=\D)", original)):
-        return canonical[len(m[1]) :]
-    return canonical
+    """What identifies the entity: the canonical form, for phone numbers what is not kept of it, so that spellings
+    with and without country code agree."""
+    return canonical[len(_phone_prefix(original, canonical)) :] if kind == "phone" else canonical
 
 
 # --- on Spark --------------------------------------------------------------------------------------------------

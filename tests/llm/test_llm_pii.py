@@ -44,6 +44,45 @@ def test_coreference_format_and_key():
     assert replaced(TEXT, "other") != new and replaced(TEXT) == new
 
 
+@pytest.mark.parametrize("text", [
+    "Rufen Sie +49 171 2345678 an", "Büro: +49 30 12345678.", "+49 (0)30 12345678", "Tel. 030 1234567", "0171/2345678", "(030) 1234567",
+    "Mon numéro : +33 6 12 34 56 78.", "06 12 34 56 78", "06.12.34.56.78", "+33 (0)6 12 34 56 78", "appelez le 0612345678",
+    "Mi número: 912 34 56 78", "+34 912 34 56 78", "llame al 912345678", "+34 912 345 678",
+    "call me at 5551234567", "phone: 5551234", "+44 20 7946 0958", "телефон 89161234567", "+7 916 123-45-67", "+49 89 123 456 78",
+])
+def test_phones_of_each_language(text):
+    found = pii.detect(text)
+    assert [k for *_, k, _ in found] == ["phone"]
+    start, end = found[0][:2]
+    assert not any(c.isdigit() for c in text[:start] + text[end:])
+    new = replaced(text)
+    assert new != text and len(new) == len(text) and [c.isdigit() for c in new] == [c.isdigit() for c in text]
+    assert [k for *_, k, _ in pii.detect(new)] == ["phone"]
+
+
+def test_phone_spellings_agree():
+    a, b, c, d = (replaced(t) for t in ("+33 6 12 34 56 78", "06 12 34 56 78", "+33612345678", "+33 (0)6 12 34 56 78"))
+    digits = lambda t: "".join(x for x in t if x.isdigit())
+    assert digits(a)[2:] == digits(b)[1:] == digits(c)[2:] == digits(d)[3:]
+
+
+def test_numbers_that_are_not_phones():
+    for text in ("+1 785 555 9526 2024", "+33 6 12 34 56 78 2024"):
+        assert replaced(text).endswith(" 2024")
+    for text in ("12 34 56", "std::vector, a::b, abc::def, ::1 and 12:30:45", "page 1234567", "0.12345 and 01 02 03"):
+        assert pii.detect(text) == []
+
+
+def test_ipv6():
+    for text in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0db8:0000:0000:0000:0000:0000:0001", "2001:DB8::A1", "2001:db8:0:1:1:1:1:1"):
+        new = replaced(f"host {text}, up")[5:-4]
+        assert [f[2] for f in pii.detect(f"host {text}, up")] == ["ipv6"]
+        assert new != text and [len(g) for g in new.split(":")] == [len(g) for g in text.split(":")]
+        assert pii.detect(new)[0][2] == "ipv6"
+    one, two = (replaced(t) for t in ("2001:db8::1", "2001:0db8:0000:0000:0000:0000:0000:0001"))
+    assert pii.ipaddress.IPv6Address(one) == pii.ipaddress.IPv6Address(two)
+
+
 def test_names_keep_gender_and_script():
     for text, gender in (("Mrs. Anna Weber", "f"), ("Herr Klaus Weber", "m"), ("Frau Мария Иванов", "f")):
         new = replaced(text).split(" ")
