@@ -9,9 +9,10 @@ Normalising works on UTF-8 bytes (every byte of a non-ASCII character is a word
 carries one to one.
 
 Size: the windows are dealt into blocks of about ``BLOCK_BYTES`` of pattern text by a hash, so what is
-broadcast, and the automaton a worker holds, has a bound (some 60 bytes for each byte of pattern). A benchmark within
-one block, some 30,000 windows, takes one scan; a larger one takes one scan for each block, and the spans of all scans
-are merged by document.
+broadcast at a time, and the automaton a worker holds, has a bound (some 60 bytes for each byte of pattern). Documents
+are read once: a benchmark within one block, some 30,000 windows, takes one scan of each; for a larger one a task
+gathers documents of about ``PIECE_BYTES``, passes them through the automata of all blocks in turn and merges the spans
+of each row.
 
 Nulls: a null or empty text has no words, no hits and no items. A null item text has no windows; an item with a null
 id is left out. Repeated items with one id count once. Columns other than the id and the text are not used.
@@ -20,7 +21,7 @@ id is left out. Repeated items with one id count once. Columns other than the id
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -33,6 +34,7 @@ from shelfspark.llm.common import slices
 
 WINDOW = 10
 BLOCK_BYTES = 2_000_000
+PIECE_BYTES = 32_000_000
 
 _SPACE = ord(" ")
 _NORMAL = bytes(
@@ -129,23 +131,10 @@ def contaminated_spans(
 ) -> DataFrame:
     """One row per document: ``doc_id, n_words long, spans array<struct<items, first_word, n_words, start, end>>``.
 
-    ``start`` and ``end`` are characters of the original text. A document row stays one row, repeated ids included,
-    while the benchmark fits one block; beyond that, rows are told apart by their id and text.
+    ``start`` and ``end`` are characters of the original text. A document row stays one row, repeated rows included.
     """
-    spark = docs.sparkSession
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
-    blocks = window_blocks(window_table(items, item_id, item_text, window), block_bytes)
-    scans = [_scan(named, block, spark) for block in blocks]
-    if len(scans) == 1:
-        return scans[0].drop("text_sha")
-    merged = scans[0]
-    for more in scans[1:]:
-        merged = merged.unionByName(more)
-    return (
-        merged.groupBy("doc_id", "text_sha")
-        .agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"))
-        .drop("text_sha")
-    )
+    return _scan(named, window_blocks(window_table(items, item_id, item_text, window), block_bytes))
 
 
 def window_blocks(windows: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
@@ -168,67 +157,98 @@ def clean_documents(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no window of an item occurs."""
-    for block in window_blocks(window_table(items, item_id, item_text, window), block_bytes):
-        docs = _without(docs, block, doc_text)
-    return docs
+    blocks = _shared(window_blocks(window_table(items, item_id, item_text, window), block_bytes), "n_words")
 
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _pieces(batches, doc_text, len(blocks)):
+            texts = [batch[doc_text].to_pylist() for batch in piece]
+            clean = [[True] * len(t) for t in texts]
 
-def _without(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
-    rows = windows.select("pattern", "n_words").collect()  # at most block_bytes of patterns
-    patterns, n_words = [bytes(r[0]) for r in rows], np.array([r[1] for r in rows], int)
-    key = hash(tuple(sorted(patterns)))
-    shared = docs.sparkSession.sparkContext.broadcast((patterns, n_words))
+            def look(automaton, n_words, texts=texts, clean=clean):
+                for t, rows in zip(texts, clean, strict=True):
+                    for k, text in enumerate(t):
+                        rows[k] = rows[k] and not find_spans(text, automaton, n_words)[1]
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, n_words = shared.value
-        automaton = _automaton(key, patterns)
-        for batch in slices(batches, text):
-            yield batch.filter(pa.array([not find_spans(t, automaton, n_words)[1] for t in batch[text].to_pylist()]))
+            _each_block(blocks, look)
+            for batch, rows in zip(piece, clean, strict=True):
+                yield batch.filter(pa.array(rows, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
 
+def _shared(blocks: list[DataFrame], *columns: str) -> list[tuple]:
+    """Of each block a key, and what is broadcast: the patterns, in order, and the columns of each. The values of an
+    automaton are positions in that order."""
+    out = []
+    for block in blocks:
+        rows = block.select("pattern", *columns).collect()  # at most block_bytes of patterns
+        patterns = [bytes(r[0]) for r in rows]
+        n_words = np.array([r[1] for r in rows], int)
+        more = [[r[k] for r in rows] for k in range(2, len(columns) + 1)]
+        shared = block.sparkSession.sparkContext.broadcast((patterns, n_words, *more))
+        out.append((hash(tuple(sorted(patterns))), shared))
+    return out
+
+
+def _each_block(blocks: list[tuple], look: Callable) -> None:
+    """Calls ``look`` with the automaton of each block and its columns; of several blocks one is held at a time."""
+    for key, shared in blocks:
+        patterns, *columns = shared.value
+        look(_automaton(key, patterns), *columns)
+        if len(blocks) > 1 and shared._path:
+            shared.__dict__.pop("_value", None)  # read again from the worker's file
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], text: str, n_blocks: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches that go through all blocks together: one, or if automata have to be built again about ``PIECE_BYTES``."""
+    piece, size = [], 0
+    for batch in slices(batches, text):
+        piece.append(batch)
+        size += batch[text].nbytes
+        if n_blocks == 1 or size >= PIECE_BYTES:
+            yield piece
+            piece, size = [], 0
+    if piece:
+        yield piece
+
+
 SPANS = "array<struct<items:array<string>,first_word:int,n_words:int,start:int,end:int>>"
 
 
-def _scan(docs: DataFrame, windows: DataFrame, spark) -> DataFrame:
-    rows = windows.select("pattern", "n_words", "items").collect()  # at most block_bytes of patterns
-    patterns = [bytes(r[0]) for r in rows]
-    key = hash(tuple(sorted(patterns)))
-    shared = spark.sparkContext.broadcast((patterns, np.array([r[1] for r in rows], int), [r[2] for r in rows]))
+def _scan(docs: DataFrame, windows: list[DataFrame]) -> DataFrame:
+    blocks = _shared(windows, "n_words", "items")
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, n_words, items = shared.value
-        automaton = _automaton(key, patterns)
         span = pa.struct(
             [("items", pa.list_(pa.string())), *((k, pa.int32()) for k in ("first_word", "n_words", "start", "end"))]
         )
-        for batch in slices(batches, "text"):
-            counts, spans, shas = [], [], []
-            for text in batch["text"].to_pylist():
-                n, which, first = find_spans(text, automaton, n_words)
-                counts.append(n)
-                shas.append(hashlib.sha256((text or "").encode("utf-8", "surrogatepass")).digest()[:16])
-                lengths = n_words[which].tolist() if which else []
-                start, end = original_offsets(text, first, lengths) if which else ([], [])
-                spans.append(
-                    [
-                        {"items": items[w], "first_word": f, "n_words": k, "start": s, "end": e}
-                        for w, f, k, s, e in zip(which, first, lengths, start, end, strict=True)
-                    ]
+        for piece in _pieces(batches, "text", len(blocks)):
+            texts = [batch["text"].to_pylist() for batch in piece]
+            counts = [[0] * len(t) for t in texts]
+            spans = [[[] for _ in t] for t in texts]
+
+            def look(automaton, n_words, items, texts=texts, counts=counts, spans=spans):
+                for t, numbers, rows in zip(texts, counts, spans, strict=True):
+                    for row, text in enumerate(t):
+                        numbers[row], which, first = find_spans(text, automaton, n_words)
+                        if not which:
+                            continue
+                        lengths = n_words[which].tolist()
+                        start, end = original_offsets(text, first, lengths)
+                        rows[row] += [
+                            {"items": items[w], "first_word": f, "n_words": k, "start": s, "end": e}
+                            for w, f, k, s, e in zip(which, first, lengths, start, end, strict=True)
+                        ]
+
+            _each_block(blocks, look)
+            for batch, numbers, rows in zip(piece, counts, spans, strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"], pa.array(numbers, pa.int64()), pa.array(rows, pa.list_(span))],
+                    ["doc_id", "n_words", "spans"],
                 )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    pa.array(counts, pa.int64()),
-                    pa.array(spans, pa.list_(span)),
-                    pa.array(shas, pa.binary()),
-                ],
-                ["doc_id", "n_words", "spans", "text_sha"],
-            )
 
-    return docs.mapInArrow(scan, f"doc_id {id_type}, n_words long, spans {SPANS}, text_sha binary")
+    return docs.mapInArrow(scan, f"doc_id {id_type}, n_words long, spans {SPANS}")
 
 
 def contamination_report(docs: DataFrame, items: DataFrame, **named) -> DataFrame:

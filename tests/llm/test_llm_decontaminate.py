@@ -69,6 +69,27 @@ def test_many_blocks_equal_one(spark):
     assert ids(clean_documents(docs, items)) == ids(clean_documents(docs, items, block_bytes=60)) == [2, 3, 5]
 
 
+def test_repeated_rows_stay_with_many_blocks(spark):
+    rows = [*ROWS, ROWS[0], ROWS[0], (None, "two words"), (None, "two words"), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], DOCS)
+    items = frames(spark)[1]
+    report = lambda n: sorted(
+        str(tuple(r)) for r in contamination_report(docs, items, block_bytes=n).drop("spans").collect()
+    )
+    assert len(report(60)) == len(rows) and report(60) == report(2_000_000)
+    assert clean_documents(docs, items, block_bytes=60).count() == clean_documents(docs, items).count() == 5
+
+
+def test_one_benchmark_in_two_orders(spark):
+    # The worker keeps the automaton of the first call; the second one collects the same windows in another order.
+    texts = [f"w{k} " * (k % 9 + 1) for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(texts)], "item_id string, text string")
+    assert clean_documents(docs, items).count() == 0
+    spans = {r["doc_id"]: r["spans"] for r in contaminated_spans(docs, items).collect()}
+    assert all([(s["items"], s["first_word"], s["n_words"]) for s in spans[k]] == [([f"i{k}"], 0, k % 9 + 1)] for k in range(400))
+
+
 def test_spans_point_into_the_original(spark):
     docs, items = frames(spark)
     spans = {r["doc_id"]: r["spans"] for r in contaminated_spans(docs, items).where("doc_id <> 6").collect()}
