@@ -181,12 +181,12 @@ def _shared(blocks: list[DataFrame], *columns: str) -> list[tuple]:
     automaton are positions in that order."""
     out = []
     for block in blocks:
-        rows = block.select("pattern", *columns).collect()  # at most block_bytes of patterns
+        rows = sorted(block.select("pattern", *columns).collect(), key=lambda r: bytes(r[0]))  # at most block_bytes of patterns
         patterns = [bytes(r[0]) for r in rows]
         n_words = np.array([r[1] for r in rows], int)
         more = [[r[k] for r in rows] for k in range(2, len(columns) + 1)]
         shared = block.sparkSession.sparkContext.broadcast((patterns, n_words, *more))
-        out.append((hash(tuple(sorted(patterns))), shared))
+        out.append((hash(tuple(patterns)), shared))
     return out
 
 
