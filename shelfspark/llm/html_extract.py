@@ -45,7 +45,9 @@ CLOSES = {
 SCOPE = frozenset("ul ol dl table menu select html body div article section main aside nav form".split())
 NO_P_INSIDE = BLOCKS - frozenset("label button select option textarea noscript".split())
 
-_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+# A quote opens a value only right behind "=".
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=\s*[^\s>\"'][^\s>]*|=)*+)>")
+_LETTER = re.compile("[a-zA-Z]")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTRIBUTE = re.compile(r"([\w:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -90,13 +92,14 @@ def parse(source: str) -> Page:
             end = source.find("-->", less + 4)
             at = size if end < 0 else end + 3
             continue
-        if source[less + 1 : less + 2] in ("!", "?"):
+        ended = source.startswith("</", less) and less + 2 < size and not _LETTER.match(source, less + 2)
+        if ended or source[less + 1 : less + 2] in ("!", "?"):
             end = source.find(">", less)
             at = size if end < 0 else end + 1
             continue
         m = _TAG.match(source, less) or _LOOSE.match(source, less)
         if not m:
-            if source[less + 1 : less + 2].isalpha() or source.startswith("</", less):
+            if _LETTER.match(source, less + 1) or source.startswith("</", less):
                 break  # an unfinished tag
             parts.append("<")
             at = less + 1

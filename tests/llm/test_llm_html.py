@@ -56,6 +56,19 @@ def test_marginals_are_those_of_enumeration():
     assert got == pytest.approx([o / z for o in ones])
 
 
+@pytest.mark.parametrize(("source", "texts"), [
+    ("<p>One.</><p>Two.</p>", ["One.", "Two."]),
+    ("<p>One.</ p>Two.</p><p>Three.", ["One.Two.", "Three."]),
+    ("<p>I </3 this>much.</p><p>Two.</p>", ["I much.", "Two."]),
+    ("<p title=it's>Text one.</p><p>We don't know.</p>", ["Text one.", "We don't know."]),
+    ("<p title='a > b' class=x>One.</p>", ["One."]),
+    ('<p title = "a > b">One.</p><p a=b="c>Two.</p><p "d>Three.</p>', ["One.", "Two.", "Three."]),
+    ("<p>a <é b</p><p>c", ["a <é b", "c"]),
+])
+def test_no_text_is_lost(source, texts):
+    assert [t for _, t in parse(source).runs] == texts
+
+
 @pytest.mark.parametrize("source", [None, "", "<", "</p>", "<p", "<!-- x", "<article><p>a<td>b</li></table></article", "<script>", "a < b", "<p class='x>y"])
 def test_broken_markup(model, source):
     assert isinstance(model.main_text(source), str)
