@@ -1,22 +1,19 @@
-"""Model scoring: linear models as expressions, tree ensembles as tables, fitted Spark ML models."""
+"""Model scoring: linear models and tree ensembles as expressions, fitted Spark ML models."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.names import BINARY_PRED, HL_ORIG_PRED, HS_PRED, LS_RATIO
+from shelfspark.operators import trees
 from shelfspark.operators.cascade import cast_object_features, is_higher_stock, is_lower_stock, is_rest
 
-# Trees that walk down together: the working arrays are rows x this many, however large the model is.
-TREE_BLOCK = 64
-
 
 class Scorer:
     """A list of feature columns and a way to turn them into one score column.
@@ -26,7 +23,8 @@ class Scorer:
 
     features: list[str]
 
-    def column(self, active: Column | None = None) -> Column:
+    def add(self, df: DataFrame, out: str, active: Column | None = None) -> DataFrame:
+        """``df`` with the score as ``out``."""
         raise NotImplementedError
 
 
@@ -42,158 +40,86 @@ class LinearScorer(Scorer):
     def features(self) -> list[str]:
         return list(self.weights)
 
-    def column(self, active: Column | None = None) -> Column:
+    def add(self, df: DataFrame, out: str, active: Column | None = None) -> DataFrame:
         terms = [F.lit(float(w)) * F.col(c).cast("double") for c, w in self.weights.items()]
         total = reduce(lambda a, b: a + b, terms, F.lit(float(self.intercept)))
         score = F.lit(1.0) / (F.lit(1.0) + F.exp(-total)) if self.sigmoid else total
-        return score if active is None else F.when(active, score)
+        return df.withColumn(out, score if active is None else F.when(active, score))
 
 
 class TreeTableScorer(Scorer):
-    """A boosted tree ensemble held as a node table.
+    """A boosted tree ensemble held as a node table, compiled to expressions.
 
     Node columns: ``tree, node, feature, threshold, left, right, leaf, default_left``; node 0 is the root of
     its tree and ``leaf`` is set on leaves only. ``value < threshold`` goes left, a missing value goes where
-    ``default_left`` says. The score is base + sum of leaves, through a sigmoid for a classifier. Trees are walked in
-    blocks of ``TREE_BLOCK``, each as deep as its own deepest tree, and their leaves added before the sigmoid.
+    ``default_left`` says. The score is base + sum of leaves, through a sigmoid for a classifier.
     """
 
-    def __init__(self, nodes: pd.DataFrame, base: float = 0.0, sigmoid: bool = False):
-        nodes = nodes.sort_values(["tree", "node"], ignore_index=True)
-        at = {pair: i for i, pair in enumerate(zip(nodes["tree"], nodes["node"]))}
-        own = np.arange(len(nodes))
-        leaf = nodes["leaf"].notna().to_numpy()
-
-        def child(side: str) -> np.ndarray:
-            return np.array(
-                [i if is_leaf else at[t, int(c)] for i, is_leaf, t, c in zip(own, leaf, nodes["tree"], nodes[side])],
-                dtype=np.int64,
-            )
-
-        self.features = sorted(nodes.loc[~leaf, "feature"].unique())
-        position = {name: i for i, name in enumerate(self.features)}
+    def __init__(self, nodes: pd.DataFrame | Iterable[Mapping], base: float = 0.0, sigmoid: bool = False):
+        if isinstance(nodes, pd.DataFrame):
+            nodes = nodes.sort_values(["tree", "node"]).to_dict("records")
         self.base, self.sigmoid = float(base), sigmoid
-        # Leaves point at themselves, so walking past one changes nothing.
-        self._left, self._right = child("left"), child("right")
-        self._feature = np.array([0 if f else position[n] for f, n in zip(leaf, nodes["feature"])], dtype=np.int64)
-        self._threshold = nodes["threshold"].fillna(np.inf).to_numpy(dtype=float)
-        self._default_left = nodes["default_left"].ne(False).to_numpy(dtype=bool)
-        self._leaf = nodes["leaf"].fillna(0.0).to_numpy(dtype=float)
-        roots = np.array([at[t, 0] for t in nodes["tree"].unique()], dtype=np.int64)
-        blocks = [roots[i : i + TREE_BLOCK] for i in range(0, len(roots), TREE_BLOCK)]
-        self._blocks = [(block, self._longest_path(block)) for block in blocks]
+        self.pieces: list[str] = []
+        features: set[str] = set()
+        for tree in trees.trees_of(nodes):
+            self.pieces += trees.tree_pieces(tree)
+            features |= trees.features_of(tree)
+        self.features = sorted(features)
 
     @classmethod
     def from_table(cls, nodes: DataFrame, base: float = 0.0, sigmoid: bool = False) -> TreeTableScorer:
-        """Load the node table: a model, which every worker needs as a whole."""
-        return cls(nodes.toPandas(), base, sigmoid)
-
-    def _longest_path(self, roots: np.ndarray) -> int:
-        depth, level = 0, roots
-        while (below := np.unique(np.concatenate([self._left[level], self._right[level]]))).size and (
-            below != self._left[below]
-        ).any():
-            depth, level = depth + 1, below[below != self._left[below]]
-        return depth + 1
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Scores of a batch: the trees of a block walk down one level at a time."""
-        rows = np.arange(len(x))[:, None]
-        total = np.full(len(x), self.base)
-        for roots, depth in self._blocks:
-            at = np.tile(roots, (len(x), 1))
-            for _ in range(depth):
-                value = x[rows, self._feature[at]] if self.features else np.zeros(at.shape)
-                left = np.where(np.isnan(value), self._default_left[at], value < self._threshold[at])
-                at = np.where(left, self._left[at], self._right[at])
-            total += self._leaf[at].sum(axis=1)
-        return 1.0 / (1.0 + np.exp(-total)) if self.sigmoid else total
-
-    def column(self, active: Column | None = None) -> Column:
-        scorer = self
-
-        @F.pandas_udf("double")
-        def tree_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            for active_rows, *columns in batches:
-                on = active_rows.fillna(False).to_numpy(dtype=bool)
-                yield _masked(scorer, columns, on)
-
-        gate = F.lit(True) if active is None else active
-        return tree_score(gate, *[F.col(c).cast("double") for c in self.features])
-
-
-def _masked(scorer: TreeTableScorer, columns: list[pd.Series], on: np.ndarray) -> pd.Series:
-    out = np.full(len(on), np.nan)
-    if on.any():
-        x = np.column_stack([c.to_numpy(dtype=float)[on] for c in columns]) if columns else np.zeros((on.sum(), 0))
-        out[on] = scorer.score(x)
-    return pd.Series(out).astype(object).where(on, None) if not on.all() else pd.Series(out)
+        """Compile a stored node table, tree by tree."""
+        return cls(trees.sorted_nodes(nodes), base, sigmoid)
+
+    def add(self, df: DataFrame, out: str, active: Column | None = None) -> DataFrame:
+        score = trees.ensemble(self.pieces, self.base, self.sigmoid)
+        return df.withColumn(out, score if active is None else F.when(active, score))
 
 
 def score_model(df: DataFrame, scorer: Scorer, out: str, active: Column | None = None) -> DataFrame:
     """Add one score column; string-typed features are cast to integers first."""
-    return cast_object_features(df, scorer.features).withColumn(out, scorer.column(active))
+    return scorer.add(cast_object_features(df, scorer.features), out, active)
 
 
 def score_independent(df: DataFrame, models: Mapping[str, Scorer]) -> DataFrame:
     """Every model on every row. ``models`` maps step_1 .. step_4 to scorers."""
     typed = cast_object_features(df, sorted({f for m in models.values() for f in m.features}))
     outs = {"step_1": BINARY_PRED, "step_2": HL_ORIG_PRED, "step_3": LS_RATIO, "step_4": HS_PRED}
-    return typed.withColumns({outs[step]: model.column() for step, model in models.items()})
+    for step, model in models.items():
+        typed = model.add(typed, outs[step])
+    return typed
 
 
 def score_cascade(df: DataFrame, models: Mapping[str, Scorer], t1: float = 0.4, t2: float = 0.4) -> DataFrame:
-    """Each model only on the rows routed to it.
-
-    Four tree models are evaluated in one pass through the Python worker; other combinations one by one.
-    """
+    """Each model only on the rows routed to it: a model's expression is one side of a condition on the scores before
+    it, and Spark evaluates no side that is not taken."""
     typed = cast_object_features(df, sorted({f for m in models.values() for f in m.features}))
-    if all(isinstance(m, TreeTableScorer) for m in models.values()):
-        return _score_tree_cascade(typed, models, float(t1), float(t2))
-    return (
-        typed.withColumn(BINARY_PRED, models["step_1"].column())
-        .withColumn(HL_ORIG_PRED, models["step_2"].column(is_rest(t1)))
-        .withColumn(LS_RATIO, models["step_3"].column(is_lower_stock(t1, t2)))
-        .withColumn(HS_PRED, models["step_4"].column(is_higher_stock(t1, t2)))
-    )
-
-
-def _score_tree_cascade(df: DataFrame, models: Mapping[str, Scorer], t1: float, t2: float) -> DataFrame:
-    features = sorted({f for m in models.values() for f in m.features})
-    position = {f: i for i, f in enumerate(features)}
-    first, second, third, fourth = (models[f"step_{i}"] for i in (1, 2, 3, 4))
-
-    @F.pandas_udf(f"{BINARY_PRED} double, {HL_ORIG_PRED} double, {LS_RATIO} double, {HS_PRED} double")
-    def cascade_scores(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for columns in batches:
-            def scored(model: TreeTableScorer, on: np.ndarray) -> pd.Series:
-                return _masked(model, [columns[position[f]] for f in model.features], on)
-
-            bp = scored(first, np.ones(len(columns[0]), dtype=bool))
-            rest = bp.to_numpy(dtype=float) <= t1
-            hl = scored(second, rest)
-            side = hl.to_numpy(dtype=float)
-            yield pd.DataFrame(
-                {BINARY_PRED: bp, HL_ORIG_PRED: hl, LS_RATIO: scored(third, rest & (side > t2)),
-                 HS_PRED: scored(fourth, rest & (side <= t2))}
-            )
-
-    scores = cascade_scores(*[F.col(f).cast("double") for f in features])
-    outs = (BINARY_PRED, HL_ORIG_PRED, LS_RATIO, HS_PRED)
-    return (
-        df.withColumn("_scores", scores).withColumns({c: F.col(f"_scores.{c}") for c in outs}).drop("_scores")
-    )
+    scored = models["step_1"].add(typed, BINARY_PRED)
+    scored = models["step_2"].add(scored, HL_ORIG_PRED, is_rest(t1))
+    scored = models["step_3"].add(scored, LS_RATIO, is_lower_stock(t1, t2))
+    return models["step_4"].add(scored, HS_PRED, is_higher_stock(t1, t2))
+
+
+def _assembled(df: DataFrame, features: list[str], vector: str) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+
+    assembler = VectorAssembler(inputCols=features, outputCol=vector, handleInvalid="keep")
+    return assembler.transform(cast_object_features(df, features))
+
+
+def fit_ml_model(train: DataFrame, estimator, features: list[str]):
+    """A ``pyspark.ml`` model fitted on the rows that have a label and all features."""
+    label = estimator.getLabelCol()
+    known = train.select(*features, F.col(label).cast("double").alias(label)).dropna()
+    return estimator.fit(_assembled(known, features, estimator.getFeaturesCol()))
 
 
 def score_ml_model(df: DataFrame, model, features: list[str], out: str) -> DataFrame:
     """Score with a fitted ``pyspark.ml`` model: class-1 probability of a classifier, else the prediction."""
-    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     # The model's own column parameters are those its features and outputs travel under.
-    vector = model.getFeaturesCol()
-    typed = cast_object_features(df, features)
-    scored = model.transform(VectorAssembler(inputCols=features, outputCol=vector, handleInvalid="keep").transform(typed))
+    scored = model.transform(_assembled(df, features, model.getFeaturesCol()))
     if model.hasParam("probabilityCol"):
         score = vector_to_array(F.col(model.getProbabilityCol()))[1]
     else:

@@ -214,3 +214,8 @@ def _refine(rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str
     return cuts.drop("_left", "_size").join(found, group, "left").withColumnsRenamed(
         {"_next_left": "_left", "_next_size": "_size"}
     )
+
+
+def filter_train_rows(labelled: DataFrame) -> DataFrame:
+    """What models are fitted on."""
+    return labelled.where(F.col(DATA_SPLIT) == "train").drop(DATA_SPLIT)

@@ -17,7 +17,7 @@ from shelfspark import names as N
 from shelfspark.functions import binarize, oos_exact, oos_nonpositive, parse_iso_date, round_n
 from shelfspark.functions.scalar import band_columns
 from shelfspark.operators import cascade, confidence, metrics, ranking, scorers, selection, split, tuning
-from shelfspark.plans import jobs
+from shelfspark.plans import jobs, models
 from shelfspark.plans.panel import FEATURES, TARGETS, audit_actuals, feature_store, panel, target_store
 from shelfspark.sources import readers, writers
 from shelfspark.sources.scratch import scratch_path
@@ -675,6 +675,42 @@ def score_cascade(spark, sf):
     return rows.select(*N.KEYS, N.BRANCH, N.ORIG_PRED, N.ORIG_PRED_LOW, N.ORIG_PRED_HIGH, N.OOS)
 
 
+def _counted(p: DataFrame) -> DataFrame:
+    """The panel with a quantity that is unknown on every fifth day."""
+    return p.withColumn("shelf_count", F.when(F.col("dn") % 5 > 0, F.col(N.TOTAL_RETAIL)))
+
+
+@query
+def score_cascade_trees(spark, sf):
+    """Four tree ensembles out of stored node tables, each evaluated on the rows routed to it."""
+    fitted = {}
+    for step, (base, _, sigmoid) in models.SHAPES.items():
+        path = scratch_path(spark, f"trees-{step}")
+        spark.createDataFrame(list(models.tree_nodes(step)), readers.schemas.NODES).write.parquet(path)
+        fitted[step] = scorers.TreeTableScorer.from_table(spark.read.parquet(path), base, sigmoid)
+    rows = cascade.cascade_predict(scorers.score_cascade(_counted(panel(spark, sf)), fitted, T1, T2), T1, T2)
+    return rows.select(
+        *N.KEYS, N.BRANCH, round_n(N.BINARY_PRED, 6).alias(N.BINARY_PRED), round_n(N.HL_ORIG_PRED, 6).alias(N.HL_ORIG_PRED),
+        N.ORIG_PRED, N.ORIG_PRED_LOW, N.ORIG_PRED_HIGH, N.OOS,
+    )
+
+
+ML_FEATURES = [N.CURDAY_QTY, N.IP_QTY]
+
+
+@query
+def score_ml_model(spark, sf):
+    """A logistic model fitted on the train split, stored, and loaded again to score all rows."""
+    from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+
+    path = scratch_path(spark, "ml-model")
+    train = split.filter_train_rows(_labelled(spark, sf))
+    fit = LogisticRegression(labelCol=N.TARGET_HL, maxIter=200, tol=1e-14, standardization=False)
+    scorers.fit_ml_model(train, fit, ML_FEATURES).write().overwrite().save(path)
+    scored = scorers.score_ml_model(panel(spark, sf), LogisticRegressionModel.load(path), ML_FEATURES, "score")
+    return scored.select(*N.KEYS, round_n("score", 3).alias("score"))
+
+
 @query
 def cascade_predict(spark, sf):
     return _predicted(spark, sf).select(

@@ -15,6 +15,7 @@ from shelfspark.plans.catalog import (
     OOS_GRID,
     TRAIN_START,
 )
+from shelfspark.plans.models import SHAPES, tree_nodes
 from shelfspark.plans.panel import FEATURES, TARGETS
 
 KEYS = "sku, location, date"
@@ -348,6 +349,49 @@ def linear_scores() -> str:
   0.5E0 + 0.03125E0*{i} AS ls_ratio, 2.0E0 + 1.25E0*{c} + 0.25E0*{i} AS hs_pred FROM panel)"""
 
 
+def tree_scores() -> str:
+    """CTEs that end in ``scored``: every row walks down every tree of the node tables, one split a round."""
+    def cell(v) -> str:
+        return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+
+    nodes = ", ".join(
+        "(" + ", ".join([f"'{step}'", *map(cell, n.values())]) + ")" for step in SHAPES for n in tree_nodes(step)
+    )
+    value = " ".join(f"WHEN '{f}' THEN {f}" for f in ("ip_qty_eop_soh", "curday_ip_qty_eop_soh", "shelf_count"))
+
+    def score(step: str) -> str:
+        base, _, sigmoid = SHAPES[step]
+        total = f"({base}::DOUBLE + sum(leaf) FILTER (WHERE step = '{step}'))"
+        return f"1.0E0/(1.0E0+exp(-{total}))" if sigmoid else total
+
+    return f"""nodes(step, tree, node, feature, threshold, l, r, leaf, default_left) AS (VALUES {nodes}),
+counted AS (SELECT row_number() OVER () AS id, *, CASE WHEN dn % 5 > 0 THEN total_retail END AS shelf_count FROM panel),
+walk AS (
+  SELECT id, step, tree, 0 AS node FROM counted CROSS JOIN (SELECT DISTINCT step, tree FROM nodes)
+  UNION ALL
+  SELECT w.id, w.step, w.tree, CASE WHEN coalesce((CASE feature {value} END) < threshold, default_left) THEN l ELSE r END
+  FROM walk w JOIN nodes n USING (step, tree, node) JOIN counted c ON c.id = w.id WHERE n.leaf IS NULL),
+totals AS (SELECT id, {score('step_1')} AS binary_pred, {score('step_2')} AS hl_orig_pred, {score('step_3')} AS ls_ratio,
+  {score('step_4')} AS hs_pred FROM walk JOIN nodes USING (step, tree, node) WHERE leaf IS NOT NULL GROUP BY id),
+scored AS (SELECT c.* EXCLUDE (id, binary_pred, hl_orig_pred, ls_ratio, hs_pred), t.* EXCLUDE (id)
+           FROM counted c JOIN totals t USING (id))"""
+
+
+def newton(rounds: int = 9) -> str:
+    """CTEs that end in ``w{rounds}``: intercept and two weights of a logistic model, by Newton steps from zero. The
+    three equations of a step are solved by determinants."""
+    parts = ["w0 AS (SELECT 0.0E0 AS b, 0.0E0 AS c, 0.0E0 AS d)"]
+    for k in range(rounds):
+        parts.append(f"""g{k} AS (SELECT sum(y-p) AS g0, sum((y-p)*x1) AS g1, sum((y-p)*x2) AS g2, sum(p*(1-p)) AS h00,
+  sum(p*(1-p)*x1) AS h01, sum(p*(1-p)*x2) AS h02, sum(p*(1-p)*x1*x1) AS h11, sum(p*(1-p)*x1*x2) AS h12,
+  sum(p*(1-p)*x2*x2) AS h22 FROM (SELECT x1, x2, y, 1.0E0/(1.0E0+exp(-(w.b + w.c*x1 + w.d*x2))) AS p FROM points CROSS JOIN w{k} w)),
+w{k + 1} AS (SELECT w.b + (g0*(h11*h22-h12*h12) - h01*(g1*h22-h12*g2) + h02*(g1*h12-h11*g2))/det AS b,
+  w.c + (h00*(g1*h22-h12*g2) - g0*(h01*h22-h12*h02) + h02*(h01*g2-g1*h02))/det AS c,
+  w.d + (h00*(h11*g2-g1*h12) - h01*(h01*g2-g1*h02) + g0*(h01*h12-h11*h02))/det AS d
+  FROM w{k} w CROSS JOIN (SELECT *, h00*(h11*h22-h12*h12) - h01*(h01*h22-h12*h02) + h02*(h01*h12-h11*h02) AS det FROM g{k}))""")
+    return ",\n".join(parts)
+
+
 def new_frames(t: str = "0.4E0") -> str:
     k = "USING (sku, location, date)"
     return f""", n1 AS (SELECT * FROM step_1 WHERE binary_pred > {t}),
@@ -486,6 +530,12 @@ ORACLES: dict[str, str] = {
         + CASE WHEN total_retail < 25 THEN 0.25E0 ELSE -0.25E0 END + 0.0625E0 AS score FROM panel"""),
     "score_model_independent": from_panel(f", {linear_scores()} SELECT {KEYS}, {', '.join(f'{rnd(c, 6)} AS {c}' for c in ('binary_pred', 'hl_orig_pred', 'ls_ratio', 'hs_pred'))} FROM scored"),
     "score_cascade": f"WITH {PANEL}, {linear_scores()}, {predicted('scored')} SELECT {KEYS}, branch, orig_pred, orig_pred_low, orig_pred_high, oos FROM pred",
+    "score_cascade_trees": f"""WITH RECURSIVE {PANEL}, {tree_scores()}, {predicted('scored')}
+        SELECT {KEYS}, branch, {rnd('binary_pred', 6)} AS binary_pred, {rnd('hl_orig_pred', 6)} AS hl_orig_pred,
+        orig_pred, orig_pred_low, orig_pred_high, oos FROM pred""",
+    "score_ml_model": from_panel(f"""{LABELLED}, points AS (SELECT {N.CURDAY_QTY}::DOUBLE AS x1, {N.IP_QTY}::DOUBLE AS x2,
+        {N.TARGET_HL}::DOUBLE AS y FROM labelled WHERE data_split = 'train'), {newton()}
+        SELECT {KEYS}, {rnd(f'1.0E0/(1.0E0+exp(-(b + c*{N.CURDAY_QTY} + d*{N.IP_QTY})))', 3)} AS score FROM panel CROSS JOIN w9"""),
     "cascade_predict": from_pred(f"SELECT {KEYS}, branch, binary_pred, hl_orig_pred, orig_pred, orig_pred_temp, orig_pred_low, orig_pred_high, oos FROM pred"),
     "cascade_from_predictions": from_pred(f"SELECT {cols(N.BEST_COLUMNS)} FROM pred"),
     "confidence_level": from_pred(f", {confident()} SELECT {cols(N.DAILY_COLUMNS)} FROM confident"),

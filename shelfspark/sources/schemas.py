@@ -33,3 +33,9 @@ WEIGHTS = T.StructType(
         [T.StructField("metric_name", T.StringType()), T.StructField("metric_weight", T.DoubleType())]
     )))]
 )
+NODES = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("tree", "node")]
+    + [T.StructField("feature", T.StringType()), T.StructField("threshold", T.DoubleType())]
+    + [T.StructField(c, T.LongType()) for c in ("left", "right")]
+    + [T.StructField("leaf", T.DoubleType()), T.StructField("default_left", T.BooleanType())]
+)

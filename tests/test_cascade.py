@@ -2,8 +2,6 @@
 
 import warnings
 
-import numpy as np
-import pandas as pd
 import pytest
 from frames import scored
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from shelfspark import names as N
 from shelfspark.functions.scalar import without_nan
 from shelfspark.operators import cascade, confidence, scorers, tuning
 from shelfspark.operators.metrics import confusion_stock
-from shelfspark.plans.catalog import LINEAR, tree_model
+from shelfspark.plans.catalog import LINEAR
 
 NAN = float("nan")
 SCORES = [
@@ -111,64 +109,6 @@ def test_junk_feature(spark):
     assert [r.f for r in cascade.cast_object_features(df, ["f"], strict=False).collect()] == [1, None]
 
 
-def test_tree_model(spark):
-    rows = [(25, 9, 30), (10, 4, 10), (10, 5, 25), (None, None, None)]
-    df = spark.createDataFrame(rows, f"{N.CURDAY_QTY} long, {N.IP_QTY} long, {N.TOTAL_RETAIL} long")
-    got = [r.s for r in scorers.score_model(df, tree_model(), "s").collect()]
-    assert got == [0.5 - 0.5 - 0.25 + 0.0625, 0.5 + 0.75 + 0.25 + 0.0625, 0.5 + 0.125 - 0.25 + 0.0625,
-                   0.5 + 0.75 - 0.25 + 0.0625]
-    off = df.withColumn("s", tree_model().column(F.col(N.IP_QTY) > 4)).collect()
-    assert [r.s is None for r in off] == [False, True, False, True]
-
-
-def test_tree_blocks_do_not_change_scores(monkeypatch):
-    rng = np.random.default_rng(0)
-    rows = []
-    for t in range(130):
-        deep = t % 3 == 0
-        rows.append((t, 0, "f", rng.random(), 1, 2, None, bool(t % 2)))
-        rows.append((t, 1, "g", rng.random(), 3, 4, None, True) if deep else (t, 1, None, None, None, None, rng.random(), None))
-        rows.append((t, 2, None, None, None, None, rng.random(), None))
-        rows += [(t, n, None, None, None, None, rng.random(), None) for n in (3, 4)] if deep else []
-    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "leaf", "default_left"])
-    x = rng.random((50, 2))
-    x[::7, 0] = np.nan
-    scores = []
-    for block in (1, 64, 1000):
-        monkeypatch.setattr(scorers, "TREE_BLOCK", block)
-        scores.append(scorers.TreeTableScorer(nodes, 0.1, sigmoid=True).score(x))
-    assert np.allclose(scores[0], scores[1]) and np.allclose(scores[0], scores[2])
-
-
-def test_tree_model_from_table(spark):
-    nodes = pd.DataFrame({"tree": [0, 0, 0], "node": [0, 1, 2], "feature": ["f", None, None],
-                          "threshold": [1.0, None, None], "left": [1.0, None, None], "right": [2.0, None, None],
-                          "leaf": [None, 0.0, 2.0], "default_left": [False, None, None]})
-    table = spark.createDataFrame(
-        [tuple(None if pd.isna(v) else v for v in r) for r in nodes.itertuples(index=False)],
-        "tree int, node int, feature string, threshold double, left double, right double, leaf double, default_left boolean",
-    )
-    model = scorers.TreeTableScorer.from_table(table, sigmoid=True)
-    df = spark.createDataFrame([(0.5,), (1.0,), (None,)], "f double")
-    got = [round(r.s, 6) for r in df.select(model.column().alias("s")).collect()]
-    assert got == [0.5, 0.880797, 0.880797]
-
-
-def test_tree_cascade_equals_one_by_one(spark):
-    df = scored(spark, some_scores(50)).drop("binary_pred", "hl_orig_pred", "ls_ratio", "hs_pred")
-    df = df.withColumn(N.CURDAY_QTY, F.col("sku").cast("long") % 40).withColumn(N.IP_QTY, F.col("sku").cast("long") % 9)
-    models = {s: tree_model() for s in N.STEPS}
-    fused = scorers.score_cascade(df, models, 0.6, 0.5)
-    class Same(scorers.Scorer):
-        def __init__(self, inner):
-            self.inner, self.features = inner, inner.features
-        def column(self, active=None):
-            return self.inner.column(active)
-    single = scorers.score_cascade(df, {s: Same(m) for s, m in models.items()}, 0.6, 0.5)
-    cols = ["sku", N.BINARY_PRED, N.HL_ORIG_PRED, N.LS_RATIO, N.HS_PRED]
-    assert sorted(fused.select(*cols).collect(), key=str) == sorted(single.select(*cols).collect(), key=str)
-
-
 def test_linear_cascade_skips_unrouted_rows(spark):
     df = scored(spark, some_scores(50)).drop("binary_pred", "hl_orig_pred", "ls_ratio", "hs_pred")
     rows = scorers.score_cascade(df, LINEAR, 0.4, 0.4).collect()
