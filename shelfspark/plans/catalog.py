@@ -119,14 +119,19 @@ def _stored_steps(spark: SparkSession, sf: str) -> str:
     return base
 
 
+def _whole_as_double(df: DataFrame) -> DataFrame:
+    """Whole numbers that some branches lack, in a type that has one form with and without gaps."""
+    whole = [f.name for f in df.schema.fields if f.dataType.typeName() == "long"]
+    return df.withColumns({c: F.col(c).cast("double") for c in whole})
+
+
 @query
 def scan_step_predictions(spark, sf):
     base = _stored_steps(spark, sf)
     stacked = cascade.concat_branches(
         *[readers.scan_step_predictions(spark, base, s).withColumn("step", F.lit(s)) for s in N.STEPS]
     )
-    whole = [f.name for f in stacked.schema.fields if f.dataType.typeName() == "long"]
-    return stacked.withColumns({c: F.col(c).cast("double") for c in whole})
+    return _whole_as_double(stacked)
 
 
 @query
@@ -249,20 +254,32 @@ def sink_step_csv(spark, sf):
 
 @query
 def sink_step_csv_by_group(spark, sf):
-    """Groups written in two runs, one of them written again: all come back."""
+    """Groups written in two runs, one of them written again, another by a run that has no rows of it any more."""
     base, rows = scratch_path(spark, "step-groups"), panel(spark, sf)
     for groups in (GROUPS[:2], GROUPS[2:], GROUPS[1:2]):
-        writers.write_step_csv(readers.in_groups(rows, groups), base, "step_1", N.STEP_COLUMNS["step_1"])
+        writers.write_step_csv(readers.in_groups(rows, groups), base, "step_1", N.STEP_COLUMNS["step_1"], groups)
+    emptied = readers.in_groups(rows, GROUPS[2:]).where(F.col(N.LOCATION_GROUP) != GROUPS[3])
+    writers.write_step_csv(emptied, base, "step_1", N.STEP_COLUMNS["step_1"], GROUPS[2:])
     return readers.scan_step_predictions(spark, base, "step_1")
 
 
+@query
+def sink_split_rerun(spark, sf):
+    """A load date written twice, the second time without validation rows and without one group; another stays."""
+    path, rows = scratch_path(spark, "split-rerun"), _labelled(spark, sf).drop(N.LOAD_DATE)
+    fewer = rows.where((F.col(N.DATA_SPLIT) != "validation") & (F.col(N.LOCATION_GROUP) != GROUPS[0]))
+    writers.write_split_parquet(rows, path, AS_OF, GROUPS)
+    writers.write_split_parquet(rows, path, DAY, GROUPS)
+    writers.write_split_parquet(fewer, path, DAY, GROUPS)
+    return readers.read_parquet(spark, path).select(*N.KEYS, N.LOCATION_GROUP, N.LOAD_DATE, N.DATA_SPLIT)
+
+
 @query
 def sink_single_csv(spark, sf):
-    """Rows and files per location group after writing one CSV per group."""
+    """The daily prediction after writing one CSV per group."""
     path = scratch_path(spark, "single")
-    writers.write_group_csv(_predicted(spark, sf).withColumn(N.CONFIDENCE_LEVEL, F.lit("LOW")), path, N.DAILY_COLUMNS)
-    back = readers.read_csv(spark, path, readers.schemas.DAILY, path)
-    return back.select(*N.KEYS, N.OOS, N.LOCATION_GROUP)
+    writers.write_group_csv(_confident(spark, sf), path, N.DAILY_COLUMNS, GROUPS)
+    return readers.read_csv(spark, path, readers.schemas.DAILY, path)
 
 
 @query
@@ -793,20 +810,146 @@ def concat_location_groups(spark, sf):
 # --- whole jobs ---------------------------------------------------------------------------------------------
 
 
-@query
-def daily_inference(spark, sf):
-    """Daily inference end to end: stored features and confidence document in, stored predictions out."""
+def _daily_run(spark: SparkSession, sf: str) -> str:
+    """Stored features and confidence document in, the folder of all daily outputs out."""
     features, out, doc = _stored_day(spark, sf), scratch_path(spark, "inference"), scratch_path(spark, "document")
     rows = readers.scan_inference_features(spark, features, DAY)
     predicted = cascade.cascade_predict(scorers.score_cascade(rows, LINEAR, T1, T2), T1, T2)
     row = confidence.confidence_metrics(predicted.withColumn(N.TARGET_OOS, oos_nonpositive(N.REV_QTY)), T1, T2)
     writers.write_metric_json(confidence.confidence_document(row), doc)
-    jobs.infer_job(spark, features, out, DAY, LINEAR, doc, T1, T2)
-    return readers.read_csv(spark, f"{out}/prediction", readers.schemas.DAILY, f"{out}/prediction").select(
-        *N.KEYS, N.OOS, N.LOCATION_GROUP
+    jobs.infer_job(spark, features, out, DAY, LINEAR, doc, T1, T2, GROUPS)
+    return out
+
+
+@query
+def daily_inference(spark, sf):
+    """Daily inference end to end: the published predictions."""
+    out = _daily_run(spark, sf)
+    return readers.read_csv(spark, f"{out}/prediction", readers.schemas.DAILY, f"{out}/prediction")
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """Scores that went through an exponential, to six places."""
+    return df.withColumns({c: round_n(c, 6) for c in (N.BINARY_PRED, N.HL_ORIG_PRED) if c in df.columns})
+
+
+@query
+def daily_inference_outputs(spark, sf):
+    """The other outputs of the daily job, stacked: full rows and steps."""
+    out = _daily_run(spark, sf)
+    named = {"concatenated": N.CONCATENATED_COLUMNS, **N.DAILY_STEP_COLUMNS}
+    frames = [
+        readers.scan_step_predictions(spark, f"{out}/temp", name, schema=readers.schemas.table(columns)).withColumn(
+            "output", F.lit(name)
+        )
+        for name, columns in named.items()
+    ]
+    return _whole_as_double(_rounded(cascade.concat_branches(*frames)))
+
+
+@query
+def split_run(spark, sf):
+    """Split job end to end: stored features and targets in, the published split out."""
+    targets, out = scratch_path(spark, "targets"), scratch_path(spark, "split-out")
+    writers.balanced(target_store(panel(spark, sf)), [N.LOCATION_GROUP]).write.partitionBy(N.LOCATION_GROUP).parquet(targets)
+    jobs.split_job(
+        spark, _stored_features(spark, sf), targets, out, GROUPS, DAY, TRAIN_START, series=[N.LOCATION], ties=[N.SKU],
+        incremental=False,
+    )
+    return readers.read_parquet(spark, out).select(
+        *N.KEYS, *FEATURES, N.TARGET_OOS, N.LOCATION_GROUP, N.LOAD_DATE, N.DATA_SPLIT
     )
 
 
+def _stored_split(spark: SparkSession, sf: str) -> str:
+    path = scratch_path(spark, "split-in")
+    scores = (N.BINARY_PRED, N.HL_ORIG_PRED, N.LS_RATIO, N.HS_PRED)
+    writers.write_split_parquet(_labelled(spark, sf).drop(*scores), path)
+    return path
+
+
+@query
+def evaluate_new_run(spark, sf):
+    """Evaluation of new models end to end: stored test rows in, four published steps out."""
+    out = scratch_path(spark, "new-models")
+    jobs.evaluate_new_job(spark, _stored_split(spark, sf), out, LINEAR, GROUPS)
+    frames = [readers.scan_step_predictions(spark, out, s).withColumn("step", F.lit(s)) for s in N.STEPS]
+    return _whole_as_double(_rounded(cascade.concat_branches(*frames)))
+
+
+def _production_run(spark: SparkSession, sf: str) -> str:
+    out = scratch_path(spark, "production-models")
+    jobs.evaluate_production_job(spark, _stored_split(spark, sf), out, LINEAR, T1, T2, GROUPS)
+    return out
+
+
+@query
+def evaluate_production_run(spark, sf):
+    """Evaluation of production models end to end: stored test rows in, the published final prediction out."""
+    return _rounded(readers.scan_final_prediction_csv(spark, _production_run(spark, sf)))
+
+
+def _document(spark: SparkSession, path: str, names: dict[str, str], kinds: dict[str, str]) -> DataFrame:
+    back = spark.read.schema(", ".join(f"`{k}` {kinds[c]}" for k, c in names.items())).json(path)
+    return back.select(*[F.col(f"`{k}`").alias(c) for k, c in names.items()])
+
+
+@query
+def score_production_run(spark, sf):
+    """Scoring job on production models: published steps and final prediction in, the overall document out."""
+    base, out = _production_run(spark, sf), scratch_path(spark, "production-scores")
+    jobs.score_job(spark, base, out, T1, T2, new_models=False)
+    kinds = dict(metrics.overall_metrics(_predicted(spark, sf)).dtypes)
+    return _document(spark, f"{out}/overall_metrics_prod", N.OVERALL_DOCUMENT, kinds)
+
+
+@query
+def score_new_run(spark, sf):
+    """Tuning and scoring of new models: published steps in, the overall document of the winning rows out."""
+    base, out = _stored_steps(spark, sf), scratch_path(spark, "new-scores")
+    jobs.tune_job(spark, base, scratch_path(spark, "tuned"), OOS_GRID, HL_GRID, _stored_weights(spark))
+    jobs.score_job(spark, base, out, T1, T2, new_models=True)
+    kinds = dict(metrics.overall_metrics(_predicted(spark, sf)).dtypes)
+    return _document(spark, f"{out}/overall_metrics_new", N.OVERALL_DOCUMENT, kinds)
+
+
+def _audit_predictions(spark: SparkSession, sf: str) -> str:
+    features, out = scratch_path(spark, "audit-rows"), scratch_path(spark, "audit-predictions")
+    scores = (N.BINARY_PRED, N.HL_ORIG_PRED, N.LS_RATIO, N.HS_PRED)
+    rows = panel(spark, sf).drop(*scores).withColumn(N.LOAD_DATE, F.lit(DAY))
+    rows.write.partitionBy(N.LOAD_DATE).parquet(features)
+    jobs.predict_audit_job(spark, features, out, DAY, LINEAR, T1, T2)
+    return out
+
+
+@query
+def predict_audit_run(spark, sf):
+    """Prediction of one audit day end to end."""
+    return _rounded(readers.scan_final_prediction_parquet(spark, _audit_predictions(spark, sf), DAY))
+
+
+@query
+def confidence_run(spark, sf):
+    """Confidence job end to end: stored predictions of a day in, the document out."""
+    out = scratch_path(spark, "confidence-out")
+    jobs.confidence_job(spark, _audit_predictions(spark, sf), out, DAY, T1, T2)
+    return _confidence_long(readers.scan_confidence_document(spark, f"{out}/LOAD_DATE={DAY}"))
+
+
+@query
+def switch_run(spark, sf):
+    """Switch job end to end: score files of several parts and rows in, the decision out. The first row counts."""
+    paths = {}
+    for role, row in _run_scores(spark, sf).items():
+        paths[role] = scratch_path(spark, f"scores-{role}")
+        later = row.withColumn("overall_score", F.col("overall_score") + 100)
+        # Part files are named in the order of partitions: the first row of the first part is the run's own
+        rows = row.coalesce(1).unionByName(later.coalesce(1)).unionByName(later.coalesce(1))
+        rows.write.option("header", True).csv(paths[role])
+    decision = jobs.switch_job(spark, paths, {role: f"run-{role}" for role in paths})
+    return decision.withColumns({c: round_n(c, 6) for c in ("champion_score", "challenger_score")})
+
+
 def _stored_day(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "day")
     quantities = (N.IP_QTY, N.CURDAY_QTY, N.REV_QTY, N.TOTAL_RETAIL)

@@ -11,6 +11,7 @@ from shelfspark import names as N
 from shelfspark.operators import cascade, confidence, metrics, ranking, selection, split, tuning
 from shelfspark.operators.scorers import Scorer, score_cascade, score_independent
 from shelfspark.sources import readers, writers
+from shelfspark.sources.publish import Publication
 from shelfspark.sources.scratch import delete_path, scratch_path
 
 
@@ -44,16 +45,17 @@ def split_job(
         targets=target_columns,
         min_rows=split.MIN_ROWS_INCREMENTAL if incremental else split.MIN_ROWS_HISTORICAL,
     )
-    writers.write_split_parquet(split.filter_as_of_date(labelled, current_date), out, current_date)
+    writers.write_split_parquet(split.filter_as_of_date(labelled, current_date), out, current_date, groups)
 
 
 def evaluate_new_job(
     spark: SparkSession, test_base: str, out: str, models: Mapping[str, Scorer], groups: Sequence[str] | None = None
 ) -> None:
-    """Every model on every held-out row; one CSV set per step."""
+    """Every model on every held-out row; one CSV set per step, published together."""
     rows = readers.scan_test_split(spark, test_base, groups)
-    for step, frame in cascade.independent_steps(score_independent(rows, models)).items():
-        writers.write_step_csv(frame, out, step, N.STEP_COLUMNS[step])
+    with Publication(spark, out, groups) as run:
+        for step, frame in cascade.independent_steps(score_independent(rows, models)).items():
+            writers.stage_step_csv(run, frame, step, N.STEP_COLUMNS[step])
 
 
 def evaluate_production_job(
@@ -73,9 +75,10 @@ def evaluate_production_job(
     predicted = cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2)
     stored = list(dict.fromkeys(c for cols in (N.FINAL_COLUMNS, *N.STEP_COLUMNS.values()) for c in cols))
     predicted, path = _scored_table(spark, predicted, stored)
-    for step, frame in cascade.step_frames(predicted).items():
-        writers.write_step_csv(frame, out, step, N.STEP_COLUMNS[step])
-    writers.write_step_csv(predicted, out, "final_prediction", N.FINAL_COLUMNS)
+    with Publication(spark, out, groups) as run:
+        for step, frame in cascade.step_frames(predicted).items():
+            writers.stage_step_csv(run, frame, step, N.STEP_COLUMNS[step])
+        writers.stage_step_csv(run, predicted, "final_prediction", N.FINAL_COLUMNS)
     delete_path(spark, path)
 
 
@@ -211,12 +214,13 @@ def infer_job(
     stats = readers.scan_confidence_document(spark, confidence_path)
     predicted = cascade.cascade_predict(score_cascade(rows, models, t1, t2), t1, t2)
     table, path = _scored_table(spark, confidence.with_confidence(predicted, stats, t1, t2), N.CONCATENATED_COLUMNS)
-    writers.write_step_csv(table, f"{out}/temp", "OOS", N.DAILY_COLUMNS)
-    writers.write_step_csv(table, f"{out}/temp", "concatenated", N.CONCATENATED_COLUMNS)
     frames = cascade.step_frames(table)
-    for step, columns in N.DAILY_STEP_COLUMNS.items():
-        writers.write_step_csv(frames[step], f"{out}/temp", step, columns)
-    writers.write_group_csv(table, f"{out}/prediction", N.DAILY_COLUMNS)
+    with Publication(spark, out, groups) as run:
+        writers.stage_step_csv(run, table, "temp/OOS", N.DAILY_COLUMNS)
+        writers.stage_step_csv(run, table, "temp/concatenated", N.CONCATENATED_COLUMNS)
+        for step, columns in N.DAILY_STEP_COLUMNS.items():
+            writers.stage_step_csv(run, frames[step], f"temp/{step}", columns)
+        writers.stage_step_csv(run, table, "prediction", N.DAILY_COLUMNS, balance=True)
     delete_path(spark, path)
 
 

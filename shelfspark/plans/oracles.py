@@ -410,15 +410,30 @@ def technical(source: str, target: str, score: str, prefix: str = "", out: str =
 {out} AS (SELECT {renamed}, {auc(source, target, score)} AS "{prefix}roc_auc" FROM {out}_r)"""
 
 
-def confidence_long() -> str:
+def confidence_body() -> str:
     scalars = [f"{s}_{m}" for s in ("oos_tp", "oos_tn", "hl_tp", "hl_tn") for m in ("percent", "mean")]
     scalars += [f"{m}_{s}_percent" for m in ("lt", "hs") for s in ("tp", "tn")]
     parts = [f"SELECT '{c}' AS metric, {c} AS value FROM conf" for c in scalars]
     for side in ("tp", "tn"):
         for model in ("oos", "hl"):
             parts.append(f"SELECT '{model}_{side}_bins_' || bin_start::VARCHAR, percent FROM ({bin_rows(side, 0.4, 0.4)}) WHERE model = '{model}'")
-    return from_pred(f", {confidence_cte()} " + "\nUNION ALL ".join(parts))
+    return f", {confidence_cte()} " + "\nUNION ALL ".join(parts)
+
+
+def confidence_long() -> str:
+    return from_pred(confidence_body())
+
+
+def overall(ctes: str, source: str) -> str:
+    """The overall document of the rows of ``source``."""
+    return f"""{ctes}, counts AS ({stock_counts(source)}), {rates('counts')},
+        biz AS (SELECT {business(source, 'binary_target_classification', '100.0::DOUBLE')} FROM {source})
+        SELECT rated.* , biz.* EXCLUDE (under_rows, over_rows) FROM rated CROSS JOIN biz"""
+
 
+LINEAR_CONFIDENT = f"WITH {PANEL}, {linear_scores()}, {predicted('scored')}, {confident()}"
+TESTED = f"{LABELLED[2:]}, {linear_scores()}, tested AS (SELECT s.* FROM scored s JOIN labelled l USING (sku, location, date) WHERE data_split = 'test')"
+ROUNDED = f"* REPLACE ({rnd('binary_pred', 6)} AS binary_pred, {rnd('hl_orig_pred', 6)} AS hl_orig_pred)"
 
 PRED_KEYED = "SELECT " + cols(N.FINAL_COLUMNS) + " FROM pred"
 
@@ -446,14 +461,16 @@ ORACLES: dict[str, str] = {
     # sinks
     "sink_split_parquet": from_panel(f"{LABELLED} SELECT {KEYS}, total_retail, location_group, '{DAY}' AS load_date, data_split FROM labelled"),
     "sink_step_csv": from_panel(f"SELECT {cols(N.STEP_COLUMNS['step_1'])}, location_group FROM panel"),
-    "sink_single_csv": from_pred(f"SELECT {KEYS}, oos, location_group FROM pred"),
+    "sink_single_csv": from_pred(f", {confident()} SELECT {cols(N.DAILY_COLUMNS)}, location_group FROM confident"),
+    "sink_step_csv_by_group": from_panel(f"SELECT {cols(N.STEP_COLUMNS['step_1'])}, location_group FROM panel WHERE location_group <> '3'"),
+    "sink_split_rerun": from_panel(f"""{LABELLED} SELECT {KEYS}, location_group, '{AS_OF}' AS load_date, data_split FROM labelled
+        UNION ALL SELECT {KEYS}, location_group, '{DAY}', data_split FROM labelled
+        WHERE data_split <> 'validation' AND location_group <> '0'"""),
     "sink_performance_report": from_pred(f"{AUDIT} SELECT * FROM audited"),
     "sink_all_predictions": from_pred(f"SELECT {KEYS}, binary_pred, orig_pred_low, orig_pred_high, orig_pred, hl_orig_pred, orig_pred_temp, oos FROM pred"),
     "sink_final_parquet": from_pred(PRED_KEYED),
     "sink_best_prediction": BEST_ROWS,
-    "sink_metric_json": from_pred(f""", counts AS ({stock_counts('pred')}), {rates('counts')},
-        biz AS (SELECT {business('pred', 'binary_target_classification', '100.0::DOUBLE')} FROM pred)
-        SELECT rated.* , biz.* EXCLUDE (under_rows, over_rows) FROM rated CROSS JOIN biz"""),
+    "sink_metric_json": overall(f"WITH {PANEL}, {predicted()}", "pred"),
     # projections and filters
     "drop_partition_columns": from_panel(f"SELECT {KEYS}, {cols(FEATURES)} FROM panel"),
     "filter_train_start": from_panel(f"SELECT {KEYS}, binary_pred FROM panel WHERE date >= DATE '{TRAIN_START}'"),
@@ -551,10 +568,36 @@ ORACLES: dict[str, str] = {
     "concat_branches": from_pred(f"SELECT {KEYS}, orig_pred_low, orig_pred_high, hl_orig_pred, orig_pred_temp FROM pred"),
     "concat_location_groups": from_panel(f"SELECT {cols(N.STEP_COLUMNS['step_2'])}, location_group FROM panel"),
     # whole jobs
-    "daily_inference": f"WITH {PANEL}, {linear_scores()}, {predicted('scored')} SELECT {KEYS}, oos, location_group FROM pred",
+    "daily_inference": f"{LINEAR_CONFIDENT} SELECT {cols(N.DAILY_COLUMNS)}, location_group FROM confident",
+    "daily_inference_outputs": f"""{LINEAR_CONFIDENT}, outputs AS (
+        SELECT 'concatenated' AS output, {cols(N.CONCATENATED_COLUMNS)}, location_group FROM confident
+        UNION ALL BY NAME SELECT 'step_2' AS output, {cols(N.DAILY_STEP_COLUMNS['step_2'])}, location_group FROM pred WHERE branch <> 'oos'
+        UNION ALL BY NAME SELECT 'step_3' AS output, {cols(N.DAILY_STEP_COLUMNS['step_3'])}, location_group FROM pred WHERE branch = 'ls'
+        UNION ALL BY NAME SELECT 'step_4' AS output, {cols(N.DAILY_STEP_COLUMNS['step_4'])}, location_group FROM pred WHERE branch = 'hs')
+        SELECT {ROUNDED[:-1]}, oos::DOUBLE AS oos) FROM outputs""",
+    "split_run": from_panel(f""", begun AS (SELECT * FROM panel WHERE date >= DATE '{TRAIN_START}'),
+        {split_rows('location', 'sku', 270, source='begun')}
+        SELECT {KEYS}, {cols(FEATURES)}, {N.TARGET_OOS}, location_group, '{DAY}' AS load_date, data_split FROM labelled
+        WHERE date <= DATE '{DAY}'"""),
+    "evaluate_new_run": f"""WITH {PANEL}, {TESTED},
+        s3_q AS (SELECT *, ls_ratio*curday_ip_qty_eop_soh AS orig_pred FROM tested), {band('s3_q', 's3_b')},
+        s4_q AS (SELECT *, hs_pred AS orig_pred FROM tested), {band('s4_q', 's4_b')},
+        outputs AS (SELECT {cols(N.STEP_COLUMNS['step_1'])}, location_group, 'step_1' AS step FROM tested
+        UNION ALL BY NAME SELECT {cols(N.STEP_COLUMNS['step_2'])}, location_group, 'step_2' AS step FROM tested
+        UNION ALL BY NAME SELECT {cols(N.STEP_COLUMNS['step_3'])}, location_group, 'step_3' AS step FROM s3_b
+        UNION ALL BY NAME SELECT {cols(N.STEP_COLUMNS['step_4'])}, location_group, 'step_4' AS step FROM s4_b)
+        SELECT * REPLACE ({rnd('binary_pred', 6)} AS binary_pred, {rnd('hl_orig_pred', 6)} AS hl_orig_pred,
+        {', '.join(f'{c}::DOUBLE AS {c}' for c in LONGS)}) FROM outputs""",
+    "evaluate_production_run": f"""WITH {PANEL}, {TESTED}, {predicted('tested')},
+        outputs AS (SELECT {cols(N.FINAL_COLUMNS)}, location_group FROM pred) SELECT {ROUNDED} FROM outputs""",
+    "score_production_run": overall(f"WITH {PANEL}, {TESTED}, {predicted('tested')}", "pred"),
+    "score_new_run": overall(f"WITH won AS ({BEST_ROWS})", "won"),
+    "predict_audit_run": f"""WITH {PANEL}, {linear_scores()}, {predicted('scored')},
+        outputs AS (SELECT {cols(N.FINAL_COLUMNS)} FROM pred) SELECT {ROUNDED} FROM outputs""",
+    "confidence_run": f"WITH {PANEL}, {linear_scores()}, {predicted('scored')}{confidence_body()}",
 }
 ORACLES["overall_metrics"] = ORACLES["sink_metric_json"]
 ORACLES["audit_report"] = ORACLES["audit_metrics"]
 ORACLES["threshold_search_unique_keys"] = ORACLES["threshold_search"]
-ORACLES["sink_step_csv_by_group"] = ORACLES["sink_step_csv"]
+ORACLES["switch_run"] = ORACLES["champion_challenger"]
 ORACLES["tuning_run"] = ORACLES["threshold_search"]

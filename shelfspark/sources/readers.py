@@ -24,6 +24,7 @@ from shelfspark.operators.split import (
     filter_incremental_load,
 )
 from shelfspark.sources import schemas
+from shelfspark.sources.publish import Files
 
 _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
@@ -85,12 +86,15 @@ def _typed(name: str, kind: T.DataType) -> Column:
     return c.cast(kind).alias(name)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, base: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
     """CSV with a header, columns bound by name (extra columns are ignored and never parsed).
 
     All files must have the columns in one order: a file whose header differs is an error, never bound by position.
-    With ``base`` the partition directories below it become columns.
+    With ``base`` the partition directories below it become columns. A path ``folder/*`` of an empty folder is a table
+    without rows; where there is no such folder, it is an error.
     """
+    if path.endswith("/*") and Files(spark, path).is_empty(path[:-2]):
+        return spark.createDataFrame([], schema if not base else T.StructType([*schema.fields, T.StructField(LOCATION_GROUP, T.StringType())]))
     reader = spark.read.option("header", True).option("enforceSchema", False)
     with text_partitions(spark):
         raw = (reader.option("basePath", base) if base else reader).csv(path)
@@ -148,16 +152,25 @@ def scan_metric_weights(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_model_scores(spark: SparkSession, paths: dict[str, str], runs: dict[str, str]) -> DataFrame:
-    """First ``overall_score`` of each role's score file, as ``(role, run_id, overall_score)``."""
+    """The first ``overall_score`` of each role's score file, as ``(role, run_id, overall_score)``.
+
+    First is the first row of the first file by name that has rows: by the place of a row in its file, whatever the
+    number of files and tasks. One aggregation finds it, with a row for each task.
+    """
     score = T.StructType([T.StructField("overall_score", T.DoubleType())])
-    frames = [
-        read_csv(spark, path, score).limit(1).select(
-            F.lit(role).alias("role"), F.lit(runs[role]).alias("run_id"), "overall_score"
-        )
-        for role, path in paths.items()
-    ]
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    frames = []
+    for role, path in paths.items():
+        raw = reader.csv(path).select(
+            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
+        typed = raw.select(*[_typed(f.name, f.dataType) for f in score.fields], "_file", "_block", "_row")
+        # Within a block of a file the numbers of rows rise
+        first = F.min_by("overall_score", F.struct("_file", "_block", "_row"))
+        some = without_nan(typed).agg(first.alias("overall_score"), F.count("*").alias("rows")).where("rows > 0")
+        frames.append(some.select(F.lit(role).alias("role"), F.lit(runs[role]).alias("run_id"), "overall_score"))
     first, *others = frames
     for other in others:
         first = first.unionByName(other)
     return first
-

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.names import DATA_SPLIT, LOAD_DATE, LOCATION_GROUP
+from shelfspark.sources.publish import Publication
 
 
 def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -19,33 +20,41 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _csv(df: DataFrame, path: str, by: Sequence[str], balance: bool) -> None:
-    """Of a partitioned set only the partitions written are replaced, so a run on some groups keeps the others."""
     writer = (balanced(df, by) if balance else df).write.mode("overwrite").option("header", True)
-    (writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by) if by else writer).csv(path)
+    (writer.partitionBy(*by) if by else writer).csv(path)
 
 
-def write_split_parquet(df: DataFrame, base: str, load_date: str | None = None) -> None:
-    """Split rows as gzip parquet by group, load date and split; only the partitions written are replaced."""
+def write_split_parquet(
+    df: DataFrame, base: str, load_date: str | None = None, groups: Sequence[str] | None = None
+) -> None:
+    """Split rows as gzip parquet by group, load date and split. The run replaces the whole load date (or, without one,
+    everything) of its groups: a split, or a group, that has no rows any more is gone afterwards."""
     out = df if load_date is None else df.withColumn(LOAD_DATE, F.lit(load_date))
     by = [c for c in (LOCATION_GROUP, LOAD_DATE, DATA_SPLIT) if c in out.columns]
-    (
-        balanced(out, by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "gzip")
-        .partitionBy(*by)
-        .parquet(base)
-    )
+    inner = "" if load_date is None else f"{LOAD_DATE}={load_date}"
+    with Publication(df.sparkSession, base, groups) as run:
+        rows = balanced(out, by).write.option("compression", "gzip").partitionBy(*by)
+        rows.parquet(run.output("", LOCATION_GROUP, inner))
 
 
-def write_step_csv(df: DataFrame, base: str, step: str, columns: Sequence[str]) -> None:
-    """Chosen columns of one model's rows as ``base/<step>/location_group=g/part-*.csv``."""
-    _csv(df.select(*columns, LOCATION_GROUP), f"{base}/{step}", [LOCATION_GROUP], balance=False)
+def stage_step_csv(run: Publication, df: DataFrame, step: str, columns: Sequence[str], balance: bool = False) -> None:
+    """Chosen columns of one model's rows, to be published as ``<step>/location_group=g/part-*.csv``."""
+    _csv(df.select(*columns, LOCATION_GROUP), run.output(step, LOCATION_GROUP), [LOCATION_GROUP], balance)
 
 
-def write_group_csv(df: DataFrame, base: str, columns: Sequence[str]) -> None:
+def write_step_csv(
+    df: DataFrame, base: str, step: str, columns: Sequence[str], groups: Sequence[str] | None = None
+) -> None:
+    """Chosen columns of one model's rows as ``base/<step>/location_group=g/part-*.csv``. All folders of the run's groups
+    are replaced, those without rows included; groups that the run does not stand for stay."""
+    with Publication(df.sparkSession, base, groups) as run:
+        stage_step_csv(run, df, step, columns)
+
+
+def write_group_csv(df: DataFrame, base: str, columns: Sequence[str], groups: Sequence[str] | None = None) -> None:
     """One CSV file per location group (more only where a group exceeds the advisory partition size)."""
-    _csv(df.select(*columns, LOCATION_GROUP), base, [LOCATION_GROUP], balance=True)
+    with Publication(df.sparkSession, base, groups) as run:
+        stage_step_csv(run, df, "", columns, balance=True)
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:

@@ -136,15 +136,6 @@ def test_nan_becomes_null_at_the_source(spark, tmp_path):
     assert readers.read_parquet(spark, str(tmp_path / "t")).first().x is None
 
 
-def test_only_written_partitions_are_replaced(spark, tmp_path):
-    path = str(tmp_path / "split")
-    rows = spark.createDataFrame([("1", "train"), ("2", "test")], "sku string, data_split string")
-    writers.write_split_parquet(rows.withColumn("location_group", F.lit("01")), path, "2020-01-01")
-    writers.write_split_parquet(rows.withColumn("location_group", F.lit("01")), path, "2020-01-02")
-    writers.write_split_parquet(rows.where("sku = '1'").withColumn("location_group", F.lit("01")), path, "2020-01-02")
-    assert readers.read_parquet(spark, path).count() == 4
-
-
 def test_weights_round_trip(spark, tmp_path):
     (tmp_path / "w.json").write_text('{\n "metrics_list": [{"metric_name": "F1 Score", "metric_weight": 2}]\n}')
     assert jobs.load_weights(spark, str(tmp_path / "w.json")) == [{"metric_name": "F1 Score", "metric_weight": 2.0}]
@@ -163,15 +154,6 @@ def test_weights_of_one_metric_are_added(spark, tmp_path):
         jobs.load_weights(spark, str(tmp_path / "odd.json"))
 
 
-def test_a_run_on_one_group_keeps_the_others(spark, tmp_path):
-    rows = spark.createDataFrame([("0", "a", 1), ("1", "b", 2), ("1", "c", 3)], "location_group string, sku string, x int")
-    base = str(tmp_path / "out")
-    for part in (rows.where("location_group = '0'"), rows.where("location_group = '1'"), rows.where("sku = 'b'")):
-        writers.write_step_csv(part, base, "step_1", ["sku", "x"])
-    back = spark.read.option("header", True).csv(f"{base}/step_1")
-    assert {r.sku for r in back.collect()} == {"a", "b"}
-
-
 def test_swapped_header_is_an_error(spark, tmp_path):
     (tmp_path / "p").mkdir()
     (tmp_path / "p" / "a.csv").write_text("sku,x\na,1\n")
@@ -179,3 +161,20 @@ def test_swapped_header_is_an_error(spark, tmp_path):
     schema = T.StructType([T.StructField("sku", T.StringType()), T.StructField("x", T.DoubleType())])
     with pytest.raises(Exception, match="header|FAILED_READ_FILE"):
         readers.read_csv(spark, str(tmp_path / "p"), schema).collect()
+
+
+def test_first_score_of_many_parts(spark, tmp_path):
+    """The first row of the first file by name that has rows, whatever the number of tasks."""
+    for name, lines in (("part-2", ["30"]), ("part-0", []), ("part-1", ["", "12", "13"])):
+        (tmp_path / f"{name}.csv").write_text("\n".join(["overall_score,run", *(f"{x},a" for x in lines), ""]))
+    paths = {"champion": str(tmp_path)}
+    assert readers.scan_model_scores(spark, paths, {"champion": "r"}).first().overall_score is None
+    (tmp_path / "part-1.csv").write_text("run,overall_score\n" + "\n".join(f"a,{i}.5" for i in range(7, 5000)) + "\n")
+    for name in ("part-2", "part-0"):
+        (tmp_path / f"{name}.csv").write_text("run,overall_score\n" + ("a,1\n" if name == "part-2" else ""))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert readers.scan_model_scores(spark, paths, {"champion": "r"}).first().overall_score == 7.5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
