@@ -15,8 +15,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,21 +121,23 @@ def pack_documents(
     )
     id_type = pieces.schema["doc_id"].dataType.simpleString()
 
-    def pack(key, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
-        placed = np.array(first_fit_decreasing(group["length"].tolist(), capacity), np.int64).reshape(-1, 2)
-        out = group[["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]].copy()
-        out.insert(0, "offset", placed[:, 1])
-        out.insert(0, "sequence_id", (np.int64(key[0]) << 32) + placed[:, 0])
-        return out
+    names = ["doc_id", "start", "length", "doc_tokens", "ids_crc32", "ids"]
+
+    def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        order = [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]
+        group = group.select(names).take(pc.sort_indices(group, sort_keys=order, null_placement="at_end"))
+        placed = np.array(first_fit_decreasing(group["length"].to_pylist(), capacity), np.int64).reshape(-1, 2)
+        sequence = (np.int64(key[0].as_py()) << 32) + placed[:, 0]
+        return pa.Table.from_arrays(
+            [pa.array(sequence), pa.array(placed[:, 1]), *group.columns], ["sequence_id", "offset", *names]
+        )
 
     return (
         pieces.drop("row")
         .groupBy("pack_group")
-        .applyInPandas(
+        .applyInArrow(
             pack,
             f"sequence_id long, offset long, doc_id {id_type}, start long, length long, doc_tokens long, ids_crc32 long, "
             "ids binary",
         )
     )
-

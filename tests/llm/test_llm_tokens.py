@@ -158,5 +158,18 @@ def test_packing(spark, group):
     assert pack_documents(docs(spark).limit(0), vocabulary_path(WORD)).count() == 0
 
 
+def test_packing_keeps_large_ids_beside_null(spark):
+    big = 9007199254740992
+    rows = [(big + 1, "one two"), (None, "three"), (big + 3, "four five six"), (None, None), (-(2**63), "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pack_documents(frame, vocabulary_path(WORD), capacity=64).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted((i is None, i or 0) for i, _ in rows)
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u2").tolist() for r in got if r["doc_id"]} == {
+        i: ids_of(t, WORD, 2) for i, t in rows if i
+    }
+    names = spark.createDataFrame([("b", "x"), (None, "y"), ("a", "x")], "doc_id string, text string")
+    assert {r["doc_id"] for r in pack_documents(names, vocabulary_path(WORD)).collect()} == {"a", "b", None}
+
+
 def test_stored_survives_its_source(spark):
     assert stored(spark, spark.range(5).toDF("x"), "t").count() == 5
