@@ -81,6 +81,18 @@ def scan_feature_store(spark, sf):
     return readers.scan_feature_store(spark, _stored_features(spark, sf), GROUPS)
 
 
+@query
+def scan_controlled_features(spark, sf):
+    """Features of the groups and months that a stored control table switches on."""
+    path = scratch_path(spark, "control")
+    months = panel(spark, sf).select(N.LOCATION_GROUP, N.LOAD_DATE).distinct()
+    group, month = F.col(N.LOCATION_GROUP).cast("int"), F.month(F.to_date(N.LOAD_DATE))
+    months.withColumn("state", F.when((group + month) % 3 == 0, "on").otherwise("off")).write.parquet(path)
+    control = spark.read.parquet(path).where("state = 'on'")  # Catalyst prunes by conditions it thinks selective
+    store = readers.read_parquet(spark, _stored_features(spark, sf))
+    return readers.scan_by_control(store, control).select(*N.KEYS, *FEATURES, N.LOCATION_GROUP, N.LOAD_DATE)
+
+
 @query
 def scan_target_store(spark, sf):
     path = scratch_path(spark, "targets")

@@ -440,6 +440,8 @@ PRED_KEYED = "SELECT " + cols(N.FINAL_COLUMNS) + " FROM pred"
 ORACLES: dict[str, str] = {
     # sources
     "scan_feature_store": from_panel(f"SELECT {KEYS}, {cols(FEATURES)} FROM panel"),
+    "scan_controlled_features": from_panel(f"""SELECT {KEYS}, {cols(FEATURES)}, location_group, load_date FROM panel
+        WHERE (CAST(location_group AS INTEGER) + month(CAST(load_date AS DATE))) % 3 = 0"""),
     "scan_target_store": from_panel(f"SELECT {KEYS}, {cols(TARGETS)} FROM panel"),
     "scan_inference_features": from_panel(f"SELECT {KEYS}, {cols(FEATURES)}, location_group, '{DAY}' AS load_date FROM panel"),
     "scan_test_split": from_panel(f"{LABELLED} SELECT {KEYS}, {cols(FEATURES)}, {cols(TARGETS[:3])} FROM labelled WHERE data_split = 'test'"),

@@ -49,6 +49,16 @@ def in_groups(df: DataFrame, groups: Sequence[str] | None) -> DataFrame:
     return df if groups is None else df.where(F.col(LOCATION_GROUP).isin(list(groups)))
 
 
+def scan_by_control(store: DataFrame, control: DataFrame) -> DataFrame:
+    """Rows of a store whose partition (location group and load date, as far as ``control`` names them) is listed in
+    ``control``. A filtered control table prunes partitions at run time: only the listed directories are read, and the
+    list never passes the driver's code."""
+    by = [c for c in (LOCATION_GROUP, LOAD_DATE) if c in control.columns]
+    if not by:
+        raise ValueError(f"a control table needs {LOCATION_GROUP} or {LOAD_DATE}")
+    return store.join(control.select(*by), by, "left_semi")
+
+
 def scan_feature_store(spark: SparkSession, base: str, groups: Sequence[str] | None = None) -> DataFrame:
     return drop_partition_columns(in_groups(read_parquet(spark, base), groups), FEATURE_BOOKKEEPING)
 

@@ -81,3 +81,17 @@ def test_small_groups_are_one_file_each(spark, tmp_path):
 
 def test_schema_string_is_current():
     assert "binary_pred" in SCORED
+
+
+def test_control_table_prunes_partitions(spark, table, tmp_path):
+    group = spark.read.parquet(table).select(F.col("location_group").cast("string")).first()[0]
+    spark.createDataFrame([(group, "on"), ("none", "off")], "location_group string, state string").write.parquet(str(tmp_path / "c"))
+    control = spark.read.parquet(str(tmp_path / "c")).where("state = 'on'")
+    rows = readers.scan_by_control(readers.read_parquet(spark, table), control)
+    assert "dynamicpruning" in plan(rows) and "state" not in rows.columns
+    every = readers.read_parquet(spark, table)
+    assert rows.count() == every.where(F.col("location_group") == group).count() > 0
+    twice = control.unionByName(control)
+    assert readers.scan_by_control(every, twice).count() == rows.count()
+    with pytest.raises(ValueError, match="control table"):
+        readers.scan_by_control(every, control.select("state"))
