@@ -84,7 +84,7 @@ def test_schema_string_is_current():
 
 
 def test_control_table_prunes_partitions(spark, table, tmp_path):
-    group = spark.read.parquet(table).select(F.col("location_group").cast("string")).first()[0]
+    group = readers.read_parquet(spark, table).first().location_group
     spark.createDataFrame([(group, "on"), ("none", "off")], "location_group string, state string").write.parquet(str(tmp_path / "c"))
     control = spark.read.parquet(str(tmp_path / "c")).where("state = 'on'")
     rows = readers.scan_by_control(readers.read_parquet(spark, table), control)
