@@ -26,8 +26,8 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], size_of: str) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that no piece holds more than ``SLICE_ROWS`` rows or, but for a single long row,
+def slices(batches: Iterator[pa.RecordBatch], size_of: str, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that no piece holds more than ``rows`` rows or, but for a single long row,
     ``SLICE_CHARS`` bytes in the text column ``size_of``."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(size_of)), 0).to_numpy(
@@ -35,7 +35,7 @@ def slices(batches: Iterator[pa.RecordBatch], size_of: str) -> Iterator[pa.Recor
         )
         start, total = 0, 0
         for i, n in enumerate(lengths):
-            if i > start and (i - start == SLICE_ROWS or total + n > SLICE_CHARS):
+            if i > start and (i - start == rows or total + n > SLICE_CHARS):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += int(n)

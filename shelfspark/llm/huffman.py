@@ -168,8 +168,8 @@ def tokenized(docs: DataFrame, vocabulary: str, doc_id: str, text: str, end_id:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         end = np.array([end_id], enc.dtype).tobytes()
-        for batch in slices(batches, "text"):
-            ids = pa.array([x + end for x in enc.encode(batch["text"].to_pylist())], pa.binary())
+        for batch in slices(batches, "text", rows=4096):
+            ids = enc.encode_array(batch["text"], end).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], ids], ["doc_id", "ids"])
 
     return named.mapInArrow(encode, "doc_id long, ids binary")

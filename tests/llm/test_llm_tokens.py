@@ -2,11 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfspark.llm import token_counts
+from shelfspark.llm import token_counts, tokens
 from shelfspark.llm.common import stored
 from shelfspark.llm.huffman import (
     CHECK,
@@ -43,6 +44,23 @@ def test_units_give_the_library_s_ids(encoders, name, texts):
     e = encoders[name]
     want = [x.ids for x in e.library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, e.dtype).tolist() for x in e.encode(texts)] == want
+    end = np.array([2], e.dtype).tobytes()
+    array = pa.array(["cut off", None, *texts, "cut off"], pa.string())[1:-1]
+    at_once = [np.frombuffer(x, e.dtype).tolist() for x in e.encode_array(array, end).to_pylist()]
+    assert at_once == [[2], *([*x, 2] for x in want)]
+
+
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_arrays_of_texts_beyond_the_memory(encoders, name, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY", 50)
+    e = Encoder(vocabulary_path(name))
+    rng = random.Random(4)
+    for _ in range(6):
+        texts = ["".join(rng.choices("ab \n.é\u3000", k=rng.randint(0, 40))) for _ in range(60)]
+        want = [x.ids for x in e.library.encode_batch(texts, add_special_tokens=False)]
+        got = e.encode_array(pa.array(texts, pa.string()))
+        assert [np.frombuffer(x, e.dtype).tolist() for x in got.to_pylist()] == want
+    assert e.encode_array(pa.array([], pa.string())).to_pylist() == []
 
 
 def ids_of(text, name, end):
