@@ -11,7 +11,8 @@ different words stay different and none stays itself (but for a word of letters
 
 A surrogate could still be the real entity of somebody else, or its own original. The corpus' entities are therefore
 collected first and compared with all surrogates; those that collide are drawn again with the next round of the key,
-until none does; if some are left after the last round, the job fails. Entities drawn again are rare; only documents that mention one are joined with their new surrogates.
+until none does. A format of which the corpus
+holds too many strings for that is permuted as a whole, which keeps its entities apart. Entities drawn again are rare; only documents that mention one are joined with their new surrogates.
 
 Nulls: a null text stays null and counts no entities; an empty text stays as it is. Repeated rows get equal results.
 Columns of the input are kept; the added columns replace columns of the same name.
@@ -34,6 +35,10 @@ from pyspark.sql import functions as F
 from shelfspark.llm.common import slices, stored
 
 KEY = "change-me"
+#: The setting of a session that names the key.
+KEY_SETTING = "spark.shelfspark.pii.key"
+#: The attempt of a format that is too full to avoid the corpus' own entities: a step along its keyed cycle.
+FULL = -1
 
 # First names by gender and script, surnames by script, titles by gender.
 NAMES = {
@@ -52,7 +57,7 @@ NAMES = {
     ("latin", "last"): (
         "Smith Johnson Williams Brown Jones Miller Davis Wilson Anderson Taylor Moore Martin Thompson White Harris "
         "Clark Lewis Walker Hall Young Müller Schmidt Schneider Fischer Weber Meyer Wagner Becker Schulz Hoffmann "
-        "Dubois Durand Leroy Moreau Simon Laurent García Martínez López Sánchez Pérez Gómez Fernández Ruiz"
+        "Dubois Durand Leroy Moreau Simon García Martínez López Sánchez Pérez Gómez Fernández Ruiz"
     ).split(),
     ("cyrillic", "last"): "Иванов Петров Сидоров Смирнов Кузнецов Попов Соколов Лебедев Козлов Новиков".split(),
 }
@@ -62,6 +67,7 @@ TITLES = {
     "": "Dr Prof Professor".split(),
 }
 
+_SECRET_PREFIX = r"(?:AKIA|AIza|eyJ|(?:gh[opsu]|sk|pk|xox[abp])[-_])?"
 _VOWELS, _CONSONANTS = "aeiouy", "bcdfghjklmnpqrstvwxz"
 #: Classes within which a letter or digit varies; other characters stay.
 _CLASSES = (
@@ -121,10 +127,10 @@ def step_on(x: int, n: int, key: bytes, label: str) -> int:
 
 
 def permute_text(text: str, key: bytes, label: str, class_of=_CLASS_OF, first: str = "", move=permute) -> str:
-    """Characters of ``text`` vary together within their classes. ``first``: a class for a leading digit in it."""
+    """Characters of ``text`` vary together within their classes. ``first``: leading digits vary in it or outside it."""
     classes = [class_of.get(c) for c in text]
-    if first and text and text[0] in first:
-        classes[0] = first
+    if first and text and classes[0]:
+        classes[0] = first if text[0] in first else "".join(c for c in classes[0] if c not in first)
     # The format is part of the label: strings of one format are permuted among themselves.
     shape = label + "|" + "".join("-" if k is None else k[0] for k in classes)
     x, n = 0, 1
@@ -150,8 +156,8 @@ def luhn_sum(digits: str) -> int:
     return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(digits))) % 10
 
 
-def _card(digits: str, key: bytes, label: str) -> str:
-    body = digits[0] + permute_text(digits[1:-1], key, label)
+def _card(digits: str, key: bytes, label: str, move) -> str:
+    body = digits[0] + permute_text(digits[1:-1], key, f"{label}{digits[0]}{luhn_sum(digits)}", move=move)
     kept = luhn_sum(digits)  # 0 if the number was valid
     return next(body + d for d in "0123456789" if luhn_sum(body + d) == kept)
 
@@ -160,32 +166,32 @@ def iban_valid(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
-def _iban(text: str, key: bytes, label: str) -> str:
-    body = permute_text(text[4:].lower(), key, label + text[:2]).upper()
+def _iban(text: str, key: bytes, label: str, move) -> str:
+    body = permute_text(text[4:].lower(), key, label + text[:2], move=move).upper()
     rest = int("".join(str(int(c, 36)) for c in body + text[:2] + "00")) % 97
     return f"{text[:2]}{98 - rest:02d}{body}"
 
 
-def _ip(text: str, key: bytes, label: str) -> str:
+def _ip(text: str, key: bytes, label: str, move) -> str:
     a, b, c, d = map(int, text.split("."))
     if a == 10:
-        x = permute(b << 16 | c << 8 | d, 1 << 24, key, label + "10")
+        x = move(b << 16 | c << 8 | d, 1 << 24, key, label + "10")
         return f"10.{x >> 16}.{x >> 8 & 255}.{x & 255}"
     if (a, b) == (192, 168):
-        x = permute(c << 8 | d, 1 << 16, key, label + "192.168")
+        x = move(c << 8 | d, 1 << 16, key, label + "192.168")
         return f"192.168.{x >> 8}.{x & 255}"
     if not 1 <= a <= 223:
-        x = permute(b << 16 | c << 8 | d, 1 << 24, key, f"{label}{a}")
+        x = move(b << 16 | c << 8 | d, 1 << 24, key, f"{label}{a}")
         return f"{a}.{x >> 16}.{x >> 8 & 255}.{x & 255}"
     x = ((a - 1) << 24) | b << 16 | c << 8 | d
     while True:  # never into the private ranges, whose addresses map among themselves
-        x = permute(x, 223 << 24, key, label)
+        x = move(x, 223 << 24, key, label)
         a, b = (x >> 24) + 1, x >> 16 & 255
         if a != 10 and (a, b) != (192, 168):
             return f"{a}.{b}.{x >> 8 & 255}.{x & 255}"
 
 
-def _ipv6(text: str, key: bytes, label: str) -> str:
+def _ipv6(text: str, key: bytes, label: str, move) -> str:
     """``text``: compressed; its groups keep their lengths, so it stays compressed."""
     classes = [
         "" if c == ":" or group == "0" else "123456789abcdef" if i == 0 else "0123456789abcdef"
@@ -196,7 +202,7 @@ def _ipv6(text: str, key: bytes, label: str) -> str:
     for c, k in zip(text, classes, strict=True):
         if k:
             x, n = x * len(k) + k.index(c), n * len(k)
-    x = permute(x, n, key, label + "".join("x" if k else c for c, k in zip(text, classes, strict=True)))
+    x = move(x, n, key, label + "".join("x" if k else c for c, k in zip(text, classes, strict=True)))
     out = []
     for c, k in zip(reversed(text), reversed(classes), strict=True):
         if k:
@@ -210,27 +216,18 @@ _GENDER = {w: (script, g) for (script, g), words in _LISTS.items() if g != "last
 _LISTED = frozenset(w for words in _LISTS.values() for w in words)
 
 
-#: Words by list; a word that is in two of them counts in one, by its place: as a first name, or as a surname.
-_FIRST_ROLES = {k: v if k[1] != "last" else [w for w in v if w.lower() not in _GENDER] for k, v in NAMES.items()}
-_LAST_ROLES = {
-    k: v if k[1] == "last" else [w for w in v if w.lower() not in _LISTS["latin", "last"] | _LISTS["cyrillic", "last"]]
-    for k, v in NAMES.items()
-}
-_FIRST_PLACE, _LAST_PLACE = (
-    {w.lower(): (r, i) for r, words in roles.items() for i, w in enumerate(words)} for roles in (_FIRST_ROLES, _LAST_ROLES)
-)
+#: The list and place of a word. No word is in two lists, so a name is replaced alike alone and beside another.
+_PLACE = {w.lower(): (role, i) for role, words in NAMES.items() for i, w in enumerate(words)}
 
 
 def _name(text: str, key: bytes, label: str) -> str:
-    """``text``: gender, then lower-case words; the last of several is a surname unless it is only a first name."""
+    """``text``: gender, then lower-case words, each replaced by itself."""
     _, *words = text.split(" ")
     out = []
-    for i, word in enumerate(words):
-        first = i + 1 < len(words) or len(words) == 1
-        role, at = (_FIRST_PLACE if first else _LAST_PLACE).get(word, (None, 0))
+    for word in words:
+        role, at = _PLACE.get(word, (None, 0))
         if role:
-            words_of = (_FIRST_ROLES if first else _LAST_ROLES)[role]
-            out.append(words_of[step_on(at, len(words_of), key, label + str(role))].lower())
+            out.append(NAMES[role][step_on(at, len(NAMES[role]), key, label + str(role))].lower())
         else:
             new = permute_text(word, key, label, _PATTERN_CLASS, move=step_on)
             while new in _LISTED:
@@ -243,31 +240,55 @@ def _name(text: str, key: bytes, label: str) -> str:
 def surrogate(kind: str, canonical: str, key: str, attempt: int = 0) -> str:
     """The surrogate, in canonical form, of an entity in canonical form."""
     secret, label = f"{key}|{attempt}".encode(), kind
+    move = step_on if attempt == FULL else permute
     if kind == "card":
-        return _card(canonical, secret, label)
+        return _card(canonical, secret, label, move)
     if kind == "iban":
-        return _iban(canonical, secret, label)
+        return _iban(canonical, secret, label, move)
     if kind == "ip":
-        return _ip(canonical, secret, label)
+        return _ip(canonical, secret, label, move)
     if kind == "ipv6":
-        return _ipv6(canonical, secret, label)
+        return _ipv6(canonical, secret, label, move)
     if kind == "name":
         return _name(canonical, secret, label)
     if kind == "email":
         local, domain = canonical.rsplit("@", 1)
         host, dot, top = domain.rpartition(".")
-        return f"{permute_text(local + '@' + host, secret, label + top)}{dot}{top}"
+        return f"{permute_text(local + '@' + host, secret, label + top, move=move)}{dot}{top}"
     if kind == "phone":
-        return permute_text(canonical, secret, label, first="23456789")
+        return permute_text(canonical, secret, label, first="23456789", move=move)
     if kind == "secret":
-        prefix = re.match(r"(?:AKIA|(?:gh[opsu]|sk|pk|xox[abp])[-_])?", canonical)[0]
+        prefix = re.match(_SECRET_PREFIX, canonical)[0]
         rest = canonical[len(prefix) :]
         if re.fullmatch("[0-9a-f]+", rest):
-            x = permute(int(rest, 16), 16 ** len(rest), secret, f"{label}{prefix}{len(rest)}")
+            x = move(int(rest, 16), 16 ** len(rest), secret, f"{label}{prefix}{len(rest)}")
             return f"{prefix}{x:0{len(rest)}x}"
         classes = {**_CLASS_OF, **{c.upper(): _CLASSES[1].upper() for c in _CLASSES[1]}}
-        return prefix + permute_text(rest, secret, label + prefix, classes)
-    return permute_text(canonical, secret, label)
+        return prefix + permute_text(rest, secret, label + prefix, classes, move=move)
+    return permute_text(canonical, secret, label, move=move)
+
+
+def entity_format(kind: str, entity: str) -> str:
+    """The strings among which the surrogate of an entity is drawn: one format's permutation is one to one."""
+    shape = "".join(_CLASS_OF[c][0] if c in _CLASS_OF else "A" if c.lower() in _CLASS_OF else c for c in entity)
+    if kind == "email":
+        return shape[: entity.rindex(".")] + entity[entity.rindex(".") :]
+    if kind == "card":
+        return f"{entity[0]} {len(entity)} {luhn_sum(entity)}"
+    if kind == "iban":
+        return entity[:2] + shape[4:]
+    if kind == "ip":
+        a, b = entity.split(".")[:2]
+        return "192.168" if (a, b) == ("192", "168") else a if a == "10" or not 1 <= int(a) <= 223 else "public"
+    if kind == "ipv6":
+        return re.sub("[1-9a-f]", "x", re.sub("(?<=[0-9a-f])0", "x", entity))
+    if kind == "phone":
+        return f"{len(entity)} {entity[:1] in set('01')}"
+    if kind == "secret":
+        prefix = re.match(_SECRET_PREFIX, entity)[0]
+        rest = entity[len(prefix) :]
+        return f"{prefix} {len(rest)}" if re.fullmatch("[0-9a-f]+", rest) else prefix + shape[len(prefix) :]
+    return shape
 
 
 def written(original: str, kind: str, canonical: str) -> str:
@@ -338,9 +359,12 @@ _SECRETS = (
         r"(?i:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)[#$%&*!|]{0,4}\s{0,3}[=:][#$%&*!|]{0,4}\s{0,3}"
         r"[|]?\s?[\"']?([A-Za-z0-9+/_.~-]{8,})"
     ),
-    re.compile(r"(?<![A-Za-z0-9])([0-9a-f]{32,128})(?![A-Za-z0-9])"),
+    re.compile(r"(?<![A-Za-z0-9])([0-9a-f]{32,})(?![A-Za-z0-9])"),
+    re.compile(r"(?<![A-Za-z0-9_-])(AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_-])"),
+    re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]*)"),
+    re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s+([A-Za-z0-9+/=:,\s-]*?[A-Za-z0-9+/=])\s+-----END "),
 )
-_SECRET_HINT = re.compile(r"(?i:token|passw|pwd|secret|key)|AKIA|gh[opsu]_|[sp]k[-_]|xox|\d")
+_SECRET_HINT = re.compile(r"(?i:token|passw|pwd|secret|key)|AKIA|AIza|eyJ|gh[opsu]_|[sp]k[-_]|xox|\d")
 _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 _TITLE = re.compile(
     r"(?<!\w)(" + "|".join(t for ts in TITLES.values() for t in ts) + rf")\.?[  ]((?:{_WORD}[  ]){{0,2}}{_WORD})"
@@ -350,7 +374,7 @@ _FIRST = re.compile(
     r"(?<!\w)(?:" + "|".join(w for (_, g), ws in NAMES.items() if g != "last" for w in ws) + rf") ({_WORD})"
 )
 _LOCAL = re.compile(r"[\w.%+-]{1,64}\Z")
-_DOMAIN = re.compile(r"[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,24}")
+_DOMAIN = re.compile(r"[\w-]+(?:\.[\w-]+)*\.(?:xn--[A-Za-z0-9-]{0,58}[A-Za-z0-9]|[^\W\d_]{2,24})")
 
 Found = tuple[int, int, str, str]  # start, end, kind, canonical
 
@@ -515,47 +539,66 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
     return entities.withColumn("drawn", new("kind", "entity", "attempt"))
 
 
-def drawn_again(entities: DataFrame, key: str, rounds: int = 20) -> DataFrame:
+def drawn_again(entities: DataFrame, key: str, rounds: int = 6) -> DataFrame:
     """``kind, entity, attempt`` of the entities whose first surrogate collides: with another one's surrogate, or
     (but for names, which are drawn from lists and never their own) with an entity of the corpus. Compared by shuffles
     over all entities.
 
-    Of entities with one surrogate the least keeps it. Fails if collisions are left after ``rounds``, as in formats
-    too small to avoid them.
+    Of entities with one surrogate the least keeps it. A format whose entities still collide after ``rounds`` is so
+    full that its surrogates must be entities of the corpus: all of it then moves one step along its keyed cycle, which
+    is one to one and leaves none its own (but for a format of a single string). Fails if two surrogates are equal
+    even so.
     """
     spark = entities.sparkSession
     now = stored(spark, draw(entities.withColumn("attempt", F.lit(0)), key), "entities")
     real = entities.select("kind", F.col("entity").alias("drawn")).where("kind <> 'name'")
-    for n_drawn in range(rounds + 1):
+
+    def collisions(now: DataFrame, with_hits: bool) -> DataFrame:
         keepers = now.groupBy("kind", "drawn").agg(F.min("entity").alias("keeper"), F.count("*").alias("n"))
+        if not with_hits:
+            return keepers.where("n > 1")
         hits = real.join(now.select("kind", "drawn").distinct(), ["kind", "drawn"], "left_semi")
         bad = (
             keepers.join(hits.withColumn("hit", F.lit(True)), ["kind", "drawn"], "left")
             .where("n > 1 OR hit")
             .select("kind", "drawn", "keeper", F.coalesce("hit", F.lit(False)).alias("hit"))
         )
-        bad = stored(spark, bad, "collisions")
+        return stored(spark, bad, "collisions")
+
+    for n_drawn in range(rounds + 1):
+        bad = collisions(now, True)
         if bad.isEmpty():
             break
-        if n_drawn == rounds:
-            left = {r["kind"]: r["count"] for r in bad.groupBy("kind").count().collect()}
+        moves = F.col("hit") | (F.col("keeper") != F.col("entity"))
+        marked = now.join(bad, ["kind", "drawn"], "left").withColumn("moves", F.coalesce(moves, F.lit(False)))
+        if n_drawn < rounds:
+            moved = marked.withColumn("attempt", F.col("attempt") + F.col("moves").cast("int"))
+            now = stored(spark, draw(moved.select("kind", "entity", "attempt"), key), "entities")
+            continue
+
+        @F.pandas_udf("string")
+        def format_of(kind: pd.Series, entity: pd.Series) -> pd.Series:
+            return pd.Series([entity_format(k, e) for k, e in zip(kind, entity, strict=True)], dtype=object)
+
+        shaped = marked.withColumn("format", format_of("kind", "entity"))
+        full = shaped.where("moves").select("kind", "format").distinct().withColumn("full", F.lit(True))
+        attempt = F.when(F.col("full"), F.lit(FULL)).otherwise(F.col("attempt"))
+        moved = shaped.join(full, ["kind", "format"], "left").withColumn("attempt", attempt)
+        now = stored(spark, draw(moved.select("kind", "entity", "attempt"), key), "entities")
+        left = {r["kind"]: r["count"] for r in collisions(now, False).groupBy("kind").count().collect()}
+        if left:
             raise ValueError(f"surrogates still collide after {rounds} rounds, by kind: {left}")
-        moved = now.join(bad, ["kind", "drawn"], "left").select(
-            "kind",
-            "entity",
-            F.when(F.col("hit") | (F.col("keeper") != F.col("entity")), F.col("attempt") + 1)
-            .otherwise(F.col("attempt"))
-            .alias("attempt"),
-        )
-        now = stored(spark, draw(moved, key), "entities")
-    return now.where("attempt > 0").select("kind", "entity", "attempt")
+    return now.where("attempt <> 0").select("kind", "entity", "attempt")
 
 
 def replace_entities(
-    docs: DataFrame, key: str = KEY, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, key: str | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` with entities in ``text`` replaced, and ``n_entities long, kinds array<string>``."""
+    """``docs`` with entities in ``text`` replaced, and ``n_entities long, kinds array<string>``.
+
+    ``key``: by default that of the session's ``KEY_SETTING``, or else a placeholder."""
     spark = docs.sparkSession
+    key = spark.conf.get(KEY_SETTING, KEY) if key is None else key
     mentions = stored(spark, document_entities(docs, doc_id, text), "mentions")
     again = stored(spark, drawn_again(mentions.select("kind", "entity").distinct(), key), "drawn-again")
     kept = docs.drop("n_entities", "kinds", "pii_again")
