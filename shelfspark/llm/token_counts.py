@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm.common import slices, stored
-from shelfspark.llm.token_files import read_range, write_file
+from shelfspark.llm.token_files import make_folder, read_range, write_file
 from shelfspark.llm.tokens import encoder
 from shelfspark.sources.scratch import scratch_path
 
@@ -141,6 +141,8 @@ def document_counts(docs: DataFrame, vocabulary: str, end_id: int, doc_id: str =
     """Flat files of ``docs`` and the counts found in them: ``doc_id, n_tokens long``, without the end id."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "flat-tokens")
+    make_folder(folder)
     places = write_flat_files(docs, vocabulary, folder, end_id, doc_id, text)
     counts = count_tokens(spark, folder, end_id, encoder(vocabulary).dtype.str)
-    return places.join(counts, ["file", "place"]).select("doc_id", "n_tokens")
+    # Both sides grow with the documents, so neither is broadcast, however small its file is.
+    return places.hint("merge").join(counts, ["file", "place"]).select("doc_id", "n_tokens")

@@ -11,6 +11,12 @@ import uuid
 import pyarrow.fs as pafs
 
 
+def make_folder(folder: str) -> None:
+    """So that a folder is there even if no task writes a file."""
+    fs, base = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(base, recursive=True)
+
+
 def write_file(folder: str, name: str, chunks) -> int:
     """Write byte strings one after another; the number of bytes."""
     fs, base = pafs.FileSystem.from_uri(folder)

@@ -134,6 +134,16 @@ def test_separator_scan(spark, block):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+def test_document_counts_of_odd_tables(spark):
+    rows = spark.createDataFrame(ROWS * 2, "doc_id long, text string")
+    clashing = rows.selectExpr("*", "1 AS file", "2 AS place", "3 AS n_tokens")
+    got = sorted(map(tuple, token_counts.document_counts(clashing, vocabulary_path(BYTE), 50256).collect()), key=str)
+    assert len(got) == 2 * len(ROWS) and got == sorted(map(tuple, got[::2] + got[::2]), key=str)
+    nothing = spark.createDataFrame(spark.sparkContext.emptyRDD(), rows.schema)
+    assert token_counts.document_counts(nothing, vocabulary_path(BYTE), 50256).count() == 0
+    assert token_counts.document_counts(rows.limit(0), vocabulary_path(BYTE), 50256).count() == 0
+
+
 def test_document_counts(spark):
     got = token_counts.document_counts(docs(spark), vocabulary_path(BYTE), 50256).collect()
     special = Encoder(vocabulary_path(BYTE))
