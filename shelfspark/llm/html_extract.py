@@ -89,7 +89,7 @@ def parse(source: str) -> Page:
         if less == size:
             break
         if source.startswith("<!--", less):
-            end = source.find("-->", less + 4)
+            end = source.find("-->", less + 2)  # "<!-->" and "<!--->" are whole comments
             at = size if end < 0 else end + 3
             continue
         ended = source.startswith("</", less) and less + 2 < size and not _LETTER.match(source, less + 2)
@@ -107,11 +107,13 @@ def parse(source: str) -> Page:
         at = m.end()
         closing, tag = m[1], m[2].lower()
         if tag in RAW:
-            if not closing and not m[3].endswith("/"):
+            if not closing and (tag in ("script", "style") or not m[3].endswith("/")):
                 end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(source, at)
                 at = end.end() if end else size
             continue
         if tag in VOID:
+            if tag == "hr":
+                flush()
             parts.append(" ")
             continue
         if tag == "a":

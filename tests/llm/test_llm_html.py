@@ -81,3 +81,14 @@ def test_frame(spark, model):
     assert len(got) == 4 and all(r["n_chars"] == len(r["text"]) for r in got)
     assert [r["text"] for r in got if r["page_id"] in (2, None)] == ["", ""]
     assert main_texts(pages.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize(("source", "runs"), [
+    ("<p>One.<!-->Two.</p>", ["One.Two."]),
+    ("<p>One.<!--->Two.<!-- gone > -->Three.</p>", ["One.Two.Three."]),
+    ("<p>One.</p><script src=x />var leak = 1;</script><style />p{}</style><p>Two.</p>", ["One.", "Two."]),
+    ("<div>One.<hr>Two.<hr/>Three.</div>", ["One.", "Two.", "Three."]),
+    ("<p>One. <svg/>Two.</p>", ["One. Two."]),
+])
+def test_comments_scripts_and_rules(source, runs):
+    assert [text.strip() for _, text in parse(source).runs] == runs
