@@ -1,7 +1,7 @@
 """Main text of web pages by a tree-structured graphical model over their DOM.
 
 Every block-level element is a node with a hidden state, content or not. Its own features (tag, words in class, id and
-role, length and link share of its text, kinds of its ancestors) give a unary potential, and each edge a potential of
+role, length and link share of its text, kinds of its ancestors, its share of the page) give a unary potential, and each edge a potential of
 the states of parent and child, by the kind of the child. Sum-product messages pass from the leaves to the root and
 back; they give the exact marginal of every node, and the text of nodes with a content marginal of at least one half is
 the main text. The same messages give the gradient of the conditional likelihood, by which the weights are learned
@@ -12,6 +12,11 @@ Text: the pieces of text between the boundaries of block-level elements are the
 decoded, white space inside a block (line breaks by ``br`` too) becomes one space, ends are trimmed, empty blocks go,
 the others are joined by a line feed in page order. Nothing is cut or capped.
 
+A class word says what an element is only as far as it can: ``html`` and ``body`` have none, names of a state
+(``has-sidebar``, ``comments-open``, ``category-social``) are features apart, and an element with most of the page's
+text that holds an article or a headline of the first level (a layout, a form around the page, an unclosed header) hands
+nothing down.
+
 A null or empty page has an empty text. Broken markup does not fail: open elements end with their parent, an end tag
 without a start is ignored, an unfinished tag or comment ends with the page.
 """
@@ -36,7 +41,7 @@ BLOCKS = frozenset(
     "fieldset legend label button select option textarea noscript center hgroup search".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template svg math iframe object canvas audio video".split())
+RAW = frozenset("script style template svg annotation annotation-xml iframe object canvas audio video".split())
 #: An opening element of the key ends open elements of these kinds, up to one of the kinds in ``SCOPE``.
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -164,13 +169,22 @@ def parse(source: str) -> Page:
 _STRUCTURE = ("nav", "header", "footer", "aside", "form", "article", "main", "head", "ul", "table", "dialog", "figure")
 
 
+# First and last words of class names that tell a state, a layout or a topic, not what the element is.
+_STATE_FIRST = frozenset("has no with without category tag status type format js layout".split())
+_STATE_LAST = frozenset("open closed enabled disabled fixed free on off".split())
+
+
 @lru_cache(4096)
 def _attribute_words(attributes: str) -> tuple[tuple[str, ...], str | None]:
+    """Words of names and the label, if any. Words of a state follow ``~``, all but the last of another name ``^``."""
     words, label = [], None
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id", "role", "itemprop", "aria-label"):
-            words += [w.lower() for w in _WORDS.findall(value)]
+            for token in value.split():
+                parts = [w.lower() for w in _WORDS.findall(token)]
+                state = len(parts) > 1 and (parts[0] in _STATE_FIRST or parts[-1] in _STATE_LAST)
+                words += ["~" + w for w in parts] if state else ["^" + w for w in parts[:-1]] + parts[-1:]
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
             name == "style" and "display:none" in value.replace(" ", "")
         ):
@@ -188,15 +202,38 @@ def node_features(page: Page) -> list[list[str]]:
         length[node] += len(text)
         words[node] += text.count(" ") + 1
         sentence[node] = sentence[node] or text.rstrip()[-1:] in ".!?…\"”’:"
+    named = [_attribute_words(a)[0] if t not in _ROOTS else () for t, a in zip(page.tags, page.attributes, strict=True)]
+    below, direct, landmark, article = list(length), [0] * n, [False] * n, False
+    for i in range(n - 1, 0, -1):
+        parent, tag = page.parents[i], page.tags[i]
+        below[parent] += below[i]
+        direct[parent] += length[i] if tag == "p" else 0
+        if tag in ("h1", "main", "article") and not _marked(named[i]):
+            landmark[parent] = True
+            article = article or tag != "h1"
+        landmark[parent] = landmark[parent] or landmark[i]
     around: list[frozenset[str]] = [frozenset()] * n
     out = []
     for i in range(n):
-        tag, (named, _) = page.tags[i], _attribute_words(page.attributes[i])
-        features = ["bias", f"tag={tag}", *(f"word={w}" for w in named)]
-        above = around[page.parents[i]] if i else frozenset()
-        features += [f"in={k}" for k in above]
+        tag, above = page.tags[i], around[page.parents[i]] if i else frozenset()
+        wide = 2 * below[i] > below[0]
+        outer = wide and landmark[i]
         own = {tag} if tag in _STRUCTURE else set()
-        around[i] = above | own | {w for w in named if w in _MARKERS}
+        if tag in _ROOTS:
+            features = ["bias", f"tag={tag}", f"paragraphs={min(3, 4 * direct[i] // max(1, below[0]))}:{article}"]
+        elif outer:
+            features = ["bias", f"outer:tag={tag}", *(f"outer:word={w}" for w in named[i])]
+            own &= {"article", "main"}
+        else:
+            features = ["bias", f"tag={tag}", *(f"word={w}" for w in named[i])]
+            own |= _marked(named[i])
+            if wide:
+                features += [f"wide:tag={tag}", *(f"wide:word={w}" for w in named[i])]
+                own |= {f"wide:{w}" for w in own}
+        features += [f"in={k}" for k in above]
+        around[i] = above | own
+        if "article" not in around[i] and "main" not in around[i]:
+            features.append(f"outside={article}:{page.tags[page.parents[i]] in _ROOTS}")
         if length[i]:
             share = page.linked.get(i, 0) / length[i]
             features.append(f"words={min(6, words[i].bit_length())}")
@@ -207,6 +244,11 @@ def node_features(page: Page) -> list[list[str]]:
     return out
 
 
+def _marked(words: tuple[str, ...]) -> set[str]:
+    return {w for w in words if w.removeprefix("^") in _MARKERS}
+
+
+_ROOTS = frozenset(("#root", "html", "body"))
 #: Words of class, id or role that are remembered for the elements below.
 _MARKERS = frozenset(
     "ad ads advert advertisement sponsored promo banner cookie consent notice alert popup modal newsletter subscribe "
@@ -324,8 +366,9 @@ def _sentences(rng: random.Random, n: int) -> str:
     return " ".join(_words(rng, rng.randint(1, 18)).capitalize() + rng.choice((".", ".", ".", "!", "?")) for _ in range(n))
 
 
-def training_pages(n: int = 240, seed: int = 11) -> list[str]:
-    """Pages in the layouts of blogs, news sites and plain articles, with the article marked as content."""
+def training_pages(n: int = 480, seed: int = 11) -> list[str]:
+    """Pages in the layouts of blogs, news sites and plain articles, with the article marked as content; names of other
+    parts occur in the class words of elements around it too."""
     rng = random.Random(seed)
     some = lambda *parts: [p() for p in parts if rng.random() < 0.6]
 
@@ -337,20 +380,20 @@ def training_pages(n: int = 240, seed: int = 11) -> list[str]:
 
     def nav() -> str:
         tag, extra = rng.choice((("nav", ""), ("nav", " class=main-nav"), ("div", named("nav", "menu", "navigation", "top-menu", "breadcrumb"))))
-        return f"<{tag} {extra}><ul>{links(rng.randint(2, 9))}</ul></{tag}>"
+        return f'<{tag} {extra} data-content="0"><ul>{links(rng.randint(2, 9))}</ul></{tag}>'
 
     def header() -> str:
         tag, extra = rng.choice((("header", ""), ("div", named("header", "site-header", "masthead", "page-header", "banner"))))
         site = rng.choice((f"<h1>{_words(rng, 2)}</h1>", f"<div>{_words(rng, 3)}</div>", f"<p>{_words(rng, 6)}</p>", _words(rng, 2)))
-        return f"<{tag} {extra}>{site}{nav() if rng.random() < 0.5 else ''}</{tag}>"
+        return f'<{tag} {extra} data-content="0">{site}{nav() if rng.random() < 0.5 else ""}</{tag}>'
 
     def footer() -> str:
         tag, extra = rng.choice((("footer", ""), ("footer", ""), ("div", named("footer", "site-footer", "copyright", "legal", "contentinfo"))))
         inner = rng.choice((f"&copy; {_words(rng, 4)} &middot; {_sentences(rng, 2)}", f"<p>{_sentences(rng, rng.randint(1, 3))}</p>", f"<ul>{links(4)}</ul><p>{_words(rng, 6)}</p>"))
-        return f"<{tag} {extra}>{inner}</{tag}>"
+        return f'<{tag} {extra} data-content="0">{inner}</{tag}>'
 
     def advert() -> str:
-        extra = named("ad", "ads", "advert", "advertisement", "sponsored", "promo", "ad-slot", "ad-banner")
+        extra = named("ad", "ads", "advert", "advertisement", "sponsored", "promo", "ad-slot", "ad-banner", "promo-box", "sponsored-links")
         return f'<div {extra} data-content="0">{rng.choice((_sentences(rng, rng.randint(1, 3)), f"<p>{_sentences(rng, 2)}</p>", f"<p>{_words(rng, 4)}</p>"))}</div>'
 
     def notice() -> str:
@@ -358,7 +401,7 @@ def training_pages(n: int = 240, seed: int = 11) -> list[str]:
         return f'<{(t := rng.choice(("div", "div", "section", "aside", "dialog")))} {extra} data-content="0"><p>{_sentences(rng, rng.randint(1, 4))}</p>{"<button>" + _words(rng, 1) + "</button>" if rng.random() < 0.6 else ""}</{t}>'
 
     def sidebar() -> str:
-        tag, extra = rng.choice((("aside", ""), ("aside", ""), ("div", named("sidebar", "side-bar", "widget", "related", "complementary", "social", "share"))))
+        tag, extra = rng.choice((("aside", ""), ("aside", ""), ("div", named("sidebar", "side-bar", "widget", "related", "complementary", "social", "share", "social-links", "share-buttons", "related-posts", "sidebar-left", "widget-area"))))
         return f'<{tag} {extra} data-content="0"><h3>{_words(rng, 2)}</h3>{rng.choice((f"<ul>{links(5)}</ul>", f"<p>{_sentences(rng, rng.randint(1, 4))}</p>"))}</{tag}>'
 
     def form() -> str:
@@ -373,8 +416,8 @@ def training_pages(n: int = 240, seed: int = 11) -> list[str]:
             f"<p>{_sentences(rng, rng.randint(1, 5))}</p>",
         ))
         tag = rng.choice(("section", "div", "div", "ol", "ul"))
-        extra = named("comments", "comment-list", "discussion", "replies", "responses comments", "respond")
-        return f'<{tag} {extra} data-content="0"><h2>{_words(rng, 2)}</h2>{"".join(one() for _ in range(rng.randint(1, 5)))}</{tag}>'
+        extra = named("comments", "comment-list", "comments-area", "reader-comments", "discussion", "replies", "responses comments", "respond")
+        return f'<{tag} {extra} data-content="0"><h2>{_words(rng, 2)}</h2>{"".join(one() for _ in range(rng.choice((1, 2, 3, 5, 12))))}</{tag}>'
 
     def paragraph() -> str:
         text = _sentences(rng, rng.choice((1, 1, 2, 3, 5, 8, 12)))
@@ -386,9 +429,26 @@ def training_pages(n: int = 240, seed: int = 11) -> list[str]:
             f"<div>{text}</div>", f"<section><h2>{_words(rng, 2)}</h2><p>{text}</p></section>",
         ))
 
+    def layout() -> str:
+        """Names of elements around an article: plain ones, states, and words of other parts with a word behind."""
+        part = rng.choice(sorted(_MARKERS - {"hidden"}))
+        other = rng.choice(("history", "area", "page", "story", _words(rng, 1)))
+        return rng.choice((
+            "wrapper", "container", "page", "layout", "site", "content-area", "home", f"has-{part}", f"no-{part}", f"{part}-open",
+            f"right-{part}", f"{part}-{other}", f"content with-{part}", f"page {part}-{other}", f"content-area has-{part}",
+        ))
+
+    def around(inner: str) -> str:
+        return rng.choice((
+            f'<div class="{layout()}">{inner}</div>', f'<div id="{layout()}">{inner}</div>', f'<section class="{layout()}">{inner}</section>',
+            f'<form method="post" id="aspnetForm">{inner}</form>', f"<form action=/>{inner}</form>",
+        ))
+
     def article() -> str:
         tag, extra = rng.choice((
             ("article", ""), ("article", ""), ("article", named("post", "entry", "story")), ("main", ""),
+            ("article", f'class="post type-post {layout()} comments-{rng.choice(("open", "closed"))}"'), ("main", f"class={layout().split()[0]}"),
+            ("div", f'class="{layout()}"'), ("div", f'class="content {layout()}"'),
             ("div", named("content", "article", "post-content", "entry-content", "main-content", "story-body", "text", "article-body")),
         ))
         title = f"<h1>{_words(rng, rng.randint(1, 9))}{rng.choice(('', '.'))}</h1>"
@@ -397,6 +457,8 @@ def training_pages(n: int = 240, seed: int = 11) -> list[str]:
         for extra_part in some(advert, lambda: "", form if rng.random() < 0.3 else lambda: ""):
             parts.insert(rng.randint(0, len(parts)), extra_part)
         body = title + "".join(parts)
+        if rng.random() < 0.2:
+            body = around(body)
         if rng.random() < 0.25:
             body += sidebar()
         if rng.random() < 0.25:
@@ -409,9 +471,19 @@ def training_pages(n: int = 240, seed: int = 11) -> list[str]:
         after = some(comments, sidebar, footer, notice if rng.random() < 0.3 else lambda: "")
         rng.shuffle(before)
         middle = article() if rng.random() < 0.7 else f"<main>{article()}</main>" if rng.random() < 0.5 else f'<div {named("wrapper", "container", "page", "layout")}>{article()}{sidebar()}</div>'
+        loose = rng.random() < 0.2  # paragraphs directly in the body
+        if loose:
+            middle = "".join(paragraph() for _ in range(rng.choice((2, 3, 5, 9))))
+            middle = f"<h1>{_words(rng, 4)}</h1>{middle}" if rng.random() < 0.5 else middle
+        elif rng.random() < 0.25:
+            middle = around(middle)
+        inner = f"{''.join(before)}{middle}{''.join(after)}"
+        if not loose and rng.random() < 0.25:
+            inner = around(inner)
+        names = f' class="{layout()} {layout()}"' if rng.random() < 0.5 else ""
         pages.append(
-            f"<!DOCTYPE html><html><head><title>{_words(rng, 4)}</title><style>p{{}}</style></head><body>"
-            f"{''.join(before)}{middle}{''.join(after)}{'</body></html>' if rng.random() < 0.8 else ''}"
+            f"<!DOCTYPE html><html{names if rng.random() < 0.2 else ''}><head><title>{_words(rng, 4)}</title><style>p{{}}</style></head>"
+            f"<body{names}{' data-content=1' if loose else ''}>{inner}{'</body></html>' if rng.random() < 0.8 else ''}"
         )
     return pages
 

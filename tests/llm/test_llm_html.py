@@ -92,3 +92,48 @@ def test_frame(spark, model):
 ])
 def test_comments_scripts_and_rules(source, runs):
     assert [text.strip() for _, text in parse(source).runs] == runs
+
+
+TWO = "<p>The river rose in the night and took the bridge.</p><p>Nobody was hurt, the mayor said on Monday.</p>"
+TWO_TEXT = "The river rose in the night and took the bridge.\nNobody was hurt, the mayor said on Monday."
+AROUND = (
+    '<nav><ul><li><a href="/">Home</a></li><li><a href="/a">About us</a></li></ul></nav>{}'
+    '<div class="sidebar"><h3>More</h3><p>Read this too.</p></div><footer>&copy; The paper</footer>'
+)
+
+
+@pytest.mark.parametrize("neighbours", [False, True])
+@pytest.mark.parametrize("page", [
+    '<body class="right-sidebar"><article>{}</article></body>',
+    '<body class="nav-open"><div class="post">{}</div></body>',
+    '<body class="home has-header"><article>{}</article></body>',
+    '<body><div class="content-area has-sidebar">{}</div></body>',
+    '<body><article class="post comments-open">{}</article></body>',
+    '<body><article class="post-12 post type-post has-post-thumbnail category-notice tag-ads comments-closed">{}</article></body>',
+    '<body><main><div class="social-history">{}</div></main></body>',
+    '<body><form method="post" action="./a.aspx" id="aspnetForm"><article>{}</article></form></body>',
+    '<body><article><form method="post" id="form1">{}</form></article></body>',
+    '<body><div class="layout right-sidebar"><article>{}</article></div></body>',
+    "<body>{}</body>",
+])
+def test_class_words_of_outer_elements(model, page, neighbours):
+    body, end = page[: page.index(">") + 1], "</body>"
+    inner = page[len(body) : -len(end)].format(TWO)
+    source = f"<html><head><title>t</title></head>{body}{AROUND.format(inner) if neighbours else inner}{end}</html>"
+    assert model.main_text(source) == TWO_TEXT
+
+
+def test_long_comments_below_a_short_article(model):
+    comments = "".join(f'<li class="comment"><p>I have been there {i} times. What a place it was.</p></li>' for i in range(30))
+    source = f'<html><body><article><h1>Bridge</h1>{TWO}</article><section class="comments"><h2>Replies</h2><ol>{comments}</ol></section></body></html>'
+    assert model.main_text(source) == "Bridge\n" + TWO_TEXT
+
+
+def test_formulas_stay_in_their_sentence(model):
+    source = f"<article>{TWO}<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> hold here.</p></article>"
+    assert model.main_text(source) == TWO_TEXT + "\nLet x=2 hold here."
+
+
+def test_very_long_page(model):
+    text = "A long sentence of words. " * 40_000
+    assert model.main_text(f"<body><article><p>{text}</p></article></body>") == text.strip()
