@@ -6,18 +6,21 @@ query from the planes halfway between its own nearest codewords and those of the
 
     ((d1(i)^2 - d1min^2) / (2 |c1(i) - c1min|))^2 + ((d2(j)^2 - d2min^2) / (2 |c2(j) - c2min|))^2
 
-A vector within squared distance ``e`` of the query lies in a cell with a value of at most ``e``, so the cells up to
-``2 - 2 * 0.95`` hold every link; a target recall of 1 visits all of these. With a lower target the visit stops at the
-value that reached it, on average over the sampled queries with links to others, compared with all rows; if fewer than
-``LEAST_LINKED`` have any, the bound holds. Every candidate is verified by its cosine in doubles.
-
-Fitted on bounded samples, chosen by a hash of the id: codebooks on ``SAMPLE`` vectors, a stopping value on
-``TRIAL`` queries. Everything else covers all rows. Equal vectors are filed once and counted with their number.
-
-Neighbouring cells are compared together, as blocks of about ``BLOCK`` filed vectors by ``BLOCK`` queries; a query goes
-once to each block with a visited cell, and a crowded cell is spread over many tasks. Where vectors have no structure
-the bound excludes few cells, and the copies of a vector grow with the number of blocks. A block reports a number of
-links for each query and a spanning forest of its links, never its pairs.
+Multi-sequence traversal takes a query's cells in rising order of value, up to the value at which the target recall is
+reached, and every vector of these cells is verified by its cosine in doubles. The value is fitted on ``TRIAL`` sampled
+vectors: on planted copies of them, turned in random directions until their cosine is the least that links, and on the
+links that the sample has in all rows; the larger of the two values counts, so it needs no links in the sample. Links
+above the least cosine are nearer and found more often. A vector within squared distance ``e`` lies in a cell with a
+value of at most ``e``, so a target of 1 takes the bound ``2 - 2 * cosine`` and loses no link. There is no list of
+candidates with a fixed length.
+
+Fitted on bounded samples, chosen by a hash of the id: codebooks on ``SAMPLE`` vectors, the last value on ``TRIAL``
+vectors. Everything else covers all rows. Equal vectors are filed once and counted with their number.
+
+Codewords are numbered along a tree that halves them by their main direction, and the occupied part of the grid is cut
+into boxes of about ``BLOCK`` filed vectors. A query goes once to each box with a visited cell, so the copies of a query
+follow the geometry around it. A crowded cell is spread over many tasks, ``PART`` filed vectors by ``PART`` queries. A
+task reports a number of links for each query and a spanning forest of its links, never its pairs.
 
 Vectors that are null, zero, of another length than most, or that hold null or non-finite components link with nothing.
 Rows with a null id link with nothing and get a null component. Rows that repeat an id share its links.
@@ -39,10 +42,12 @@ from shelfspark.llm.graph import connected_components
 
 COSINE = 0.95
 SAMPLE, TRIAL = 20_000, 2048
-TARGET_RECALL = 1.0
-LEAST_LINKED = 200
-#: Filed vectors and queries of a block, and the queries of it that are compared at a time.
-BLOCK, CHUNK = 4096, 1024
+#: Share of the links at exactly the least cosine that the traversal is to find; of nearer ones it finds more.
+TARGET_RECALL = 0.99
+#: Planted copies of each vector of the trial.
+COPIES = 16
+#: Filed vectors of a block; filed vectors and queries of a task; queries of it that are compared at a time.
+BLOCK, PART, CHUNK = 1024, 4096, 1024
 MAX_CODEWORDS = 1024
 _STEPS = 64
 #: Added to the bound for rounding; codewords closer than ``_CLOSE`` take the bound of the triangle inequality.
@@ -75,6 +80,20 @@ def fit_codebook(x: np.ndarray, size: int, rounds: int = 12, seed: int = 1) -> n
     return words
 
 
+def along_tree(words: np.ndarray) -> np.ndarray:
+    """An order of codewords in which neighbours are near: halved by their main direction, again and again."""
+    out, stack = [], [np.arange(len(words))]
+    while stack:
+        some = stack.pop()
+        if len(some) < 2:
+            out.extend(some)
+            continue
+        x = words[some] - words[some].mean(0)
+        some = some[np.argsort(x @ np.linalg.svd(x, full_matrices=False)[2][0], kind="stable")]
+        stack += [some[len(some) // 2 :], some[: len(some) // 2]]
+    return words[np.array(out, int)]
+
+
 class MultiIndex:
     def __init__(self, first: np.ndarray, second: np.ndarray):
         self.books = (first, second)
@@ -111,12 +130,14 @@ class MultiIndex:
             if j + 1 < len(b) and (i == 0 or done[i - 1] > j + 1):
                 heapq.heappush(heap, (a[i] + b[j + 1], i, j + 1))
 
-    def visited(self, first: np.ndarray, second: np.ndarray, limit: float) -> np.ndarray:
-        """The cells that a traversal up to ``limit`` yields, row by row of the grid and not by value."""
-        one, two = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-        ends = np.searchsorted(second[two], limit - first[one], side="right")
-        n = len(self.books[1])
-        return np.concatenate([i * n + two[:end] for i, end in zip(one, ends, strict=True)])
+    def visited(self, first: np.ndarray, second: np.ndarray, limit: float) -> list[int]:
+        """The cells of a traversal that ends at ``limit``, nearest first."""
+        out = []
+        for value, cell in self.traverse(first, second):
+            if value > limit:
+                break
+            out.append(cell)
+        return out
 
 
 def _sample(vectors: DataFrame, n: int) -> pd.DataFrame:
@@ -128,12 +149,27 @@ def fit_index(vectors: DataFrame, n_rows: int, dims: int, sample: int = SAMPLE)
     x = unit_rows(_sample(vectors, sample)["embedding"])
     size = int(np.clip(round((n_rows / 16) ** 0.5), 1, min(MAX_CODEWORDS, len(x))))
     half = max(1, dims // 2)
-    return MultiIndex(fit_codebook(x[:, :half], size), fit_codebook(x[:, half:], size, seed=2))
+    first, second = fit_codebook(x[:, :half], size), fit_codebook(x[:, half:], size, seed=2)
+    return MultiIndex(along_tree(first), along_tree(second))
+
+
+def planted_values(index: MultiIndex, x: np.ndarray, cosine: float, copies: int = COPIES, seed: int = 3) -> np.ndarray:
+    """Of copies of ``x`` at exactly ``cosine``, in random directions: the values of their cells, rising."""
+    rng, out = np.random.default_rng(seed), []
+    first, second = index.costs(x)
+    for _ in range(copies):
+        turn = rng.normal(size=x.shape)
+        turn -= (turn * x).sum(1, keepdims=True) * x
+        length = np.linalg.norm(turn, axis=1, keepdims=True)
+        y = cosine * x + (1 - cosine**2) ** 0.5 * turn / np.where(length > 0, length, 1)
+        i, j = np.divmod(index.cells(y), len(index.books[1]))
+        out.append(first[np.arange(len(x)), i] + second[np.arange(len(x)), j])
+    return np.sort(np.concatenate(out))
 
 
 def fit_limit(vectors: DataFrame, index: MultiIndex, cosine: float, target: float, trial: int = TRIAL) -> float:
-    """The value up to which cells are visited: the bound, or below a target of 1 the value within which the mean
-    recall of sampled queries that have links, against all other rows, reaches ``target``."""
+    """The value up to which cells are visited: the bound, or below a target of 1 the value within which the recall of
+    planted copies, and the mean recall of sampled queries that have links against all other rows, reach ``target``."""
     full = 2 - 2 * cosine + _SLACK
     if target >= 1:
         return full
@@ -169,10 +205,12 @@ def fit_limit(vectors: DataFrame, index: MultiIndex, cosine: float, target: floa
     n = np.zeros((len(queries), _STEPS + 1))
     n[rows["q"].to_numpy(int), rows["step"].to_numpy(int)] = rows["n"]
     n = n[n.any(1)]
-    if len(n) < LEAST_LINKED:
-        return full
-    recall = (n.cumsum(1) / n.sum(1, keepdims=True)).mean(0)
-    return float(np.flatnonzero(recall >= target)[0] / _STEPS * full)
+    values = planted_values(index, queries, cosine)
+    limit = values[min(len(values) - 1, int(np.ceil(target * len(values))))]
+    if len(n):
+        recall = (n.cumsum(1) / n.sum(1, keepdims=True)).mean(0)
+        limit = max(limit, np.flatnonzero(recall >= target)[0] / _STEPS * full)
+    return float(min(limit, full))
 
 
 def filed(vectors: DataFrame, index: MultiIndex) -> DataFrame:
@@ -186,15 +224,23 @@ def filed(vectors: DataFrame, index: MultiIndex) -> DataFrame:
     return vectors.withColumn("cell", cell("embedding"))
 
 
-def blocks_of(cells: np.ndarray, counts: np.ndarray, size: int, n_cells: int) -> np.ndarray:
-    """For each cell of the grid its block, -1 if it is empty: runs of occupied cells of together at most ``size``
-    vectors, or a single cell."""
-    out, block, held = np.full(n_cells, -1, np.int32), 0, 0
-    for k in np.argsort(cells):
-        if held and held + counts[k] > size:
-            block, held = block + 1, 0
-        out[cells[k]] = block
-        held += counts[k]
+def blocks_of(cells: np.ndarray, counts: np.ndarray, size: int, shape: tuple[int, int]) -> np.ndarray:
+    """For each cell of the grid its block, -1 if it is empty. The occupied cells are halved by number of vectors along
+    the side of the grid on which they spread further, until a box holds at most ``size`` vectors or one cell."""
+    out, block, stack = np.full(shape[0] * shape[1], -1, np.int32), 0, [np.arange(len(cells))]
+    sides = np.divmod(cells, shape[1])
+    while stack:
+        box = stack.pop()
+        if counts[box].sum() <= size or len(box) == 1:
+            out[cells[box]] = block
+            block += len(box) > 0
+            continue
+        side = sides[int(np.argmax([np.ptp(sides[k][box]) / shape[k] for k in (0, 1)]))][box]
+        rising = np.argsort(side, kind="stable")
+        ends = np.flatnonzero(np.diff(side[rising]))
+        held = counts[box[rising]].cumsum()
+        at = ends[np.abs(held[ends] - held[-1] / 2).argmin()] + 1
+        stack += [box[rising[at:]], box[rising[:at]]]
     return out
 
 
@@ -235,8 +281,8 @@ def _forest(link: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np
 
 def block_links(members: DataFrame, queries: DataFrame, cosine: float) -> DataFrame:
     """``vec_id, n_links, least``: for each block and vector in it, links to others and the least id reached."""
-    m_parts = members.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("ms"))
-    q_parts = queries.groupBy("block").agg(F.ceil(F.count("*") / BLOCK).alias("qs"))
+    m_parts = members.groupBy("block").agg(F.ceil(F.count("*") / PART).alias("ms"))
+    q_parts = queries.groupBy("block").agg(F.ceil(F.count("*") / PART).alias("qs"))
     parts = m_parts.join(q_parts, "block")
     mine = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -312,8 +358,8 @@ def near_duplicates(
     limit = fit_limit(distinct, index, cosine, target_recall)
     members = stored(spark, filed(distinct, index), "filed")
     counts = members.groupBy("cell").count().toPandas()  # at most MAX_CODEWORDS**2 rows
-    n_cells = len(index.books[0]) * len(index.books[1])
-    block_of = blocks_of(counts["cell"].to_numpy(int), counts["count"].to_numpy(int), BLOCK, n_cells)
+    shape = len(index.books[0]), len(index.books[1])
+    block_of = blocks_of(counts["cell"].to_numpy(int), counts["count"].to_numpy(int), BLOCK, shape)
     shared = spark.sparkContext.broadcast(block_of)
 
     @F.pandas_udf("int")
