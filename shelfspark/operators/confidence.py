@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,7 @@ from shelfspark.names import (
     CONFIDENCE_LEVEL,
     GT_OUT,
     HL_ORIG_PRED,
+    LOAD_DATE,
     LT_OUT,
     OOS,
     ORIG_PRED_LOW,
@@ -51,6 +52,22 @@ def confidence_metrics(df: DataFrame, t1: float = 0.4, t2: float = 0.4, close_la
 
     There are at most ten bins a side, so each is one more conditional count and no join is needed.
     """
+    return _statistics(confidence_counts(df, (), t1, t2, close_last), t1, t2, close_last)
+
+
+def confidence_metrics_of(
+    counts: DataFrame, t1: float = 0.4, t2: float = 0.4, close_last: bool = False
+) -> DataFrame:
+    """The same row from the counts of any parts, taken with the same cut-offs."""
+    names = [c for c in counts.columns if c.startswith(("n_", "sum_"))]
+    row = counts.agg(*[(F.sum(c) if c.startswith("sum_") else F.coalesce(F.sum(c), F.lit(0))).alias(c) for c in names])
+    return _statistics(row, t1, t2, close_last)
+
+
+def confidence_counts(
+    df: DataFrame, by: Sequence[str] = (LOAD_DATE,), t1: float = 0.4, t2: float = 0.4, close_last: bool = False
+) -> DataFrame:
+    """What ``confidence_metrics`` needs of every part of the rows (load date, group): counts and sums that add up."""
     sides = _sides(t1, t2, close_last)
     rest = f"{BINARY_PRED} < {double(t1)}"
     counts = {"n_oos": "count(*)", "n_hl": f"count_if({rest})"}
@@ -62,7 +79,11 @@ def confidence_metrics(df: DataFrame, t1: float = 0.4, t2: float = 0.4, close_la
         counts[f"n_{model}"] = f"count_if({rest} AND {part})"
         for side in ("tp", "tn"):
             counts[f"n_{model}_{side}"] = f"count_if({part} AND {sides[f'hl_{side}'][0]})"
-    row = df.agg(*[F.expr(sql).alias(name) for name, sql in counts.items()])
+    return df.groupBy(*by).agg(*[F.expr(sql).alias(name) for name, sql in counts.items()])
+
+
+def _statistics(row: DataFrame, t1: float, t2: float, close_last: bool) -> DataFrame:
+    sides = _sides(t1, t2, close_last)
 
     def share(n: str, of: str) -> str:
         """Percent with two decimals, 0 when there is nothing to divide by."""

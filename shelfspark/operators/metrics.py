@@ -6,6 +6,8 @@ arithmetic on that one row, however many counts and sums it holds.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from shelfspark.names import (
     CURDAY_QTY,
     IP_QTY,
     KEYS,
+    LOAD_DATE,
     OOS,
     ORIG_PRED_HIGH,
     ORIG_PRED_LOW,
@@ -106,7 +109,8 @@ def class_ratio(counts: DataFrame) -> DataFrame:
     )
 
 
-def _business_counts(actual_oos: str) -> list[Column]:
+def _business_counts(actual_oos: str, whole: bool = True) -> list[Column]:
+    """Counts and retail sums; the sums in whole units, or as they are so that they can be added up."""
     under, over = f"{REV_QTY} <= {CURDAY_QTY}", f"{REV_QTY} > {CURDAY_QTY}"
     inside = f"{ORIG_PRED_LOW} <= {REV_QTY} AND {ORIG_PRED_HIGH} >= {REV_QTY}"
     missing = f"{actual_oos} = 1"
@@ -114,8 +118,8 @@ def _business_counts(actual_oos: str) -> list[Column]:
     book_out, book_in = f"{IP_QTY} <= 0", f"{IP_QTY} > 0"
 
     def retail(name: str, *conds: str) -> Column:
-        total = f"sum({TOTAL_RETAIL}) FILTER (WHERE {' AND '.join(conds)})"
-        return F.expr(f"CAST(coalesce({total}, 0) AS BIGINT)").alias(name)
+        total = f"coalesce(sum({TOTAL_RETAIL}) FILTER (WHERE {' AND '.join(conds)}), 0)"
+        return F.expr(f"CAST({total} AS BIGINT)" if whole else total).alias(name)
 
     return [
         F.expr("count(*)").alias("_rows"),
@@ -194,6 +198,34 @@ def overall_metrics(df: DataFrame, actual_oos: str = TARGET_OOS, empty_default:
     return _document_order(counted, OVERALL_DOCUMENT, empty_default)
 
 
+def audit_counts(df: DataFrame, by: Sequence[str] = (LOAD_DATE,), actual_oos: str = ACTUAL_OOS) -> DataFrame:
+    """What ``audit_metrics`` needs of every part of the rows (load date, group): counts and sums that add up."""
+    return df.groupBy(*by).agg(*flag_confusion(actual_oos, OOS), *_business_counts(actual_oos, whole=False))
+
+
+def overall_counts(df: DataFrame, by: Sequence[str] = (LOAD_DATE,), actual_oos: str = TARGET_OOS) -> DataFrame:
+    """What ``overall_metrics`` needs of every part of the rows."""
+    return df.groupBy(*by).agg(*stock_confusion(), *_business_counts(actual_oos, whole=False))
+
+
+def _added(counts: DataFrame) -> DataFrame:
+    names = [*CONFUSION, *[c for c in counts.columns if c.startswith("_")]]
+    return counts.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in _REVENUE],
+    ).withColumns(rate_columns())
+
+
+def audit_metrics_of(counts: DataFrame, empty_default: float = 0.0) -> DataFrame:
+    """The document of ``audit_metrics`` from the counts of any parts."""
+    return _document_order(_added(counts), AUDIT_DOCUMENT, empty_default)
+
+
+def overall_metrics_of(counts: DataFrame, empty_default: float = 100.0) -> DataFrame:
+    """The document of ``overall_metrics`` from the counts of any parts."""
+    return _document_order(_added(counts), OVERALL_DOCUMENT, empty_default)
+
+
 def _document_order(counted: DataFrame, document: dict[str, str], empty: float) -> DataFrame:
     full = counted.select("*", *_understock(empty), *_overstock(empty), *_book())
     return full.select(*document.values())

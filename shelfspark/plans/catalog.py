@@ -30,6 +30,7 @@ DAY = "2001-12-31"
 TRAIN_START = "1996-03-01"
 LAST_TRAIN = "1997-06-01"
 AS_OF = "2001-06-30"
+COUNTS_FROM = "1995-06-01"
 ELIGIBLE_START = "1995-03-01"
 GROUPS = ["0", "1", "2", "3"]
 OOS_GRID, HL_GRID = "0.3,0.4,0.5,0.6", "0.5,0.2,0.4,0.35"
@@ -989,3 +990,46 @@ def tuning_run(spark, sf):
         spark, _stored_steps(spark, sf), scratch_path(spark, "tuned"), OOS_GRID, HL_GRID, _stored_weights(spark)
     )
     return best.withColumn("score", round_n("score", 6))
+
+
+# --- documents from stored counts -----------------------------------------------------------------------------
+
+
+def _stored_counts(spark: SparkSession, counts: DataFrame, name: str) -> str:
+    """Counts of the earlier and of the later load dates, each by a run of its own, the later one twice."""
+    base = scratch_path(spark, name)
+    days = sorted(r[0] for r in counts.select(N.LOAD_DATE).distinct().collect())  # one for each load
+    early, late = [d for d in days if d < COUNTS_FROM], [d for d in days if d >= COUNTS_FROM]
+    for run in (early, late, late):
+        if run:
+            writers.write_counts(counts.where(F.col(N.LOAD_DATE).between(run[0], run[-1])), base, run)
+    return base
+
+
+@query
+def overall_metrics_loads(spark, sf):
+    """The document of all load dates from stored counts."""
+    counts = metrics.overall_counts(_predicted(spark, sf), (N.LOAD_DATE, N.LOCATION_GROUP))
+    return metrics.overall_metrics_of(readers.scan_counts(spark, _stored_counts(spark, counts, "overall-counts")))
+
+
+@query
+def overall_metrics_recent(spark, sf):
+    """The same from one load date on: earlier counts are not read."""
+    counts = metrics.overall_counts(_predicted(spark, sf), (N.LOAD_DATE, N.LOCATION_GROUP))
+    base = _stored_counts(spark, counts, "recent-counts")
+    return metrics.overall_metrics_of(readers.scan_counts(spark, base, first=COUNTS_FROM))
+
+
+@query
+def audit_metrics_loads(spark, sf):
+    rows = _audited(spark, sf).withColumn(N.LOAD_DATE, F.date_format(F.trunc(N.DATE, "month"), "yyyy-MM-dd"))
+    base = _stored_counts(spark, metrics.audit_counts(rows), "audit-counts")
+    return metrics.audit_metrics_of(readers.scan_counts(spark, base))
+
+
+@query
+def confidence_metrics_recent(spark, sf):
+    counts = confidence.confidence_counts(_predicted(spark, sf), (N.LOAD_DATE, N.LOCATION_GROUP), T1, T2)
+    base = _stored_counts(spark, counts, "confidence-counts")
+    return _confidence_long(confidence.confidence_metrics_of(readers.scan_counts(spark, base, first=COUNTS_FROM), T1, T2))

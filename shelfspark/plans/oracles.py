@@ -8,6 +8,7 @@ from __future__ import annotations
 from shelfspark import names as N
 from shelfspark.plans.catalog import (
     AS_OF,
+    COUNTS_FROM,
     DAY,
     ELIGIBLE_START,
     HL_GRID,
@@ -603,3 +604,8 @@ ORACLES["audit_report"] = ORACLES["audit_metrics"]
 ORACLES["threshold_search_unique_keys"] = ORACLES["threshold_search"]
 ORACLES["switch_run"] = ORACLES["champion_challenger"]
 ORACLES["tuning_run"] = ORACLES["threshold_search"]
+RECENT = f"WITH {PANEL}, recent AS (SELECT * FROM panel WHERE load_date >= '{COUNTS_FROM}'), {predicted('recent')}"
+ORACLES["overall_metrics_loads"] = ORACLES["overall_metrics"]
+ORACLES["overall_metrics_recent"] = overall(RECENT, "pred")
+ORACLES["audit_metrics_loads"] = ORACLES["audit_metrics"]
+ORACLES["confidence_metrics_recent"] = f"{RECENT} {confidence_body()}"

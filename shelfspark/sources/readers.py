@@ -77,6 +77,13 @@ def scan_inference_features(
     return in_groups(read_parquet(spark, base), groups).where(F.col(LOAD_DATE) == load_date)
 
 
+def scan_counts(spark: SparkSession, base: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Stored counts of the load dates from ``first`` to ``last``; folders of other dates are not opened."""
+    counts = read_parquet(spark, base)
+    counts = counts if first is None else counts.where(F.col(LOAD_DATE) >= first)
+    return counts if last is None else counts.where(F.col(LOAD_DATE) <= last)
+
+
 def scan_test_split(spark: SparkSession, base: str, groups: Sequence[str] | None = None) -> DataFrame:
     """Held-out rows over all load dates."""
     return in_groups(read_parquet(spark, base), groups).where(F.col(DATA_SPLIT) == "test").drop(DATA_SPLIT)

@@ -74,6 +74,13 @@ def write_final_parquet(df: DataFrame, base: str, load_date: str, columns: Seque
     df.select(*columns).write.mode("overwrite").parquet(f"{base}/LOAD_DATE={load_date}/final_prediction")
 
 
+def write_counts(counts: DataFrame, base: str, load_dates: Sequence[str]) -> None:
+    """Counts of whole load dates as ``base/load_date=d``. The run replaces the dates it stands for, those that have no
+    rows any more included; the counts of other dates stay as they are."""
+    with Publication(counts.sparkSession, base, load_dates) as run:
+        balanced(counts, [LOAD_DATE]).write.partitionBy(LOAD_DATE).parquet(run.output("", LOAD_DATE))
+
+
 def write_best_prediction(df: DataFrame, base: str) -> None:
     _csv(df, f"{base}/final_prediction", [], balance=False)
 
