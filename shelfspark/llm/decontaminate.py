@@ -8,11 +8,12 @@ each match is mapped to the words it covers and to characters of the original te
 Normalising works on UTF-8 bytes (every byte of a non-ASCII character is a word byte), which a ``latin-1`` string
 carries one to one.
 
-Size: the windows are dealt into blocks of about ``BLOCK_BYTES`` of pattern text by a hash, so what is
+Size: the windows are dealt into blocks of about ``BLOCK_BYTES`` of pattern text and item ids by a hash, so what is
 broadcast at a time, and the automaton a worker holds, has a bound (some 60 bytes for each byte of pattern). Documents
 are read once: a benchmark within one block, some 30,000 windows, takes one scan of each; for a larger one a task
 gathers documents of about ``PIECE_BYTES``, passes them through the automata of all blocks in turn and merges the spans
-of each row.
+of each row. The report keeps the number of words, the hit words and the items of a row, each once, and no span; the
+spans name the items of their windows, so a window of very many items is long there wherever it occurs.
 
 Nulls: a null or empty text has no words, no hits and no items. A null item text has no windows; an item with a null
 id is left out. Repeated items with one id count once. Columns other than the id and the text are not used.
@@ -25,7 +26,6 @@ from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,7 +139,8 @@ def contaminated_spans(
 
 def window_blocks(windows: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
     """The windows in blocks of bounded size; one of them if all fit."""
-    total = windows.agg(F.coalesce(F.sum(F.length("pattern").cast("long")), F.lit(0))).first()[0]
+    ids = F.aggregate("items", F.lit(0).cast("long"), lambda n, item: n + F.octet_length(item))
+    total = windows.agg(F.coalesce(F.sum(F.length("pattern") + ids), F.lit(0))).first()[0]
     if total <= block_bytes:
         return [windows]
     # Hashing deals patterns evenly; a block is sized for two thirds of the bound.
@@ -251,25 +252,57 @@ def _scan(docs: DataFrame, windows: list[DataFrame]) -> DataFrame:
     return docs.mapInArrow(scan, f"doc_id {id_type}, n_words long, spans {SPANS}")
 
 
-def contamination_report(docs: DataFrame, items: DataFrame, **named) -> DataFrame:
-    """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` and the ``spans`` behind them.
+def contamination_report(
+    docs: DataFrame,
+    items: DataFrame,
+    doc_id: str = "doc_id",
+    doc_text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``; ``contaminated_spans`` has the places.
 
     ``n_hit`` counts words inside any occurrence of a window; ``items_sha256`` is that of the ids of the items with
-    occurring windows, sorted as strings and joined by commas.
+    occurring windows, sorted as strings and joined by commas. A document row stays one row, repeated rows included.
     """
-    spans = contaminated_spans(docs, items, **named)
-
-    @F.pandas_udf("n_hit long, n_items long, items_sha256 string")
-    def digest(column: pd.Series) -> pd.DataFrame:
-        out = []
-        for found in column:
-            hit, held = set(), set()
-            for s in found if found is not None else ():
-                hit.update(range(s["first_word"], s["first_word"] + s["n_words"]))
-                held.update(s["items"])
-            out.append((len(hit), len(held), hashlib.sha256(",".join(sorted(held)).encode()).hexdigest()))
-        return pd.DataFrame(out, columns=["n_hit", "n_items", "items_sha256"])
-
-    return spans.withColumn("d", digest("spans")).select(
-        "doc_id", "n_words", "d.n_hit", "d.n_items", "d.items_sha256", (F.col("d.n_hit") > 0).alias("contaminated"), "spans"
-    )
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text"))
+    blocks = _shared(window_blocks(window_table(items, item_id, item_text, window), block_bytes), "n_words", "items")
+    id_type = named.schema["doc_id"].dataType.simpleString()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _pieces(batches, "text", len(blocks)):
+            texts = [batch["text"].to_pylist() for batch in piece]
+            counts = [[0] * len(t) for t in texts]
+            found: dict[tuple[int, int], tuple[set[int], set[str]]] = {}  # rows with matches: hit words, items
+
+            def look(automaton, n_words, items, texts=texts, counts=counts, found=found):
+                for b, t in enumerate(texts):
+                    for row, text in enumerate(t):
+                        counts[b][row], which, first = find_spans(text, automaton, n_words)
+                        if not which:
+                            continue
+                        hit, held = found.setdefault((b, row), (set(), set()))
+                        for f, n in zip(first, n_words[which].tolist(), strict=True):
+                            hit.update(range(f, f + n))
+                        for w in set(which):
+                            held.update(items[w])
+
+            _each_block(blocks, look)
+            for b, batch in enumerate(piece):
+                rows = [found.get((b, row), ((), ())) for row in range(batch.num_rows)]
+                digests = [hashlib.sha256(",".join(sorted(held)).encode()).hexdigest() for _, held in rows]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"],
+                        pa.array(counts[b], pa.int64()),
+                        pa.array([len(hit) for hit, _ in rows], pa.int64()),
+                        pa.array([len(held) for _, held in rows], pa.int64()),
+                        pa.array(digests, pa.string()),
+                    ],
+                    ["doc_id", "n_words", "n_hit", "n_items", "items_sha256"],
+                )
+
+    report = named.mapInArrow(scan, f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string")
+    return report.withColumn("contaminated", F.col("n_hit") > 0)

@@ -109,3 +109,23 @@ def test_empty_tables(spark):
     assert contamination_report(docs, items.limit(0)).where("contaminated").count() == 0
     kept = clean_documents(docs, items.limit(0))
     assert kept.count() == len(ROWS) and kept.columns == docs.columns
+
+
+def test_a_window_of_very_many_items_is_kept_once_a_row(spark):
+    ids = [f"item-{i:05d}" for i in range(20_000)]
+    items = spark.createDataFrame([(i, "one two three") for i in ids], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "one two three " * 300), (2, "one two"), (3, "One, two; three!")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in contamination_report(docs, items).collect()}
+    digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
+    assert [(got[k]["n_hit"], got[k]["n_items"]) for k in (1, 2, 3)] == [(900, 20_000), (0, 0), (3, 20_000)]
+    assert got[1]["items_sha256"] == got[3]["items_sha256"] == digest
+    assert got[1]["contaminated"] and not got[2]["contaminated"]
+
+
+def test_a_very_long_text(spark):
+    text = "word " * 500_000 + "alpha beta gamma"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([("x", "alpha beta gamma")], "item_id string, text string")
+    row = contamination_report(docs, items).first()
+    assert (row["n_words"], row["n_hit"], row["n_items"]) == (500_003, 3, 1)
+    assert contaminated_spans(docs, items).first()["spans"][0]["end"] == len(text)
