@@ -78,7 +78,7 @@ def scan_inference_features(
 
 
 def scan_counts(spark: SparkSession, base: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Stored counts of the load dates from ``first`` to ``last``; folders of other dates are not opened."""
+    """Stored counts of the load dates from ``first`` to ``last``; rows of other dates are not read."""
     counts = read_parquet(spark, base)
     counts = counts if first is None else counts.where(F.col(LOAD_DATE) >= first)
     return counts if last is None else counts.where(F.col(LOAD_DATE) <= last)
