@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.functions import nan_to_null
 from shelfspark.names import BINARY_PRED, HL_ORIG_PRED, HS_PRED, LS_RATIO
 from shelfspark.operators import trees
 from shelfspark.operators.cascade import cast_object_features, is_higher_stock, is_lower_stock, is_rest
@@ -72,8 +73,12 @@ class TreeTableScorer(Scorer):
         return cls(trees.sorted_nodes(nodes), base, sigmoid)
 
     def add(self, df: DataFrame, out: str, active: Column | None = None) -> DataFrame:
+        """The score is generated, as the one element of an array: a filter on a plain column would be pushed below it
+        as text, with the whole ensemble, and whatever its features are derived from, once for each mention."""
         score = trees.ensemble(self.pieces, self.base, self.sigmoid)
-        return df.withColumn(out, score if active is None else F.when(active, score))
+        ready = [nan_to_null(F.col(f"`{c}`").cast("double")).alias(trees.prepared(c)) for c in self.features]
+        made = df.select("*", *ready).select("*", F.explode(F.array(score if active is None else F.when(active, score))).alias("_score"))
+        return made.withColumn(out, F.col("_score")).drop("_score", *map(trees.prepared, self.features))
 
 
 def score_model(df: DataFrame, scorer: Scorer, out: str, active: Column | None = None) -> DataFrame:

@@ -6,7 +6,8 @@ pieces. No expression nests deeper than a piece, however deep the tree. The piec
 fold adds up: Spark generates no code for a fold, so a model of any size meets neither the size limit of a method nor
 the time to compile one, and a fold under a condition that does not hold costs nothing.
 
-The model passes the driver tree by tree; what is kept is its text.
+The model passes the driver tree by tree; what is kept is its text. It reads each feature from a column prepared once for
+a row, as a double that is never NaN.
 """
 
 from __future__ import annotations
@@ -33,18 +34,21 @@ def number(value: object) -> str:
     return f"{value!r}D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
 
 
+def prepared(feature: str) -> str:
+    """The column the pieces read a feature from: a double, or NULL where it is missing or NaN."""
+    return f"_tree_{feature}"
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 def _goes_left(node: Node) -> tuple[str, bool]:
-    """A condition, and whether it being true means left. Neither NULL nor NaN makes it true, so a missing value
-    takes the other way, which is the default one."""
-    name, at = _quoted(str(node["feature"])), number(node["threshold"])
+    """A condition, and whether it being true means left. NULL does not make it true, so a missing value takes the
+    other way, which is the default one."""
+    name, at = _quoted(prepared(str(node["feature"]))), number(node["threshold"])
     default_left = _missing(node.get("default_left")) or bool(node.get("default_left"))
-    if default_left:
-        return f"{name} >= {at} AND NOT isnan({name})", False
-    return f"{name} < {at}", True
+    return (f"{name} >= {at}", False) if default_left else (f"{name} < {at}", True)
 
 
 def tree_pieces(nodes: Sequence[Node], most: int = PIECE_NODES) -> list[str]:

@@ -132,3 +132,13 @@ def test_a_skipped_model_is_not_evaluated(spark):
     assert {r[N.BINARY_PRED] for r in scorers.score_cascade(df, models_).collect()} == {0.9}
     with pytest.raises(Exception, match="evaluated"):
         scorers.score_cascade(df, models_ | {"step_1": scorers.LinearScorer({}, 0.1)}).collect()
+
+
+def test_a_filter_does_not_repeat_a_model(spark):
+    """One evaluation of each model in the plan, and features that are derived once: a filter on the scores stays above."""
+    df = scored(spark, some_scores(50)).drop("binary_pred", "hl_orig_pred", "ls_ratio", "hs_pred")
+    derived = df.withColumn(N.IP_QTY, F.length("sku") * 5 % 9).withColumn("shelf_count", F.length("location") * 3 % 7)
+    out = cascade.cascade_predict(scorers.score_cascade(derived, models.tree_models(), 0.4, 0.4))
+    text = plan(out)
+    assert text.count("aggregate(array(") == 4 and text.count("length(sku") == 1
+    assert out.columns == cascade.cascade_predict(derived.withColumns({c: F.lit(0.5) for c in (N.BINARY_PRED, N.HL_ORIG_PRED, N.LS_RATIO, N.HS_PRED)})).columns
