@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.names import DATA_SPLIT, DATE, KEYS, LOAD_DATE, LOCATION_GROUP, SERIES
+from shelfspark.sources.scratch import scratch_path
 
 # Bookkeeping columns that are dropped before joining.
 FEATURE_BOOKKEEPING = [LOCATION_GROUP, LOAD_DATE]
@@ -20,6 +21,9 @@ TRAIN_VALIDATION_FRACTION = 0.9
 MIN_ROWS_HISTORICAL = 270
 MIN_ROWS_INCREMENTAL = 10
 
+# Rows of one series that are joined with its cuts in one place.
+PART_ROWS = 250_000
+
 
 def drop_partition_columns(df: DataFrame, columns: Sequence[str] = FEATURE_BOOKKEEPING) -> DataFrame:
     return df.drop(*columns)
@@ -88,8 +92,11 @@ def time_split(
 
     No series is ever sorted as a whole. A series needs only the two order values at which its label
     changes. Those come from row counts per (series, date), then, where a cut falls inside one date, from row
-    counts per tie value of just that date. The table of cuts has one row per series and is joined back: the
-    join either broadcasts it (when it is small enough) or lets AQE split the rows of a hot series.
+    counts per tie value of just that date. The cuts, one row per series, are stored below the scratch folder and joined
+    back: Spark then knows their size beforehand, so a small table of cuts is broadcast and no row is moved. Where it is
+    too large for that, rows of a series of more than ``PART_ROWS`` are spread over as many parts, with the cuts repeated
+    for each, so no task reads a whole hot series; the list of such series is broadcast, with at most one row for every
+    ``PART_ROWS`` rows.
     """
     if short not in ("drop", "train"):
         raise ValueError("short must be 'drop' or 'train'")
@@ -101,7 +108,7 @@ def time_split(
     packed = {"_s": F.struct(*series), "_o0": F.struct(date)} | ({"_o1": F.struct(*ties)} if ties else {})
     rows = rows.withColumns(packed)
     key, order = ["_s"], [c for c in packed if c != "_s"]
-    cuts = _first_cuts(rows, key, order[0], train_test_frac, train_validation_frac)
+    cuts = _stored(_first_cuts(rows, key, order[0], train_test_frac, train_validation_frac), "first-cuts")
     cuts = cuts.where(F.col("_n") >= min_rows) if short == "drop" else cuts
     if ties:
         cuts = _refine(rows, cuts, key, order[:1], order[1])
@@ -110,6 +117,8 @@ def time_split(
         F.max("_n").alias("_n"),
         *[F.max(F.when(F.col("_mark") == m, F.col(f"_cut_{i}"))).alias(f"_{m}_{i}") for m in _MARKS for i in levels],
     )
+    parts = F.greatest(F.ceil(F.col("_n") / F.lit(PART_ROWS)), F.lit(1).cast("long"))
+    wide = _stored(wide.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))), "cuts")
 
     def upto_cut(mark: str) -> Column:
         """(date, *ties) <= cut; a level at which the cut is NULL was not split and is taken whole."""
@@ -124,7 +133,16 @@ def time_split(
     if short == "train":
         label = F.when(F.col("_n") < min_rows, "train").otherwise(label)
     helper = [c for c in wide.columns if c.startswith("_")]
-    return rows.join(wide, key, "inner").withColumn(DATA_SPLIT, label).drop(*helper, *packed)
+    hot = wide.where(F.col("_n") > PART_ROWS).groupBy(*key).agg(F.count(F.lit(1)).alias("_of"))
+    place = F.pmod(F.xxhash64(*order), F.coalesce(F.col("_of"), F.lit(1).cast("long")))
+    placed = rows.join(F.broadcast(hot), key, "left").withColumn("_part", place)
+    return placed.join(wide, [*key, "_part"], "inner").withColumn(DATA_SPLIT, label).drop(*helper, *packed, "_of")
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 _MARKS = ("tr", "tv")
