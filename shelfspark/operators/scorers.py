@@ -14,6 +14,7 @@ from shelfspark.functions import nan_to_null
 from shelfspark.names import BINARY_PRED, HL_ORIG_PRED, HS_PRED, LS_RATIO
 from shelfspark.operators import trees
 from shelfspark.operators.cascade import cast_object_features, is_higher_stock, is_lower_stock, is_rest
+from shelfspark.sources.scratch import delete_path, scratch_path
 
 
 class Scorer:
@@ -113,10 +114,17 @@ def _assembled(df: DataFrame, features: list[str], vector: str) -> DataFrame:
 
 
 def fit_ml_model(train: DataFrame, estimator, features: list[str]):
-    """A ``pyspark.ml`` model fitted on the rows that have a label and all features."""
+    """A ``pyspark.ml`` model fitted on the rows that have a label and all features.
+
+    An estimator reads its rows several times, so they are stored first, as these columns alone.
+    """
     label = estimator.getLabelCol()
     known = train.select(*features, F.col(label).cast("double").alias(label)).dropna()
-    return estimator.fit(_assembled(known, features, estimator.getFeaturesCol()))
+    path = scratch_path(train.sparkSession, "ml-train")
+    known.write.parquet(path)
+    model = estimator.fit(_assembled(train.sparkSession.read.parquet(path), features, estimator.getFeaturesCol()))
+    delete_path(train.sparkSession, path)
+    return model
 
 
 def score_ml_model(df: DataFrame, model, features: list[str], out: str) -> DataFrame:
