@@ -77,7 +77,7 @@ class TreeTableScorer(Scorer):
         """The score is generated, as the one element of an array: a filter on a plain column would be pushed below it
         as text, with the whole ensemble, and whatever its features are derived from, once for each mention."""
         score = trees.ensemble(self.pieces, self.base, self.sigmoid)
-        ready = [nan_to_null(F.col(f"`{c}`").cast("double")).alias(trees.prepared(c)) for c in self.features]
+        ready = [nan_to_null(F.col(trees.quoted(c)).cast("double")).alias(trees.prepared(c)) for c in self.features]
         made = df.select("*", *ready).select("*", F.explode(F.array(score if active is None else F.when(active, score))).alias("_score"))
         return made.withColumn(out, F.col("_score")).drop("_score", *map(trees.prepared, self.features))
 

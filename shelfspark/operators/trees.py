@@ -39,14 +39,14 @@ def prepared(feature: str) -> str:
     return f"_tree_{feature}"
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 def _goes_left(node: Node) -> tuple[str, bool]:
     """A condition, and whether it being true means left. NULL does not make it true, so a missing value takes the
     other way, which is the default one."""
-    name, at = _quoted(prepared(str(node["feature"]))), number(node["threshold"])
+    name, at = quoted(prepared(str(node["feature"]))), number(node["threshold"])
     default_left = _missing(node.get("default_left")) or bool(node.get("default_left"))
     return (f"{name} >= {at}", False) if default_left else (f"{name} < {at}", True)
 
