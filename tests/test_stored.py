@@ -1,7 +1,9 @@
 """What several passes read is stored once, and a hot series is no single task's."""
 
-import pytest
+from frames import scored
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
+from test_cascade import some_scores
 from test_plans import plan
 
 from shelfspark import names as N
@@ -90,3 +92,23 @@ def test_a_rerun_writes_from_stored_labels(spark, monkeypatch):
     monkeypatch.setattr(writers, "write_split_parquet", lambda df, *a, **k: seen.append(df.inputFiles()) or write(df, *a, **k))
     assert catalog.sink_split_rerun(spark, "").count() == 400 + 300
     assert len(seen) == 3 and all(files and "/labelled-" in files[0] for files in seen)
+
+
+def test_csv_of_many_groups_is_not_sorted_first(spark, monkeypatch, tmp_path):
+    key, csv, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *a: seen.append(int(spark.conf.get(key))) or csv(self, *a))
+    before = spark.conf.get(key)
+    rows = spark.range(200, numPartitions=2).select(
+        F.col("id").cast("string").alias("sku"), (F.col("id") % 40).cast("string").alias(N.LOCATION_GROUP)
+    )
+    writers.write_step_csv(rows, f"{tmp_path}/out", "step_1", ["sku"])
+    assert seen == [writers.OPEN_FILES] and spark.conf.get(key) == before
+    back = spark.read.option("header", True).csv(f"{tmp_path}/out/step_1").collect()
+    assert len(back) == 200 and all(int(r.sku) % 40 == int(r[N.LOCATION_GROUP]) for r in back)
+
+
+def test_step_tables_come_from_one_stored_panel(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "panel", lambda *_: scored(spark, some_scores(20)))
+    frames = catalog._ordered_steps(spark, "")
+    assert len(frames) == 4 and len({f for df in frames for f in df.inputFiles()} ) > 0
+    assert all("/panel-" in f for df in frames for f in df.inputFiles()) and {df.count() for df in frames} == {20}
