@@ -73,10 +73,9 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, row = encoder(vocabulary), 0
         width, end = enc.dtype.itemsize, np.array([end_id], enc.dtype).tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", rows=4096):
             which, starts, lengths, totals, rows, sums, out = [], [], [], [], [], [], []
-            for k, ids in enumerate(enc.encode(batch["text"].to_pylist())):
-                ids += end
+            for k, ids in enumerate(enc.encode_array(batch["text"], end).to_pylist()):
                 n = len(ids) // width
                 for s in range(0, n, capacity):
                     piece = ids[s * width : (s + capacity) * width]
