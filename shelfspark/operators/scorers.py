@@ -62,9 +62,11 @@ class TreeTableScorer(Scorer):
             nodes = nodes.sort_values(["tree", "node"]).to_dict("records")
         self.base, self.sigmoid = float(base), sigmoid
         self.pieces: list[str] = []
+        self.splits = 0
         features: set[str] = set()
         for tree in trees.trees_of(nodes):
             self.pieces += trees.tree_pieces(tree)
+            self.splits += trees.splits_of(tree)
             features |= trees.features_of(tree)
         self.features = sorted(features)
 
@@ -75,11 +77,17 @@ class TreeTableScorer(Scorer):
 
     def add(self, df: DataFrame, out: str, active: Column | None = None) -> DataFrame:
         """The score is generated, as the one element of an array: a filter on a plain column would be pushed below it
-        as text, with the whole ensemble, and whatever its features are derived from, once for each mention."""
-        score = trees.ensemble(self.pieces, self.base, self.sigmoid)
+        as text, with the whole ensemble, and whatever its features are derived from, once for each mention. So is the
+        sum of a small model, which the fold then takes as its one piece: the fold itself would interpret its pieces."""
+        def generated(rows: DataFrame, value: Column, name: str) -> DataFrame:
+            return rows.select("*", F.explode(F.array(value if active is None else F.when(active, value))).alias(name))
+
         ready = [nan_to_null(F.col(trees.quoted(c)).cast("double")).alias(trees.prepared(c)) for c in self.features]
-        made = df.select("*", *ready).select("*", F.explode(F.array(score if active is None else F.when(active, score))).alias("_score"))
-        return made.withColumn(out, F.col("_score")).drop("_score", *map(trees.prepared, self.features))
+        made, pieces, base = df.select("*", *ready), self.pieces, self.base
+        if 0 < self.splits <= trees.COMPILED_SPLITS:
+            made, pieces, base = generated(made, trees.added(pieces, base), trees.SUM), [trees.SUM], 0.0
+        made = generated(made, trees.ensemble(pieces, base, self.sigmoid), "_score")
+        return made.withColumn(out, F.col("_score")).drop("_score", trees.SUM, *map(trees.prepared, self.features))
 
 
 def score_model(df: DataFrame, scorer: Scorer, out: str, active: Column | None = None) -> DataFrame:

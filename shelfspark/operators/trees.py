@@ -4,7 +4,8 @@ A tree is a nested ``CASE``. It is cut into pieces of at most ``PIECE_NODES`` sp
 leads to it and is zero on other rows, so exactly one piece of a tree gives its leaf and a tree's score is the sum of its
 pieces. No expression nests deeper than a piece, however deep the tree. The pieces are the elements of an array that a
 fold adds up: Spark generates no code for a fold, so a model of any size meets neither the size limit of a method nor
-the time to compile one, and a fold under a condition that does not hold costs nothing.
+the time to compile one, and a fold under a condition that does not hold costs nothing. The pieces of a small model
+(``COMPILED_SPLITS``) are added up in a step before the fold, which Spark does compile.
 
 The model passes the driver tree by tree; what is kept is its text. It reads each feature from a column prepared once for
 a row, as a double that is never NaN.
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 
 NODE_COLUMNS = ("tree", "node", "feature", "threshold", "left", "right", "leaf", "default_left")
 PIECE_NODES = 31
+#: Up to so many splits a model's code stays within the size of a method that the JVM compiles to machine code.
+COMPILED_SPLITS = 64
+SUM = "_trees_added"
 
 Node = Mapping[str, object]
 
@@ -101,10 +105,19 @@ def sorted_nodes(table: DataFrame) -> Iterator[Node]:
     return (row.asDict() for row in table.select(*NODE_COLUMNS).orderBy("tree", "node").toLocalIterator())
 
 
+def splits_of(nodes: Sequence[Node]) -> int:
+    return sum(_missing(n.get("leaf")) for n in nodes)
+
+
 def features_of(nodes: Sequence[Node]) -> set[str]:
     return {str(n["feature"]) for n in nodes if _missing(n.get("leaf"))}
 
 
+def added(pieces: Sequence[str], base: float) -> Column:
+    """Base and pieces added up in the order of a fold, as an expression that Spark generates code for."""
+    return F.expr(" + ".join([number(base), *pieces]))
+
+
 def ensemble(pieces: Sequence[str], base: float, sigmoid: bool) -> Column:
     """Base and pieces added up, as a column."""
     total = F.expr(f"aggregate(array({', '.join(pieces)}), {number(base)}, (s, x) -> s + x)") if pieces else F.lit(base)
