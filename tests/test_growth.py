@@ -1,10 +1,13 @@
 """What a query moves, stores and holds does not grow faster than its input."""
 
+import pytest
+from frames import day
 from pyspark.sql import functions as F
 from test_plans import plan
 from test_trees import random_trees, values
 
 from shelfspark.operators import scorers, trees
+from shelfspark.plans import panel as panels
 
 
 def test_small_models_are_compiled_and_give_the_sums_of_a_fold(spark, monkeypatch):
@@ -22,3 +25,25 @@ def test_small_models_are_compiled_and_give_the_sums_of_a_fold(spark, monkeypatc
     monkeypatch.setattr(trees, "COMPILED_SPLITS", 0)
     assert trees.SUM not in plan(scorers.score_model(df, model, "s"))
     assert sums() == compiled
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """Forty lines of thirty cells, one of them without a part."""
+    cell = F.col("id") % 30
+    spark.range(40).select(
+        F.when(cell > 0, cell % 7).alias("l_partkey"), (cell % 5).alias("l_suppkey"),
+        F.date_add(F.lit(day(0)), cell.cast("int")).cast("timestamp").alias("l_shipdate"),
+        (F.col("id") + 0.0).alias("l_quantity"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+def test_a_task_gets_a_bounded_number_of_lines(spark, lines, monkeypatch):
+    expected = sorted((r.sku or "", r.location, r.total_retail) for r in panels.panel(spark, lines).collect())
+    assert len(expected) == 30 and sum(r[2] for r in expected) == sum(range(40))
+    monkeypatch.setattr(panels, "TASK_LINES", 4)
+    monkeypatch.setattr(panels, "LEAST_LINES", 4)
+    rows = panels.panel(spark, lines)
+    assert plan(rows).count("Exchange hash") == 1 and rows.rdd.getNumPartitions() == 10
+    assert sorted((r.sku or "", r.location, r.total_retail) for r in rows.collect()) == expected
