@@ -7,6 +7,7 @@ from test_plans import plan
 from test_trees import random_trees, values
 
 from shelfspark.operators import scorers, trees
+from shelfspark.plans import catalog
 from shelfspark.plans import panel as panels
 
 
@@ -47,3 +48,12 @@ def test_a_task_gets_a_bounded_number_of_lines(spark, lines, monkeypatch):
     rows = panels.panel(spark, lines)
     assert plan(rows).count("Exchange hash") == 1 and rows.rdd.getNumPartitions() == 10
     assert sorted((r.sku or "", r.location, r.total_retail) for r in rows.collect()) == expected
+
+
+def test_ml_rows_are_derived_once(spark, lines, monkeypatch):
+    derived = []
+    monkeypatch.setattr(catalog, "panel", lambda *a: derived.append(a) or panels.panel(*a))
+    monkeypatch.setattr(catalog.split, "filter_train_rows", lambda labelled: labelled.limit(0))
+    with pytest.raises(Exception):  # nothing to fit on
+        catalog.score_ml_model(spark, lines)
+    assert len(derived) == 1
