@@ -1,14 +1,17 @@
 """What a query moves, stores and holds does not grow faster than its input."""
 
 import pytest
-from frames import day
+from frames import day, scored
 from pyspark.sql import functions as F
+from test_cascade import some_scores
 from test_plans import plan
 from test_trees import random_trees, values
 
-from shelfspark.operators import scorers, trees
-from shelfspark.plans import catalog
+from shelfspark import names as N
+from shelfspark.operators import cascade, scorers, trees
+from shelfspark.plans import catalog, jobs
 from shelfspark.plans import panel as panels
+from shelfspark.sources import writers
 
 
 def test_small_models_are_compiled_and_give_the_sums_of_a_fold(spark, monkeypatch):
@@ -57,3 +60,11 @@ def test_ml_rows_are_derived_once(spark, lines, monkeypatch):
     with pytest.raises(Exception):  # nothing to fit on
         catalog.score_ml_model(spark, lines)
     assert len(derived) == 1
+
+
+def test_scored_rows_are_stored_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(writers, "balanced", lambda *a: pytest.fail("moved"))
+    predicted = cascade.cascade_predict(scored(spark, some_scores(30)))
+    table, path = jobs._scored_table(spark, predicted, N.FINAL_COLUMNS)
+    want = predicted.select(*N.FINAL_COLUMNS, N.LOCATION_GROUP, N.BRANCH)
+    assert sorted(map(repr, table.select(want.columns).collect())) == sorted(map(repr, want.collect()))
