@@ -11,7 +11,19 @@ from shelfspark import names as N
 from shelfspark.operators import cascade, scorers, trees
 from shelfspark.plans import catalog, jobs
 from shelfspark.plans import panel as panels
-from shelfspark.sources import writers
+from shelfspark.sources import readers, writers
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """Forty lines of thirty cells, one of them without a part."""
+    cell = F.col("id") % 30
+    spark.range(40).select(
+        F.when(cell > 0, cell % 7).alias("l_partkey"), (cell % 5).alias("l_suppkey"),
+        F.date_add(F.lit(day(0)), cell.cast("int")).cast("timestamp").alias("l_shipdate"),
+        (F.col("id") + 0.0).alias("l_quantity"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
 
 
 def test_small_models_are_compiled_and_give_the_sums_of_a_fold(spark, monkeypatch):
@@ -31,18 +43,6 @@ def test_small_models_are_compiled_and_give_the_sums_of_a_fold(spark, monkeypatc
     assert sums() == compiled
 
 
-@pytest.fixture
-def lines(spark, tmp_path):
-    """Forty lines of thirty cells, one of them without a part."""
-    cell = F.col("id") % 30
-    spark.range(40).select(
-        F.when(cell > 0, cell % 7).alias("l_partkey"), (cell % 5).alias("l_suppkey"),
-        F.date_add(F.lit(day(0)), cell.cast("int")).cast("timestamp").alias("l_shipdate"),
-        (F.col("id") + 0.0).alias("l_quantity"),
-    ).write.parquet(f"{tmp_path}/lineitem.parquet")
-    return str(tmp_path)
-
-
 def test_a_task_gets_a_bounded_number_of_lines(spark, lines, monkeypatch):
     expected = sorted((r.sku or "", r.location, r.total_retail) for r in panels.panel(spark, lines).collect())
     assert len(expected) == 30 and sum(r[2] for r in expected) == sum(range(40))
@@ -62,6 +62,21 @@ def test_ml_rows_are_derived_once(spark, lines, monkeypatch):
     assert len(derived) == 1
 
 
+@pytest.mark.parametrize("new_models", [True, False])
+def test_jobs_parse_the_columns_they_use(spark, tmp_path, monkeypatch, new_models):
+    rows = scored(spark, some_scores(30))
+    for step, frame in cascade.independent_steps(rows).items():
+        writers.write_step_csv(frame, str(tmp_path), step, N.STEP_COLUMNS[step])
+    writers.write_step_csv(cascade.cascade_predict(rows), str(tmp_path), "final_prediction", N.FINAL_COLUMNS)
+    seen = {}
+    scan = readers.scan_step_predictions
+    monkeypatch.setattr(readers, "scan_step_predictions", lambda *a: seen.setdefault(a[2], scan(*a)))
+    monkeypatch.setattr(readers, "scan_final_prediction_csv", lambda *a, **b: cascade.cascade_predict(rows))
+    jobs.score_job(spark, str(tmp_path), f"{tmp_path}/out", 0.4, 0.4, new_models)
+    keys = N.KEYS if new_models else []
+    assert {s: f.columns for s, f in seen.items()} == {s: [*keys, *c, N.LOCATION_GROUP] for s, c in jobs.RATED.items()}
+
+
 def test_scored_rows_are_stored_where_they_are(spark, monkeypatch):
     monkeypatch.setattr(writers, "balanced", lambda *a: pytest.fail("moved"))
     predicted = cascade.cascade_predict(scored(spark, some_scores(30)))
