@@ -1,5 +1,7 @@
 """What a query moves, stores and holds does not grow faster than its input."""
 
+import re
+
 import pytest
 from frames import day, scored
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from test_plans import plan
 from test_trees import random_trees, values
 
 from shelfspark import names as N
-from shelfspark.operators import cascade, scorers, trees
+from shelfspark.operators import cascade, scorers, trees, tuning
 from shelfspark.plans import catalog, jobs
 from shelfspark.plans import panel as panels
 from shelfspark.sources import readers, writers
@@ -83,3 +85,18 @@ def test_scored_rows_are_stored_where_they_are(spark, monkeypatch):
     table, path = jobs._scored_table(spark, predicted, N.FINAL_COLUMNS)
     want = predicted.select(*N.FINAL_COLUMNS, N.LOCATION_GROUP, N.BRANCH)
     assert sorted(map(repr, table.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_search_moves_rows_once_into_tasks_of_a_bounded_size(spark, tmp_path, monkeypatch):
+    frames = []
+    rows = scored(spark, some_scores(40))
+    for step, frame in cascade.independent_steps(rows.unionAll(rows.limit(5))).items():
+        frame.select(*N.STEP_COLUMNS[step]).write.parquet(f"{tmp_path}/{step}")
+        frames.append(spark.read.parquet(f"{tmp_path}/{step}"))
+    expected = sorted(map(tuple, tuning.grid_counts(*frames, "0.3,0.5", "0.2,0.6").collect()))
+    monkeypatch.setattr(tuning, "TASK_ROWS", 18)
+    monkeypatch.setattr(tuning, "LEAST_ROWS", 18)
+    grid = tuning.grid_counts(*frames, "0.3,0.5", "0.2,0.6")
+    moved = re.findall(r"Exchange hashpartitioning\(sku#\S+ location#\S+ date#\S+ (\d+)\), REPARTITION_BY_NUM", plan(grid))
+    assert moved == ["10"] * 3 and not re.search(r"hashpartitioning\(sku.*ENSURE_REQUIREMENTS", plan(grid))
+    assert sorted(map(tuple, grid.collect())) == expected
