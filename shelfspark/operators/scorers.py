@@ -121,13 +121,17 @@ def _assembled(df: DataFrame, features: list[str], vector: str) -> DataFrame:
     return assembler.transform(cast_object_features(df, features))
 
 
-def fit_ml_model(train: DataFrame, estimator, features: list[str]):
+def fit_ml_model(train: DataFrame, estimator, features: list[str], weight: str | None = None):
     """A ``pyspark.ml`` model fitted on the rows that have a label and all features.
 
-    An estimator reads its rows several times, so they are stored first, as these columns alone.
+    An estimator reads its rows several times, so they are stored first, as these columns alone. Equal rows are stored once
+    with their number where ``weight`` names a column for it. That is for estimators that read it as their weights and to
+    which a weight is the same as so many copies, as in a sum of losses; not where rows are drawn or counted.
     """
     label = estimator.getLabelCol()
     known = train.select(*features, F.col(label).cast("double").alias(label)).dropna()
+    if weight is not None:
+        known = known.groupBy(*known.columns).agg(F.count(F.lit(1)).cast("double").alias(weight))
     path = scratch_path(train.sparkSession, "ml-train")
     known.write.parquet(path)
     model = estimator.fit(_assembled(train.sparkSession.read.parquet(path), features, estimator.getFeaturesCol()))

@@ -108,7 +108,7 @@ def time_split(
     packed = {"_s": F.struct(*series), "_o0": F.struct(date)} | ({"_o1": F.struct(*ties)} if ties else {})
     rows = rows.withColumns(packed)
     key, order = ["_s"], [c for c in packed if c != "_s"]
-    cuts = _stored(_first_cuts(rows, key, order[0], train_test_frac, train_validation_frac), "first-cuts")
+    cuts = _stored(_first_cuts(rows, series, date, train_test_frac, train_validation_frac), "first-cuts")
     cuts = cuts.where(F.col("_n") >= min_rows) if short == "drop" else cuts
     if ties:
         cuts = _refine(rows, cuts, key, order[:1], order[1])
@@ -159,23 +159,31 @@ def _holds(position: str) -> Column:
 
 
 def _first_cuts(rows: DataFrame, series: list[str], date: str, tv_frac: float, tr_frac: float) -> DataFrame:
-    """Per series and mark: the date its last row falls on, how far into that date, and the rows on that date."""
-    per_date = rows.groupBy(*series, date).agg(F.count(F.lit(1)).alias("_c"))
+    """Per series and mark: the date its last row falls on, how far into that date, and the rows on that date.
+
+    Groups and windows take NULLs as equal and put them first in plain columns too, which are sorted faster than structs.
+    """
+    flat = [f"_s{i}" for i in range(len(series))]
+    named = [F.col(c).alias(name) for c, name in zip([*series, date], [*flat, "_d"], strict=True)]
+    per_date = rows.select(*named).groupBy(*flat, "_d").agg(F.count(F.lit(1)).alias("_c"))
     placed = (
-        _counted_off(per_date, series, date)
-        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*series)))
+        _counted_off(per_date, flat, "_d")
+        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*flat)))
         .withColumn("_tv", F.floor(F.col("_n") * F.lit(tv_frac)))
         .withColumn("_tr", F.floor(F.col("_tv") * F.lit(tr_frac)))
     )
-    cell = F.struct(F.col(date).alias("cut"), F.col("_start").alias("before"), F.col("_c").alias("size"))
-    per_series = placed.groupBy(*series).agg(
+    cell = F.struct(F.struct(F.col("_d").alias(date)).alias("cut"), F.col("_start").alias("before"), F.col("_c").alias("size"))
+    # The cells a cut falls on, and each series' first one, without which a series too short for a cut would be lost.
+    telling = placed.where(_holds("_tv") | _holds("_tr") | (F.col("_start") == 0))
+    per_series = telling.groupBy(*flat).agg(
         F.max("_n").alias("_n"),
         *[F.struct(F.max(f"_{m}").alias("position"), F.max(F.when(_holds(f"_{m}"), cell)).alias("cell")).alias(m)
           for m in _MARKS],
     )
     marks = F.explode(F.array(*[F.struct(F.lit(m).alias("mark"), F.col(m).alias("at")) for m in _MARKS]))
-    return per_series.select(*series, "_n", marks.alias("_m")).select(
-        *series,
+    packed = F.struct(*[F.col(name).alias(c) for c, name in zip(series, flat, strict=True)])
+    return per_series.select(packed.alias("_s"), "_n", marks.alias("_m")).select(
+        "_s",
         "_n",
         F.col("_m.mark").alias("_mark"),
         F.col("_m.at.cell.cut").alias("_cut_0"),
@@ -204,7 +212,8 @@ def _near_cut(counted: DataFrame, group: list[str], order: str) -> DataFrame:
 def _refine(rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str], tie: str) -> DataFrame:
     """Locate the cuts inside the cells they fell into: the tie value at the remaining position.
 
-    Only cells a cut really divides are read again, counted per tie value before they are put in order.
+    Only cells a cut really divides are read again, counted per tie value before they are put in order; the counts are read
+    several times and therefore stored.
     """
     depth = len(fixed)
     cell = [f"_cut_{level}" for level in range(depth)]
@@ -217,6 +226,7 @@ def _refine(rows: DataFrame, cuts: DataFrame, series: list[str], fixed: list[str
         .groupBy(*group, "_left", tie)
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    inside = _stored(inside, "inside")
     found = (
         _counted_off(_near_cut(inside, group, tie), group, tie)
         .withColumns({"_end": F.col("_end") + F.col("_before"), "_start": F.col("_start") + F.col("_before")})

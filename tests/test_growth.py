@@ -4,13 +4,14 @@ import re
 
 import pytest
 from frames import day, scored
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 from test_cascade import some_scores
 from test_plans import plan
 from test_trees import random_trees, values
 
 from shelfspark import names as N
-from shelfspark.operators import cascade, scorers, trees, tuning
+from shelfspark.operators import cascade, scorers, split, trees, tuning
 from shelfspark.plans import catalog, jobs
 from shelfspark.plans import panel as panels
 from shelfspark.sources import readers, writers
@@ -100,3 +101,33 @@ def test_search_moves_rows_once_into_tasks_of_a_bounded_size(spark, tmp_path, mo
     moved = re.findall(r"Exchange hashpartitioning\(sku#\S+ location#\S+ date#\S+ (\d+)\), REPARTITION_BY_NUM", plan(grid))
     assert moved == ["10"] * 3 and not re.search(r"hashpartitioning\(sku.*ENSURE_REQUIREMENTS", plan(grid))
     assert sorted(map(tuple, grid.collect())) == expected
+
+
+def test_equal_rows_are_fitted_once_with_their_number(spark):
+    rows = [(float(i % 4), i % 3, int(i % 5 > 1)) for i in range(120)] + [(None, 1, 1)]
+    df = spark.createDataFrame(rows, "a double, b int, label int")
+    stored = []
+
+    class Fit(LogisticRegression):
+        def fit(self, data):
+            stored.append(data.count())
+            return super().fit(data)
+
+    once = scorers.fit_ml_model(df, Fit(weightCol="n", tol=1e-12), ["a", "b"], weight="n")
+    every = scorers.fit_ml_model(df, Fit(tol=1e-12), ["a", "b"])
+    assert stored == [24, 120]
+    assert [*once.coefficients, once.intercept] == pytest.approx([*every.coefficients, every.intercept], abs=1e-6)
+
+
+def test_split_sorts_plain_columns_and_reads_divided_dates_once(spark, monkeypatch):
+    df = spark.range(60).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("s"), F.when(F.col("id") > 5, F.lit(day(0))).alias("date"), "id"
+    )
+    plans = {}
+    keep = split._stored
+    monkeypatch.setattr(split, "_stored", lambda rows, name: plans.setdefault(name, plan(rows)) and keep(rows, name))
+    labels = split.time_split(df, series=["s"], ties=["id"], min_rows=5).collect()
+    assert "struct<" not in plans["first-cuts"] and "Sort [_s0#" in plans["first-cuts"] and "inside" in plans
+    assert sorted((r.s or 0, r.data_split) for r in labels) == sorted(
+        (s, x) for s in range(3) for x in ["train"] * 16 + ["validation"] * 2 + ["test"] * 2
+    )
