@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,8 +21,10 @@ TRAIN_VALIDATION_FRACTION = 0.9
 MIN_ROWS_HISTORICAL = 270
 MIN_ROWS_INCREMENTAL = 10
 
-# Rows of one series that are joined with its cuts in one place.
+# Rows of one series that are joined with its cuts, or put in order, in one place.
 PART_ROWS = 250_000
+# Rows of gathered series that one task puts in order, and the fewest that are worth a task.
+TASK_ROWS, LEAST_ROWS = 500_000, 50_000
 
 
 def drop_partition_columns(df: DataFrame, columns: Sequence[str] = FEATURE_BOOKKEEPING) -> DataFrame:
@@ -81,6 +83,7 @@ def time_split(
     train_validation_frac: float = TRAIN_VALIDATION_FRACTION,
     min_rows: int = MIN_ROWS_HISTORICAL,
     short: str = "drop",
+    gather: bool = False,
 ) -> DataFrame:
     """Label the rows of every series train / validation / test in ``(date, *ties)`` order.
 
@@ -90,18 +93,27 @@ def time_split(
     NULL are a series like others. Rows without a target are left out; series shorter than ``min_rows`` are dropped,
     or all train with ``short="train"``.
 
-    No series is ever sorted as a whole. A series needs only the two order values at which its label
+    Unless gathered, no series is ever sorted as a whole. A series needs only the two order values at which its label
     changes. Those come from row counts per (series, date), then, where a cut falls inside one date, from row
     counts per tie value of just that date. The cuts, one row per series, are stored below the scratch folder and joined
     back: Spark then knows their size beforehand, so a small table of cuts is broadcast and no row is moved. Where it is
     too large for that, rows of a series of more than ``PART_ROWS`` are spread over as many parts, with the cuts repeated
     for each, so no task reads a whole hot series; the list of such series is broadcast, with at most one row for every
     ``PART_ROWS`` rows.
+
+    That pays where series are few and long. Of many short ones the cuts are nearly as many as the dates, and rows are moved
+    and sorted for each step. With ``gather`` the series of at most ``PART_ROWS`` rows are moved together once, some
+    ``TASK_ROWS`` rows to a task, and put in order there; only longer ones are labelled by their cuts.
     """
     if short not in ("drop", "train"):
         raise ValueError("short must be 'drop' or 'train'")
     series, ties = list(series), list(ties)
     rows = df.dropna(subset=list(targets)) if targets else df
+    if gather:
+        order, fracs = [date, *ties], (train_test_frac, train_validation_frac)
+        return _gathered(rows, series, order, fracs, min_rows, short, lambda hot: time_split(
+            hot, series, date, ties, (), *fracs, min_rows, short
+        ))
 
     # Structs compare field by field with nulls first and equal, which plain columns would not; and all ties are one
     # level, so the plan does not grow with their number.
@@ -145,6 +157,42 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _gathered(
+    rows: DataFrame,
+    series: list[str],
+    order: list[str],
+    fracs: tuple[float, float],
+    min_rows: int,
+    short: str,
+    by_cuts: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Rows of series of at most ``PART_ROWS`` labelled by their rank, the others ``by_cuts``."""
+    keys = [f"_s{i}" for i in range(len(series))]
+    sizes = rows.groupBy(*[F.col(c).alias(k) for c, k in zip(series, keys, strict=True)]).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = _stored(sizes, "sizes")
+    hot = F.col("_n") > PART_ROWS
+    cold_rows, n_hot = sizes.agg(F.sum(F.when(~hot, F.col("_n")).otherwise(0)), F.count_if(hot)).first()
+    long = F.broadcast(sizes.where(hot).select(*keys))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(series, keys, strict=True)])
+    cold = rows.join(long, same, "left_anti") if n_hot else rows
+
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-(cold_rows or 0) // TASK_ROWS), min(cores, -(-(cold_rows or 0) // LEAST_ROWS)), 1)
+    ordered = Window.partitionBy(*series).orderBy(*order)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = cold.repartition(tasks, *series).withColumns(
+        {"_at": F.rank().over(ordered), "_n": F.count(F.lit(1)).over(whole)}
+    )
+    tv = F.floor(F.col("_n") * F.lit(fracs[0]))
+    label = F.when(F.col("_at") <= F.floor(tv * F.lit(fracs[1])), "train").when(F.col("_at") <= tv, "validation").otherwise("test")
+    if short == "train":
+        label = F.when(F.col("_n") < min_rows, "train").otherwise(label)
+    else:
+        placed = placed.where(F.col("_n") >= min_rows)
+    labelled = placed.withColumn(DATA_SPLIT, label).drop("_at", "_n")
+    return labelled.unionByName(by_cuts(rows.join(long, same, "left_semi"))) if n_hot else labelled
+
+
 _MARKS = ("tr", "tv")
 
 

@@ -131,3 +131,37 @@ def test_split_sorts_plain_columns_and_reads_divided_dates_once(spark, monkeypat
     assert sorted((r.s or 0, r.data_split) for r in labels) == sorted(
         (s, x) for s in range(3) for x in ["train"] * 16 + ["validation"] * 2 + ["test"] * 2
     )
+
+
+def test_gathered_rows_are_moved_once_into_tasks_of_a_bounded_size(spark, monkeypatch):
+    df = spark.range(400).select(
+        F.when(F.col("id") < 90, 0).otherwise(F.col("id") % 31 + 1).alias("s"),
+        F.date_add(F.lit(day(0)), (F.col("id") % 13).cast("int")).alias("date"), "id",
+    )
+    monkeypatch.setattr(split, "TASK_ROWS", 40)
+    monkeypatch.setattr(split, "LEAST_ROWS", 40)
+    stored = []
+    keep = split._stored
+    monkeypatch.setattr(split, "_stored", lambda rows, name: stored.append(name) or keep(rows, name))
+    labels = split.time_split(df, ["s"], ties=["id"], min_rows=5, gather=True)
+    assert stored == ["sizes"] and "Join" not in plan(labels)
+    assert re.findall(r"Exchange hashpartitioning\(\S+ (\d+)\), (\w+)", plan(labels)) == [("10", "REPARTITION_BY_NUM")]
+    expected = sorted(map(tuple, labels.collect()))
+    assert len(expected) == 400
+    monkeypatch.setattr(split, "PART_ROWS", 50)
+    labels = split.time_split(df, ["s"], ties=["id"], min_rows=5, gather=True)
+    assert "first-cuts" in stored and re.findall(r", (\d+)\), REPARTITION_BY_NUM", plan(labels)) == ["8"]
+    assert sorted(map(tuple, labels.collect())) == expected
+
+
+def test_rows_to_fit_on_are_not_sorted_for_each_step_of_the_split(spark, lines, monkeypatch):
+    plans = []
+    monkeypatch.setattr(catalog.split, "filter_train_rows", lambda labelled: plans.append(plan(labelled)) or labelled.limit(0))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with more series than are broadcast
+    try:
+        with pytest.raises(Exception):  # nothing to fit on
+            catalog.score_ml_model(spark, lines)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plans[0] and plans[0].count("Exchange") == 1

@@ -51,6 +51,45 @@ def test_against_loop(spark, seed, ties):
             assert r.data_split == want[key], key
 
 
+@pytest.mark.parametrize("most", [250_000, 40, 1])
+@pytest.mark.parametrize("ties", [["a", "b"], []])
+def test_gathered_against_loop(spark, monkeypatch, most, ties):
+    """All series put in order, all but the longest, none."""
+    monkeypatch.setattr(split, "PART_ROWS", most)
+    rng = np.random.default_rng(most)
+    rows = [("x", int(rng.integers(0, 8)), int(rng.integers(0, 4)), int(rng.integers(0, 4))) for _ in range(90)]
+    rows += [(s, int(rng.integers(0, 30)), int(rng.integers(0, 3)), 0) for s in "yz" for _ in range(25)]
+    rows += [("w", i, 0, 0) for i in range(5)]
+    depth = 2 + len(ties)
+    for short in ("drop", "train"):
+        got = split.time_split(frame(spark, rows), ["s"], "date", ties, min_rows=10, short=short, gather=True)
+        assert got.columns == ["s", "date", "a", "b", "data_split"]
+        want = looped([r[:depth] for r in rows], 10, short)
+        got = got.collect()
+        assert len(got) == sum(r[:depth] in want for r in rows)
+        for r in got:
+            key = (r.s, (r.date - day(0)).days, r.a, r.b)[:depth]
+            assert r.data_split == want[key], key
+
+
+@pytest.mark.parametrize("most", [250_000, 9])
+def test_gathered_nulls_copies_and_no_rows(spark, monkeypatch, most):
+    """Null keys are a series, null dates and ties come first, copies share a label; as by cuts."""
+    monkeypatch.setattr(split, "PART_ROWS", most)
+    cell = F.col("id") % 50
+    df = spark.range(150).select(
+        F.when(cell % 3 > 0, cell % 3).alias("s"), F.when(cell % 4 > 0, (cell % 2).cast("string")).alias("s2"),
+        F.when(cell % 5 > 0, F.date_add(F.lit(day(0)), (cell % 9).cast("int"))).alias("date"),
+        F.when(cell % 7 > 0, cell % 11).alias("tie"), F.when(F.col("id") != 7, 1).alias("t"),
+    )
+
+    def labels(rows, **how):
+        return sorted(map(repr, split.time_split(rows, ["s", "s2"], ties=["tie"], targets=["t"], min_rows=10, **how).collect()))
+
+    assert labels(df, gather=True) == labels(df) != []
+    assert labels(df.limit(0), gather=True) == []
+
+
 def test_hot_series(spark):
     """One series holds a third of all rows."""
     rows = [("hot", i % 40, i, 0) for i in range(1000)] + [(f"s{i % 50}", i // 50, 0, 0) for i in range(2000)]
