@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from test_cascade import some_scores
 
 from shelfspark import names as N
+from shelfspark.operators import cascade, scorers
 from shelfspark.plans import catalog, jobs
 from shelfspark.sources import readers, writers
 from shelfspark.sources.scratch import drops_shuffles
 
+MODELS = {f"step_{i}": scorers.LinearScorer({f"f{i}": 1.0}) for i in range(1, 5)}
 
 
 def shuffle_files(spark) -> set[str]:
@@ -69,6 +71,25 @@ def test_scoring_stores_only_what_it_reads_again(spark, steps, weights, tmp_path
     assert files(f"{tmp_path}/scratch") == {".zstd.parquet"}
 
 
+def test_daily_sets_are_packed_and_predictions_plain(spark, tmp_path, monkeypatch):
+    named = dict(zip((N.BINARY_PRED, N.HL_ORIG_PRED, N.LS_RATIO, N.HS_PRED), ("f1", "f2", "f3", "f4")))
+    day = scored(spark, some_scores(60)).withColumnsRenamed(named).withColumns({"location_group": F.lit("01"), "load_date": F.lit("d")})
+    day.write.partitionBy("location_group", "load_date").parquet(f"{tmp_path}/day")
+    predicted = cascade.cascade_predict(scorers.score_cascade(day, MODELS, 0.4, 0.4), 0.4, 0.4)
+    monkeypatch.setattr(jobs.readers, "scan_confidence_document", lambda *_: catalog.confidence.confidence_metrics(predicted, 0.4, 0.4))
+    before = shuffle_files(spark)
+    jobs.infer_job(spark, f"{tmp_path}/day", f"{tmp_path}/out", "d", MODELS, "", 0.4, 0.4)
+    assert shuffle_files(spark) <= before
+    for name in ("OOS", "concatenated", *N.DAILY_STEP_COLUMNS):
+        assert files(f"{tmp_path}/out/temp/{name}") == {".csv.gz"}
+    assert all(f.endswith(".csv") for f in files(f"{tmp_path}/out/prediction"))
+    daily = [readers.read_csv(spark, f"{tmp_path}/out/{x}", readers.schemas.DAILY, f"{tmp_path}/out/{x}") for x in ("temp/OOS", "prediction")]
+    assert rows_of(daily[0]) == rows_of(daily[1]) and daily[0].count() == predicted.count() > 0
+    full = readers.scan_concatenated_predictions(spark, f"{tmp_path}/out")
+    keys = [*N.KEYS, N.ORIG_PRED, N.ORIG_PRED_LOW, N.OOS]
+    assert rows_of(full.select(keys)) == rows_of(predicted.select(keys))
+
+
 def test_the_setting_is_as_before_a_job(spark):
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     seen = []
