@@ -113,3 +113,10 @@ def test_packed_rows_come_back(spark, tmp_path):
         writers.write_step_csv(rows, f"{tmp_path}/{packed}", "step_1", N.STEP_COLUMNS["step_1"], packed=packed)
     plain, back = (readers.scan_step_predictions(spark, f"{tmp_path}/{p}", "step_1") for p in (False, True))
     assert rows_of(plain) == rows_of(back) and back.count() == 30
+
+
+def test_the_panel_of_the_step_sets_is_stored_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "panel", lambda *_: scored(spark, some_scores(20)))
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    assert {df.count() for df in catalog._ordered_steps(spark, "")} == {20}
+    assert files(f"{tmp_path}/panel") == {".zstd.parquet"}
